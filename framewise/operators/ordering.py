@@ -4,10 +4,13 @@ Rows of a DataFrame have no order. Everything order-dependent here takes an expl
 ``order`` list that must be unique inside each group (append a tie-break key).
 
 ``with_positions`` is the skew-safe replacement for ``row_number()`` over a huge (or
-unpartitioned) window: it range-partitions on (group keys, order), so a hot group is
-spread over many balanced tasks, numbers rows inside each task, and adds per-task
-offsets taken from a small table of task counts. Its cost is one range shuffle plus a
-tiny aggregation; no task ever holds a whole group.
+unpartitioned) window. The sort key (group keys + order) is cut into balanced chunks at
+split points taken from a deterministic hash sample (a bounded number of keys goes to
+the driver); each row's chunk is a pure function of the row (a binary search written as
+nested comparisons), so any recomputation -- a lost executor, a second branch of the
+plan -- lands every row in the same chunk. Rows are numbered inside (chunk, group)
+windows, whose size is bounded by the chunk size even when one group holds a third of
+the table, and a small table of chunk counts supplies the offsets.
 """
 
 from __future__ import annotations
@@ -17,7 +20,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-_LOCAL_BITS = 33  # monotonically_increasing_id = partition index << 33 | record number
+_SAMPLE_PER_CHUNK = 64
 
 
 def _col(c) -> Column:
@@ -30,41 +33,69 @@ def _partitions(df: DataFrame, partitions: int | None) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
+def _chunk_expr(df: DataFrame, keys: list[str], chunks: int) -> Column:
+    """Chunk id in [0, chunks) so that chunk order follows the (ascending) key order."""
+    n = df.count()
+    if n == 0 or chunks <= 1:
+        return F.lit(0)
+    frac = min(1.0, _SAMPLE_PER_CHUNK * chunks / n)
+    cut = int(frac * (1 << 30))
+    sample = (df.select(*keys).filter(F.pmod(F.xxhash64(*keys), F.lit(1 << 30)) < cut)
+              .orderBy(*keys).collect())  # about 64 x chunks keys: bounded
+    if not sample:
+        return F.lit(0)
+    bounds = []
+    for i in range(1, chunks):
+        b = tuple(sample[min(len(sample) - 1, i * len(sample) // chunks)])
+        if not bounds or b != bounds[-1]:
+            bounds.append(b)
+    types = {f.name: f.dataType for f in df.schema.fields}
+    row = F.struct(*[F.col(k) for k in keys])
+
+    def lit(b):
+        return F.struct(*[F.lit(v).cast(types[k]).alias(k) for k, v in zip(keys, b)])
+
+    def tree(lo: int, hi: int) -> Column:  # rows with bounds[lo-1] <= key < bounds[hi]
+        if lo == hi:
+            return F.lit(lo)
+        mid = (lo + hi + 1) // 2
+        return F.when(row < lit(bounds[mid - 1]), tree(lo, mid - 1)).otherwise(tree(mid, hi))
+
+    return tree(0, len(bounds))
+
+
 def with_positions(df: DataFrame, order: Sequence, by: Sequence[str] = (), name: str = "pos",
                    size_name: str | None = None, partitions: int | None = None) -> DataFrame:
-    """Add ``name`` = 0-based position of the row inside its ``by`` group under ``order``.
-
-    Optionally add ``size_name`` = number of rows of the group. ``order`` items are
-    column names or sort expressions (``F.col(x).desc()``).
-    """
+    """Add ``name`` = 0-based position of the row inside its ``by`` group under ``order``
+    (ascending; pass ``-x`` for a descending numeric key). Optionally add ``size_name`` =
+    rows in the group. NULL group keys form their own group."""
     by = list(by)
-    sort_cols = [F.col(b).asc_nulls_first() for b in by] + [_col(o) for o in order]
-    n = _partitions(df, partitions)
-    ranged = (df.repartitionByRange(n, *sort_cols)
-              .sortWithinPartitions(*sort_cols)
-              .withColumn("_fw_mid", F.monotonically_increasing_id())
-              .withColumn("_fw_part", F.shiftright("_fw_mid", _LOCAL_BITS))
-              .withColumn("_fw_local", F.col("_fw_mid").bitwiseAND(F.lit((1 << _LOCAL_BITS) - 1)))
-              .drop("_fw_mid"))
-    # One row per (task, group): at most (#groups + #tasks) rows.
-    chunks = ranged.groupBy("_fw_part", *by).agg(F.min("_fw_local").alias("_fw_first"),
-                                               F.count(F.lit(1)).alias("_fw_n"))
-    w_prev = Window.partitionBy(*by).orderBy("_fw_part").rowsBetween(Window.unboundedPreceding, -1)
-    chunks = chunks.withColumn("_fw_off", F.coalesce(F.sum("_fw_n").over(w_prev), F.lit(0)))
+    work = df
+    okeys = []
+    for i, o in enumerate(order):
+        if isinstance(o, str):
+            okeys.append(o)
+        else:
+            work = work.withColumn(f"_fw_o{i}", o)
+            okeys.append(f"_fw_o{i}")
+    chunk = _chunk_expr(work, by + okeys, _partitions(df, partitions))
+    work = work.withColumn("_fw_chunk", chunk)
+    w = Window.partitionBy("_fw_chunk", *by).orderBy(*okeys)
+    work = work.withColumn("_fw_local", F.row_number().over(w) - 1)
+    # One row per (chunk, group): at most (#groups + #chunks) rows.
+    stats = work.groupBy("_fw_chunk", *by).agg(F.count(F.lit(1)).alias("_fw_n"))
+    w_prev = Window.partitionBy(*by).orderBy("_fw_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    stats = stats.withColumn("_fw_off", F.coalesce(F.sum("_fw_n").over(w_prev), F.lit(0)))
     if size_name:
-        chunks = chunks.withColumn(size_name, F.sum("_fw_n").over(Window.partitionBy(*by)))
-    keep = [F.col("_fw_part").alias("_fw_cpart"), "_fw_first", "_fw_off"] + ([size_name] if size_name else [])
-    renamed = chunks.select(*keep, *[F.col(b).alias(f"_fw_k{i}") for i, b in enumerate(by)])
+        stats = stats.withColumn(size_name, F.sum("_fw_n").over(Window.partitionBy(*by)))
+    keep = [F.col("_fw_chunk").alias("_fw_cchunk"), "_fw_off"] + ([size_name] if size_name else [])
+    stats = stats.select(*keep, *[F.col(b).alias(f"_fw_k{i}") for i, b in enumerate(by)])
     if not by:
-        # Bounded by the number of tasks: always safe to broadcast.
-        renamed = F.broadcast(renamed)
-    cond = [F.col("_fw_part") == F.col("_fw_cpart")]
-    cond += [F.col(b).eqNullSafe(F.col(f"_fw_k{i}")) for i, b in enumerate(by)]
-    cond_all = cond[0]
-    for c in cond[1:]:
-        cond_all = cond_all & c
-    out = ranged.join(renamed, cond_all, "inner")
-    out = out.withColumn(name, F.col("_fw_off") + F.col("_fw_local") - F.col("_fw_first"))
+        stats = F.broadcast(stats)  # bounded by the number of chunks
+    cond = F.col("_fw_chunk") == F.col("_fw_cchunk")
+    for i, b in enumerate(by):
+        cond = cond & F.col(b).eqNullSafe(F.col(f"_fw_k{i}"))
+    out = work.join(stats, cond, "inner").withColumn(name, F.col("_fw_off") + F.col("_fw_local"))
     return out.select(*df.columns, name, *([size_name] if size_name else []))
 
 
