@@ -96,7 +96,7 @@ def quantiles(df: DataFrame, cols: Sequence[str], qs: Sequence[float], by: Seque
     by (group, column, value) and numbered with ``with_positions``; only the rows at
     positions floor/ceil(q*(n-1)) survive into a tiny final aggregation. No task holds a
     whole group, so a hot group or a global quantile over 100 TB stays balanced.
-    Output: one row per group, column ``<col>_q<q>`` unless ``names`` says otherwise.
+    Output: one row per group, column ``<col>_p<percent>`` unless ``names`` says otherwise.
     """
     by = list(by)
     names = dict(names or {})
@@ -122,13 +122,18 @@ def quantiles(df: DataFrame, cols: Sequence[str], qs: Sequence[float], by: Seque
     out = []
     for c in cols:
         for i, q in enumerate(qs):
-            nm = names.get((c, q), f"{c}_q{q:g}")
+            nm = names.get((c, q), qname(c, q))
             out.append(F.max(F.when(F.col("_fw_var") == c, F.col(f"_fw_q{i}"))).alias(nm))
     if by:
         return per_var.groupBy(*by).agg(*out)
     return per_var.agg(*out)
 
 
+def qname(column: str, q: float) -> str:
+    """Default quantile column name: ``<col>_p<percent>`` (``x_p99``, ``x_p99_5``)."""
+    return f"{column}_p{q * 100:g}".replace(".", "_")
+
+
 def median(df: DataFrame, column: str, by: Sequence[str] = (), name: str | None = None) -> DataFrame:
     return quantiles(df, [column], [0.5], by, {(column, 0.5): name or f"{column}_median"})
 
