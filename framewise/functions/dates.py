@@ -19,14 +19,14 @@ def hhmm_to_timestamp(date, hhmm) -> Column:
     longer junk give NULL."""
     t = pad_left(strip_trailing_zero_decimal(hhmm), 4)
     text = F.concat(_c(date).cast("string"), F.lit(" "), F.substring(t, 1, 2), F.lit(":"), F.substring(t, 3, 2))
-    return F.when(F.length(t) == 4, F.try_to_timestamp(text, F.lit("yyyy-MM-dd HH:mm")))
+    return F.when(F.length(t) == 4, F.try_to_timestamp(text, F.lit("yyyy-MM-dd HH:mm")).cast("timestamp_ntz"))
 
 
 def parse_date_weekday(text, fmt: str = "MMM d, yyyy") -> Column:
     """``to_datetime(format="%a, %b %d, %Y")``: Spark cannot parse a weekday name, so the
     leading "Tue, " is removed first."""
     stripped = F.regexp_replace(_c(text), r"^[A-Za-z]{3},\s*", "")
-    return F.try_to_timestamp(stripped, F.lit(fmt)).cast("date")
+    return F.try_to_timestamp(stripped, F.lit(fmt)).cast("timestamp_ntz")
 
 
 def to_number(x) -> Column:
@@ -41,10 +41,19 @@ def add_offset(ts, months: int = 0, days: int = 0) -> Column:
 
 
 def localize_to_utc(ts, tz: str) -> Column:
-    """``tz_localize(tz).tz_convert("UTC")`` for a wall-clock timestamp."""
+    """``tz_localize(tz).tz_convert("UTC")`` for a wall-clock timestamp; the answer is the
+    UTC wall clock (timestamp_ntz), independent of the session time zone. A wall-clock
+    time that occurs twice (DST end) resolves to the earlier instant; one that does not
+    exist (DST start) moves forward by the gap."""
     return F.convert_timezone(F.lit(tz), F.lit("UTC"), _c(ts).cast("timestamp_ntz"))
 
 
+def whole_days_between(start, end) -> Column:
+    """``(end - start).dt.days``: floor of the elapsed 24-hour periods (no time zone)."""
+    us = F.timestamp_diff("MICROSECOND", _c(start), _c(end))
+    return F.floor(us / F.lit(86_400_000_000)).cast("bigint")
+
+
 def nth_weekday_of_month(year, month: int, weekday: str, n: int) -> Column:
     """Date of the n-th ``weekday`` ("MON") of a month, e.g. Columbus Day (2nd Monday of
     October) = nth_weekday_of_month(year, 10, "MON", 2)."""
