@@ -55,6 +55,22 @@ def flatten_struct(df: DataFrame, column: str, sep: str = ".") -> DataFrame:
     return df.select(*rest, *walk("", F.col(column), dtype))
 
 
+def flatten_all(df: DataFrame, sep: str = ".") -> DataFrame:
+    """``json_normalize(records)``: top-level fields keep their names, nested struct fields
+    become ``parent<sep>child`` columns, at any depth."""
+    def walk(prefix: str, path: Column, dtype) -> list[Column]:
+        if isinstance(dtype, StructType):
+            out = []
+            for f in dtype.fields:
+                out += walk(f"{prefix}{sep}{f.name}", path.getField(f.name), f.dataType)
+            return out
+        return [path.alias(prefix)]
+    cols = []
+    for f in df.schema.fields:
+        cols += walk(f.name, F.col(f"`{f.name}`"), f.dataType)
+    return df.select(*cols)
+
+
 def json_normalize(df: DataFrame, column: str, schema: StructType | str, sep: str = ".") -> DataFrame:
     """Parse a JSON text column with a declared schema, then flatten it."""
     parsed = df.withColumn(column, F.from_json(F.col(column), schema))
