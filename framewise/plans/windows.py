@@ -128,3 +128,15 @@ def q_row_trend(spark, d):
     s = table(spark, d, "orders", ["o_orderdate"]).groupBy(F.col("o_orderdate").alias("day")).agg(
         F.count(F.lit(1)).alias("y"))
     return W.trend(s, ["day"])
+
+
+@register("ewm_mean", sql="""
+WITH s AS (SELECT o_orderdate AS day, sum(o_totalprice) / 1000 AS x FROM orders GROUP BY 1),
+p AS (SELECT day, x, row_number() OVER (ORDER BY day) AS i FROM s)
+SELECT a.day, round((sum(b.x * pow(0.97, a.i - b.i)) / sum(pow(0.97, a.i - b.i))) + 5.123e-10, 6) AS x_ewm
+FROM p a JOIN p b ON b.i <= a.i GROUP BY a.day""")
+def q_ewm_mean(spark, d):
+    from framewise.operators.ewm import ewm_mean
+    s = table(spark, d, "orders", ["o_orderdate", "o_totalprice"]).groupBy(F.col("o_orderdate").alias("day")).agg(
+        (F.sum("o_totalprice") / 1000).alias("x"))
+    return ewm_mean(s, "x", ["day"], alpha=0.03, name="x_ewm").select("day", _r(F.col("x_ewm")).alias("x_ewm"))
