@@ -5,8 +5,8 @@ Rows of a DataFrame have no order. Everything order-dependent here takes an expl
 
 ``with_positions`` is the skew-safe replacement for ``row_number()`` over a huge (or
 unpartitioned) window. The sort key (group keys + order) is cut into balanced chunks at
-split points taken from a deterministic hash sample (a bounded number of keys goes to
-the driver); each row's chunk is a pure function of the row (a binary search written as
+split points taken from a deterministic bottom-k hash sample (a bounded number of keys
+goes to the driver); each row's chunk is a pure function of the row (a binary search written as
 nested comparisons), so any recomputation -- a lost executor, a second branch of the
 plan -- lands every row in the same chunk. Rows are numbered inside (chunk, group)
 windows, whose size is bounded by the chunk size even when one group holds a third of
@@ -34,14 +34,16 @@ def _partitions(df: DataFrame, partitions: int | None) -> int:
 
 
 def _chunk_expr(df: DataFrame, keys: list[str], chunks: int) -> Column:
-    """Chunk id in [0, chunks) so that chunk order follows the (ascending) key order."""
-    n = df.count()
-    if n == 0 or chunks <= 1:
+    """Chunk id in [0, chunks) so that chunk order follows the (ascending) key order.
+
+    Split points come from a bottom-k hash sample: the rows with the K smallest
+    ``xxhash64(keys)`` form a uniform sample of fixed size without counting the table
+    first (a TakeOrderedAndProject: each task keeps only its K best)."""
+    if chunks <= 1:
         return F.lit(0)
-    frac = min(1.0, _SAMPLE_PER_CHUNK * chunks / n)
-    cut = int(frac * (1 << 30))
-    sample = (df.select(*keys).filter(F.pmod(F.xxhash64(*keys), F.lit(1 << 30)) < cut)
-              .orderBy(*keys).collect())  # about 64 x chunks keys: bounded
+    k = _SAMPLE_PER_CHUNK * chunks
+    sample = (df.select(*keys, F.xxhash64(*keys).alias("_fw_h")).orderBy("_fw_h").limit(k)
+              .orderBy(*keys).drop("_fw_h").collect())
     if not sample:
         return F.lit(0)
     bounds = []
