@@ -160,7 +160,8 @@ def flow_weather_join(spark, d):
 def games(spark, d):
     """One 'game' per lineitem: home = customer's nation, away = supplier's nation,
     date = ship date; points from quantity and tax. The game id is
-    (l_orderkey, l_linenumber, l_partkey, l_suppkey): order and line number alone repeat."""
+    (l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity): order and line number alone
+    repeat, and without the quantity one pair still repeats at sf0.001."""
     li = table(spark, d, "lineitem", ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_tax",
                                       "l_shipdate"])
     o = table(spark, d, "orders", ["o_orderkey", "o_custkey"])
@@ -169,22 +170,23 @@ def games(spark, d):
     g = li.join(o, li["l_orderkey"] == o["o_orderkey"])
     g = J.join_small(g, c, g["o_custkey"] == c["c_custkey"])
     g = J.join_small(g, s, g["l_suppkey"] == s["s_suppkey"])
-    return g.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.col("l_shipdate").alias("date"),
+    return g.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.col("l_quantity").alias("qty"),
+                    F.col("l_shipdate").alias("date"),
                     F.col("s_nationkey").cast("bigint").alias("away_team"), F.col("c_nationkey").cast("bigint").alias("home_team"),
                     F.col("l_quantity").alias("home_points"), (F.col("l_tax") * 500).alias("away_points"))
 
 
 _GAMES_SQL = """
-g AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_shipdate AS date, s_nationkey::BIGINT AS away_team,
+g AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity AS qty, l_shipdate AS date, s_nationkey::BIGINT AS away_team,
              c_nationkey::BIGINT AS home_team, l_quantity AS home_points, l_tax * 500 AS away_points
       FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey JOIN supplier ON l_suppkey = s_suppkey),
-tidy AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, date, 'away_team' AS variable, away_team AS team FROM g
-         UNION ALL SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, date, 'home_team', home_team FROM g),
+tidy AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, qty, date, 'away_team' AS variable, away_team AS team FROM g
+         UNION ALL SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, qty, date, 'home_team', home_team FROM g),
 r AS (SELECT *, date_diff('day', lag(date) OVER (PARTITION BY team
-        ORDER BY date, l_orderkey, l_linenumber, l_partkey, l_suppkey, variable), date) - 1 AS rest FROM tidy)"""
+        ORDER BY date, l_orderkey, l_linenumber, l_partkey, l_suppkey, qty, variable), date) - 1 AS rest FROM tidy)"""
 
 
-GAME_KEY = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
+GAME_KEY = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "qty"]
 
 
 def tidy_rest(spark, d):
@@ -196,10 +198,10 @@ def tidy_rest(spark, d):
 
 
 @register("flow_rest_days", sql="WITH" + _GAMES_SQL + """
-SELECT g.l_orderkey, g.l_linenumber, g.l_partkey, g.l_suppkey, g.date, g.away_team, g.home_team,
+SELECT g.l_orderkey, g.l_linenumber, g.l_partkey, g.l_suppkey, g.qty, g.date, g.away_team, g.home_team,
   max(rest) FILTER (WHERE variable = 'away_team') AS away_rest, max(rest) FILTER (WHERE variable = 'home_team') AS home_rest
 FROM g JOIN r ON g.l_orderkey = r.l_orderkey AND g.l_linenumber = r.l_linenumber AND g.l_partkey = r.l_partkey
-  AND g.l_suppkey = r.l_suppkey GROUP BY ALL""")
+  AND g.l_suppkey = r.l_suppkey AND g.qty = r.qty GROUP BY ALL""")
 def flow_rest_days(spark, d):
     """Rest days per team -> pivot the two roles back to one row per game."""
     r = tidy_rest(spark, d)
