@@ -8,8 +8,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from framewise.functions.numeric import stable_round
+from framewise.functions.numeric import stable_round, stable_round_sql
 from framewise.operators import blocked as B
+from framewise.operators import forecast as FC
 from framewise.operators import stats as M
 from framewise.operators.ordering import with_positions
 from framewise.plans.registry import register
@@ -89,3 +90,51 @@ SELECT month, round((tr) + 5.123e-10, 6) AS trend, round((seasonal) + 5.123e-10,
 def q_seasonal_decompose(spark, d):
     out = M.seasonal_decompose(monthly_series(spark, d), "y", ["month"], period=12)
     return out.select("month", *[stable_round(c, 6).alias(c) for c in ("trend", "seasonal", "resid")])
+
+
+# ---------------------------------------------------------------- M8, M9: forecasts
+# AR(1) on w = (1 - B)(1 - B^12) y, the monthly series; see operators/forecast.py.
+
+_R = stable_round_sql
+_FORECAST_SQL = """,
+l AS (SELECT month, y, lag(y, 1) OVER o AS y1, lag(y, 12) OVER o AS y12, lag(y, 13) OVER o AS y13
+      FROM p WINDOW o AS (ORDER BY month)),
+x AS (SELECT *, lag(w) OVER (ORDER BY month) AS wl FROM (SELECT *, y - y1 - y12 + y13 AS w FROM l)),
+f AS (SELECT regr_intercept(w, wl) AS c, regr_slope(w, wl) AS phi,
+             sqrt((regr_syy(w, wl) - regr_sxy(w, wl) * regr_sxy(w, wl) / regr_sxx(w, wl)) / (regr_count(w, wl) - 2)) AS sigma
+      FROM x)"""
+
+DYNAMIC_CUTOFF = "2000-01-01"
+
+
+@register("forecast_one_step", sql="WITH" + _MONTHLY_SQL + _FORECAST_SQL + f""",
+q AS (SELECT month, y, y1 + y12 - y13 + c + phi * wl AS pr, sigma FROM x, f WHERE wl IS NOT NULL)
+SELECT month, {_R('y')} AS y, {_R('pr')} AS predicted, {_R('pr - 1.96 * sigma')} AS lower,
+       {_R('pr + 1.96 * sigma')} AS upper FROM q""")
+def q_forecast_one_step(spark, d):
+    """Prediction at each month from the actual history, with a 95 % band."""
+    out = FC.one_step(monthly_series(spark, d), "y", ["month"], p=1, season=12)
+    return out.select("month", *[stable_round(c, 6).alias(c) for c in ("y", "predicted", "lower", "upper")])
+
+
+@register("forecast_dynamic", sql="WITH" + _MONTHLY_SQL + _FORECAST_SQL + f""",
+o AS (SELECT *, row_number() OVER (ORDER BY month) - 1 AS pos FROM x),
+t AS (SELECT min(pos) - 1 AS tt FROM o WHERE month >= TIMESTAMP '{DYNAMIC_CUTOFF}'),
+st AS (SELECT w AS wt, y - y12 AS ut FROM o, t WHERE pos = tt),
+an AS (SELECT pos - tt + 12 AS r, y AS anchor FROM o, t WHERE pos > tt - 12 AND pos <= tt),
+g AS (SELECT month, y, pos - tt AS h, c, phi, sigma, wt, ut FROM o, t, f, st WHERE pos > tt),
+k AS (SELECT *, ut + CASE WHEN phi = 1 THEN wt * h + c * h * (h + 1) / 2
+                     ELSE wt * (phi * (1 - pow(phi, h)) / (1 - phi)) + c * (h - phi * (1 - pow(phi, h)) / (1 - phi)) / (1 - phi) END AS u,
+              CASE WHEN phi = 1 THEN h ELSE (1 - pow(phi, h)) / (1 - phi) END AS cj, ((h - 1) % 12) + 1 AS r FROM g),
+m AS (SELECT *, sum(u) OVER (PARTITION BY r ORDER BY h ROWS UNBOUNDED PRECEDING) AS usum,
+                sum(cj) OVER (PARTITION BY r ORDER BY h ROWS UNBOUNDED PRECEDING) AS psi FROM k),
+v AS (SELECT *, anchor + usum AS pr, 1.96 * sigma * sqrt(sum(psi * psi) OVER (ORDER BY h ROWS UNBOUNDED PRECEDING)) AS half
+      FROM m JOIN an USING (r))
+SELECT month, {_R('y')} AS y, h::BIGINT AS h, {_R('pr')} AS predicted, {_R('pr - half')} AS lower,
+       {_R('pr + half')} AS upper FROM v""")
+def q_forecast_dynamic(spark, d):
+    """From 2000-01 on, forecasts feed the later forecasts; the band widens with psi-weights."""
+    cut = F.col("month") >= F.lit(DYNAMIC_CUTOFF).cast("timestamp")
+    out = FC.dynamic(monthly_series(spark, d), "y", ["month"], cut, season=12)
+    return out.select("month", stable_round("y", 6).alias("y"), "h",
+                      *[stable_round(c, 6).alias(c) for c in ("predicted", "lower", "upper")])
