@@ -165,3 +165,112 @@ def seasonal_decompose(df: DataFrame, value: str, order: Sequence, by: Sequence[
     j = t.join(phase, [*by, "_fw_phase"], "left")
     return j.withColumn("resid", F.col(value) - F.col("trend") - F.col("seasonal")).select(
         *df.columns, "trend", "seasonal", "resid")
+
+
+# ---------------------------------------------------------------- augmented Dickey-Fuller
+# Fixed values (regression with a constant, one variable):
+# MacKinnon (1994) p-value response surface -- upper and lower limits of the statistic,
+# the switch point, and the normal-quantile polynomials below / above it (increasing powers);
+# MacKinnon (2010) finite-sample critical values tau_inf + b1/T + b2/T^2 + b3/T^3.
+ADF_TAU_MAX = 2.74
+ADF_TAU_MIN = -18.83
+ADF_TAU_STAR = -1.61
+ADF_SMALL_P = (2.1659, 1.4412, 0.038269)
+ADF_LARGE_P = (1.7339, 0.93202, -0.12745, -0.010368)
+ADF_CRIT = (("1%", (-3.43035, -6.5393, -16.786, -79.433)),
+            ("5%", (-2.86154, -2.8903, -4.234, -40.040)),
+            ("10%", (-2.56677, -1.5384, -2.809, 0.0)))
+
+
+def adf_pvalue(stat: float) -> float:
+    """Approximate p-value of the Dickey-Fuller statistic (constant, one variable)."""
+    if math.isnan(stat):
+        return float("nan")
+    if stat > ADF_TAU_MAX:
+        return 1.0
+    if stat < ADF_TAU_MIN:
+        return 0.0
+    coef = ADF_SMALL_P if stat <= ADF_TAU_STAR else ADF_LARGE_P
+    zq = sum(c * stat ** i for i, c in enumerate(coef))
+    return 0.5 * (1.0 + math.erf(zq / math.sqrt(2.0)))
+
+
+def adf_critical(nobs: int) -> dict[str, float]:
+    return {k: b[0] + b[1] / nobs + b[2] / nobs ** 2 + b[3] / nobs ** 3 for k, b in ADF_CRIT}
+
+
+def _sub_fit(row: pd.Series, k: int):
+    """Least squares on the leading k regressors of a Gram row: (coef, std err, rss, n)."""
+    xtx = np.empty((k, k))
+    for i in range(k):
+        for j in range(i, k):
+            xtx[i, j] = xtx[j, i] = row[f"_xx{i}_{j}"]
+    xty = np.array([row[f"_xy{i}"] for i in range(k)])
+    n, yy = float(row["_n"]), float(row["_yy"])
+    b = np.linalg.solve(xtx, xty)
+    rss = max(yy - 2 * b @ xty + b @ xtx @ b, 0.0)
+    se = np.sqrt(np.clip(np.diag(np.linalg.inv(xtx)) * rss / (n - k), 0, None))
+    return b, se, rss, n
+
+
+def adf_test(df: DataFrame, value: str, order: Sequence, by: Sequence[str] = (), maxlag: int | None = None) -> DataFrame:
+    """Augmented Dickey-Fuller test with a constant, lag chosen by AIC, per series:
+    (by..., adf, pvalue, usedlag, nobs, crit_1pct, crit_5pct, crit_10pct, icbest).
+
+    ``dy_t = a + g y_(t-1) + sum_{j<=L} d_j dy_(t-j)``. The default largest lag is
+    ``ceil(12 (n/100)^(1/4))``, at most ``n//2 - 2``. Every candidate L is fitted on the
+    same rows (those with all largest-lag terms) from ONE aggregation of Gram sums -- the
+    model with L lags is the leading (L+2) x (L+2) block; the chosen L is refitted on its
+    own rows by a second aggregation, and ``adf`` is the t statistic of ``g``."""
+    by = list(by)
+    sizes = (df.groupBy(*by) if by else df.groupBy()).agg(F.count(F.col(value)).alias("_n_all"))
+    ml = F.ceil(12.0 * F.pow(F.col("_n_all") / 100.0, 0.25)) if maxlag is None else F.lit(maxlag)
+    sizes = sizes.withColumn("_ml", F.least(ml, F.floor(F.col("_n_all") / 2) - 2).cast("int")).drop("_n_all")
+    K = max(int(sizes.agg(F.max("_ml")).first()[0] or 0), 0)  # one number: plans the lag columns
+
+    def build(w):
+        lag = lambda k: F.lag(value, k).over(w)
+        return {"_dy": F.col(value) - lag(1), "_lvl": lag(1), **{f"_d{j}": lag(j) - lag(j + 1) for j in range(1, K + 1)}}
+    x = B.ordered_window(df.filter(F.col(value).isNotNull()), by, order, K + 1, 0, build, keep_position="_pos")
+    x = (x.join(sizes, by, "inner") if by else x.join(F.broadcast(sizes), how="inner")).checkpoint()
+    xs = ["_lvl", *[f"_d{j}" for j in range(1, K + 1)]]
+
+    def regressors(d: DataFrame, used: str) -> DataFrame:
+        d = d.filter((F.col("_pos") >= F.col(used) + 1) & (F.col(used) >= 0))
+        return d.withColumns({f"_d{j}": F.when(F.col(used) >= j, F.col(f"_d{j}")).otherwise(0.0) for j in range(1, K + 1)})
+
+    g1, _ = gram(regressors(x, "_ml"), "_dy", xs, [*by, "_ml"])
+    keys = _kschema(g1, by)
+
+    def choose(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for bt in batches:
+            out = []
+            for _, row in bt.iterrows():
+                best = None
+                for L in range(int(row["_ml"]) + 1):
+                    _, _, rss, n = _sub_fit(row, L + 2)
+                    aic = n * (math.log(2 * math.pi) + math.log(rss / n) + 1) + 2 * (L + 2)
+                    if best is None or aic < best[0]:
+                        best = (aic, L)
+                out.append({**{b: row[b] for b in by}, "_used": best[1], "_ic": best[0]})
+            yield pd.DataFrame(out, columns=[*by, "_used", "_ic"])
+
+    lagsel = g1.mapInPandas(choose, keys + "_used int, _ic double")
+    x2 = x.join(lagsel, by, "inner") if by else x.join(F.broadcast(lagsel), how="inner")
+    g2, _ = gram(regressors(x2, "_used"), "_dy", xs, [*by, "_used", "_ic"])
+
+    def finish(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for bt in batches:
+            out = []
+            for _, row in bt.iterrows():
+                b, se, _, n = _sub_fit(row, int(row["_used"]) + 2)
+                stat = float(b[1] / se[1]) if se[1] > 0 else float("nan")
+                crit = adf_critical(int(n))
+                out.append({**{k: row[k] for k in by}, "adf": stat, "pvalue": adf_pvalue(stat), "usedlag": int(row["_used"]),
+                            "nobs": int(n), "crit_1pct": crit["1%"], "crit_5pct": crit["5%"], "crit_10pct": crit["10%"],
+                            "icbest": float(row["_ic"])})
+            yield pd.DataFrame(out, columns=[*by, "adf", "pvalue", "usedlag", "nobs", "crit_1pct", "crit_5pct",
+                                             "crit_10pct", "icbest"])
+
+    return g2.mapInPandas(finish, keys + "adf double, pvalue double, usedlag long, nobs long, crit_1pct double, "
+                                         "crit_5pct double, crit_10pct double, icbest double")

@@ -138,3 +138,15 @@ def q_forecast_dynamic(spark, d):
     out = FC.dynamic(monthly_series(spark, d), "y", ["month"], cut, season=12)
     return out.select("month", stable_round("y", 6).alias("y"), "h",
                       *[stable_round(c, 6).alias(c) for c in ("predicted", "lower", "upper")])
+
+
+# ---------------------------------------------------------------- M5
+
+@register("adf_test")
+def q_adf_test(spark, d):
+    """ADF on the monthly series and on its first difference (one row each)."""
+    y = monthly_series(spark, d)
+    dy = B.lags(y, [], ["month"], "y", [1], fmt="_y1").select("month", (F.col("y") - F.col("_y1")).alias("y"))
+    both = y.select(F.lit("level").alias("series"), "month", "y").unionByName(
+        dy.filter(F.col("y").isNotNull()).select(F.lit("diff").alias("series"), "month", "y"))
+    return M.adf_test(both, "y", ["month"], by=["series"])
