@@ -139,3 +139,30 @@ def rank_average(df: DataFrame, by: Sequence[str], value: str, tie_break: Sequen
     j = p.join(r, cond, "inner")
     ranked = j.select(*df.columns, (F.col("_fw_first") + 1 + (F.col("_fw_ties") - 1) / 2.0).alias(name))
     return ranked.unionByName(nulls)
+
+
+def previous_leading(df: DataFrame, by: Sequence[str], lead: str, tie_break: Sequence[str],
+                     name: str = "prev") -> DataFrame:
+    """``lag(lead, 1)`` in the order (lead, *tie_break) within ``by``, without sorting rows.
+
+    Within a tie set of equal (group, lead), only the first row (smallest tie-break, which
+    must be unique) looks back to the group's previous distinct ``lead`` value; every other
+    row's previous row has the same ``lead``. So one partial aggregation to distinct
+    (group, lead) pairs, a skew-safe lag on that much smaller table, and one join back
+    (AQE broadcasts it when small) replace a lag over all rows -- worthwhile when ``lead``
+    is coarse (a date per team), not when (group, lead) is nearly unique. The pairs table
+    holds one row per distinct ``lead`` of a group (at most the calendar's days for a
+    date), so its lag is a plain window partitioned by the group."""
+    by = list(by)
+    tb = F.struct(*[F.col(c) for c in tie_break])
+    pairs = df.groupBy(*by, lead).agg(F.min(tb).alias("_fw_first"))
+    pairs = pairs.withColumn("_fw_prevd", F.lag(lead, 1).over(Window.partitionBy(*by).orderBy(lead)))
+    keys = [*by, lead]
+    right = pairs.select(*[F.col(k).alias(f"_fw_k{i}") for i, k in enumerate(keys)], "_fw_first", "_fw_prevd")
+    cond = None
+    for i, k in enumerate(keys):
+        c = F.col(k).eqNullSafe(F.col(f"_fw_k{i}"))
+        cond = c if cond is None else cond & c
+    j = df.join(right, cond, "inner")
+    prev = F.when(tb == F.col("_fw_first"), F.col("_fw_prevd")).otherwise(F.col(lead))
+    return j.select(*df.columns, prev.alias(name))

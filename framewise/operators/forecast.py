@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from framewise.operators import blocked as B
 from framewise.operators import stats as M
+from framewise.session import cut_lineage
 
 
 def _on(by: Sequence[str], left: DataFrame, right: DataFrame, how: str = "inner") -> DataFrame:
@@ -95,8 +96,8 @@ def dynamic(df: DataFrame, value: str, order: Sequence, cutoff: Column, by: Sequ
     by = list(by)
     s = season
     # Cut the lineage: the lagged series feeds the fit, the state, the anchors and the
-    # forecast rows; it is written once to the shared checkpoint folder.
-    x = differenced(df, value, order, by, 1, s, keep_position="_pos").checkpoint()
+    # forecast rows; it is written once below the shared checkpoint folder.
+    x = cut_lineage(differenced(df, value, order, by, 1, s, keep_position="_pos"), "forecast-lags")
     fit = fit_ar(x, by, 1).select(*by, "c", F.col("phi1").alias("phi"), "sigma")
     pos = x.withColumn("_after", F.coalesce(cutoff, F.lit(False)))
     first = pos.filter("_after").groupBy(*by).agg((F.min("_pos") - 1).alias("_T"))

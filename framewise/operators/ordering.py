@@ -84,8 +84,10 @@ def with_positions(df: DataFrame, order: Sequence, by: Sequence[str] = (), name:
     work = work.withColumn("_fw_chunk", chunk)
     w = Window.partitionBy("_fw_chunk", *by).orderBy(*okeys)
     work = work.withColumn("_fw_local", F.row_number().over(w) - 1)
-    # One row per (chunk, group): at most (#groups + #chunks) rows.
-    stats = work.groupBy("_fw_chunk", *by).agg(F.count(F.lit(1)).alias("_fw_n"))
+    # One row per (chunk, group): at most (#groups + #chunks) rows. Counted from the
+    # window's output (max local position + 1), so both branches read the same
+    # exchange (ReuseExchange) instead of computing the input a second time.
+    stats = work.groupBy("_fw_chunk", *by).agg((F.max("_fw_local") + 1).alias("_fw_n"))
     w_prev = Window.partitionBy(*by).orderBy("_fw_chunk").rowsBetween(Window.unboundedPreceding, -1)
     stats = stats.withColumn("_fw_off", F.coalesce(F.sum("_fw_n").over(w_prev), F.lit(0)))
     if size_name:

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from framewise.operators import blocked as B
+from framewise.session import cut_lineage
 
 
 def _kschema(df: DataFrame, by: Sequence[str]) -> str:
@@ -232,7 +233,7 @@ def adf_test(df: DataFrame, value: str, order: Sequence, by: Sequence[str] = (),
         lag = lambda k: F.lag(value, k).over(w)
         return {"_dy": F.col(value) - lag(1), "_lvl": lag(1), **{f"_d{j}": lag(j) - lag(j + 1) for j in range(1, K + 1)}}
     x = B.ordered_window(df.filter(F.col(value).isNotNull()), by, order, K + 1, 0, build, keep_position="_pos")
-    x = (x.join(sizes, by, "inner") if by else x.join(F.broadcast(sizes), how="inner")).checkpoint()
+    x = cut_lineage(x.join(sizes, by, "inner") if by else x.join(F.broadcast(sizes), how="inner"), "adf-lags")
     xs = ["_lvl", *[f"_d{j}" for j in range(1, K + 1)]]
 
     def regressors(d: DataFrame, used: str) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from framewise.operators import filters, resample, windows
 from framewise.plans.registry import register
+from framewise.session import cut_lineage
 from framewise.sources.tables import table
 
 
@@ -191,9 +192,11 @@ GAME_KEY = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "qty"]
 
 def tidy_rest(spark, d):
     """melt the two roles into (game, date, variable, team), then days since the team's
-    previous game minus one (skew-safe lag: a team with a third of all games is split)."""
+    previous game minus one. The previous game's date comes from distinct (team, date)
+    pairs (``previous_leading``): no sort of all rows, and a team with a third of all
+    games is combined map-side."""
     tidy = Rs.melt(games(spark, d), [*GAME_KEY, "date"], ["away_team", "home_team"], "variable", "team")
-    lagged = B.lags(tidy, ["team"], ["date", *GAME_KEY, "variable"], "date", [1], fmt="_prev")
+    lagged = B.previous_leading(tidy, ["team"], "date", [*GAME_KEY, "variable"], name="_prev")
     return lagged.withColumn("rest", (F.datediff(F.col("date").cast("date"), F.col("_prev").cast("date")) - 1).cast("bigint")).drop("_prev")
 
 
@@ -249,9 +252,14 @@ def flow_rest_ma(spark, d):
     """Mean rest per (date, role) -> unstack roles -> keep away < 7 -> 7-row rolling mean."""
     r = tidy_rest(spark, d)
     wide = Rs.pivot(r, ["date"], "variable", ["away_team", "home_team"], F.avg("rest"))
-    wide = wide.filter(F.col("away_team") < 7)
-    a = B.rolling(wide, [], ["date"], "away_team", 7, ["mean"], fmt="away_rest_ma7")
-    h = B.rolling(a, [], ["date"], "home_team", 7, ["mean"], fmt="home_rest_ma7")
+    # One row per date (bounded by the calendar, not by the data): written once, so the
+    # ordered window's sampling pass does not recompute the whole games pipeline.
+    wide = cut_lineage(wide.filter(F.col("away_team") < 7), "rest-by-date")
+
+    def build(w):
+        fw = w.rowsBetween(-6, 0)
+        return {f"{c[:4]}_rest_ma7": F.when(F.count(c).over(fw) >= 7, F.avg(c).over(fw)) for c in ("away_team", "home_team")}
+    h = B.ordered_window(wide, [], ["date"], 6, 0, build)
     return h.select("date", stable_round("away_rest_ma7", 6).alias("away_rest_ma7"),
                     stable_round("home_rest_ma7", 6).alias("home_rest_ma7"))
 

@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings that matter at scale; all are plain Spark configuration keys.
 DEFAULT_CONF = {
@@ -66,3 +66,14 @@ def local_fs_path(path: str) -> str | None:
     if "://" in path:
         return None
     return os.path.abspath(path)
+
+
+def cut_lineage(df: DataFrame, name: str = "cut") -> DataFrame:
+    """Write ``df`` once as parquet below the shared checkpoint folder and read it back.
+
+    Like ``checkpoint()`` this ends the lineage (later jobs and task retries after a lost
+    executor start from the files), but it computes ``df`` once: ``Dataset.checkpoint``
+    counts the data and then recomputes it to write the checkpoint files."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.mode("errorifexists").parquet(path)
+    return df.sparkSession.read.parquet(path)
