@@ -111,3 +111,28 @@ def test_mode_ties_smallest_and_first_non_null(spark):
     r = group_first(df, ["g"], ["x"], ["o"]).collect()[0]
     assert r.x == 5.0
     assert group_first(df, ["g"], ["x"], ["o"], last=True).collect()[0].x == 6.0
+
+
+def test_previous_leading_matches_lag_with_ties_and_hot_key(spark):
+    rng = np.random.default_rng(11)
+    n = 2000
+    team = np.where(rng.random(n) < 0.5, 0, rng.integers(1, 6, n))  # team 0 holds ~half the rows
+    pdf = pd.DataFrame({"team": team.astype("float"), "day": rng.integers(0, 40, n), "id": rng.permutation(n)})
+    pdf.loc[rng.choice(n, 30, replace=False), "team"] = np.nan  # NULL group key forms its own group
+    exp = pdf.sort_values(["team", "day", "id"], na_position="first")
+    exp["prev"] = exp.groupby("team", dropna=False)["day"].shift(1)
+    df = spark.createDataFrame(pdf.astype({"day": "int64", "id": "int64"}).replace({np.nan: None}),
+                               "team double, day long, id long")
+    got = B.previous_leading(df, ["team"], "day", ["id"], name="prev").toPandas()
+    m = exp.merge(got, on="id", suffixes=("_exp", "_got"))
+    assert len(m) == n
+    assert ((m["prev_exp"].isna() & m["prev_got"].isna()) | (m["prev_exp"] == m["prev_got"])).all()
+
+
+def test_cut_lineage_writes_below_checkpoint_dir(spark):
+    from framewise.session import cut_lineage, ensure_checkpoint_dir
+    df = spark.range(100).withColumn("y", F.col("id") * 2)
+    cut = cut_lineage(df, "t")
+    assert cut.agg(F.sum("y")).first()[0] == 9900
+    root = ensure_checkpoint_dir(spark).replace("file:", "").rstrip("/")
+    assert all(root in f for f in cut.inputFiles())
