@@ -60,10 +60,28 @@ def q_acf(spark, d):
     return M.acf(r, "resid", ["trend"], nlags=36).withColumn("acf", stable_round("acf", 9))
 
 
-@register("pacf")
+@register("pacf", sql="WITH RECURSIVE" + _MONTHLY_SQL + """,
+f AS (SELECT regr_slope(y, trend) AS b, regr_intercept(y, trend) AS a FROM p),
+r AS (SELECT trend, y - (a + b * trend) AS e FROM p, f),
+d AS (SELECT trend, e - avg(e) OVER () AS e FROM r),
+k AS (SELECT unnest(generate_series(0, 36)) AS lag),
+ac AS (SELECT k.lag, sum(d1.e * d2.e) / (SELECT sum(e * e) FROM d) AS acf
+       FROM k JOIN d d1 ON true JOIN d d2 ON d2.trend = d1.trend - k.lag GROUP BY k.lag),
+rl AS (SELECT list(acf ORDER BY lag) AS rr FROM ac),
+dl(m, phi, pk) AS (
+  SELECT 1, [rr[2]], rr[2] FROM rl
+  UNION ALL
+  SELECT m + 1, list_append(list_transform(phi, lambda x, j: x - q * phi[m + 1 - j]), q), q
+  FROM (SELECT m, phi, (rr[m + 2] - list_sum(list_transform(phi, lambda x, j: x * rr[m + 2 - j])))
+                       / (1 - list_sum(list_transform(phi, lambda x, j: x * rr[j + 1]))) AS q
+        FROM dl, rl WHERE m < 36))
+SELECT 0::BIGINT AS lag, 1.0::DOUBLE AS pacf
+UNION ALL SELECT m::BIGINT, """ + stable_round_sql("pk", 6) + """ FROM dl""")
 def q_pacf(spark, d):
+    """Durbin-Levinson over the residual ACF (the SQL oracle runs the same recursion as a
+    recursive CTE over the 37 autocorrelations)."""
     r = M.trend_residuals(_with_trend(spark, d), "y", "trend")
-    return M.pacf_from_acf(M.acf(r, "resid", ["trend"], nlags=36))
+    return M.pacf_from_acf(M.acf(r, "resid", ["trend"], nlags=36)).withColumn("pacf", stable_round("pacf", 6))
 
 
 @register("ols_differenced", sql="WITH" + _MONTHLY_SQL + """,
