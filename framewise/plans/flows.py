@@ -311,10 +311,24 @@ def flow_party_donations(spark, d):
 
 # ---------------------------------------------------------------- E11
 
-@register("flow_monthly_model")
+def _monthly_model_sql():
+    from framewise.plans.stats import _MONTHLY_SQL, _ols_sql
+    fitted = " + ".join(f"c{i} * x{i}" for i in range(7))
+    return "WITH RECURSIVE" + _MONTHLY_SQL + """,
+l AS (SELECT month, y, """ + ", ".join(f"lag(y, {k}) OVER (ORDER BY month) AS L{k}" for k in range(1, 6)) + """ FROM y),
+x AS (SELECT y, 1.0 AS x0, (row_number() OVER (ORDER BY month) - 1)::DOUBLE AS x1, """ + ", ".join(
+        f"L{k} AS x{k + 1}" for k in range(1, 6)) + """ FROM l WHERE L5 IS NOT NULL)""" + _ols_sql(7) + f""",
+e0 AS (SELECT x1 AS trend, y - ({fitted}) AS e FROM x, cf),
+e AS (SELECT trend, e - avg(e) OVER () AS e FROM e0),
+k AS (SELECT unnest(generate_series(0, 36)) AS lag)
+SELECT k.lag::BIGINT AS lag, round((sum(e1.e * e2.e) / (SELECT sum(e * e) FROM e)) + 5.123e-10, 6) AS acf
+FROM k JOIN e e1 ON true JOIN e e2 ON e2.trend = e1.trend - k.lag GROUP BY k.lag"""
+
+
+@register("flow_monthly_model", sql=_monthly_model_sql())
 def flow_monthly_model(spark, d):
     """Daily counts -> monthly mean -> lags -> OLS (y ~ trend + L1..L5) -> ACF of its
-    residuals (36 lags). The OLS solve makes this a rows-only check."""
+    residuals (36 lags). The oracle solves the same least squares by Gauss-Jordan in SQL."""
     from framewise.operators import stats as M
     from framewise.operators.ordering import with_positions
     from framewise.plans.stats import monthly_series
@@ -327,7 +341,7 @@ def flow_monthly_model(spark, d):
         fitted = fitted + F.col(f"c_{t}") * F.col(t)
     coef = coef.toDF(*[f"c_{c}" for c in coef.columns])
     resid = x.join(F.broadcast(coef), how="inner").withColumn("resid", F.col("y") - fitted)
-    return M.acf(resid, "resid", ["trend"], nlags=36)
+    return M.acf(resid, "resid", ["trend"], nlags=36).withColumn("acf", stable_round("acf", 6))
 
 
 # ---------------------------------------------------------------- E12

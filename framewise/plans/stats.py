@@ -32,12 +32,44 @@ def _with_trend(spark, d):
     return with_positions(monthly_series(spark, d), ["month"], name="trend")
 
 
-@register("ols_lagged")
+def _ols_sql(p: int) -> str:
+    """Least squares in SQL for the oracle: Gram sums, then Gauss-Jordan elimination of
+    [X'X | X'y | I] as a recursive CTE over a p x (2p + 1) list matrix; residuals are
+    summed from the data. Expects a CTE ``x(y, x0..x{p-1})``."""
+    ij = lambda i, j: f"s{min(i, j)}_{max(i, j)}"
+    sums = ", ".join([f"sum(x{i} * x{j}) AS s{i}_{j}" for i in range(p) for j in range(i, p)]
+                     + [f"sum(x{i} * y) AS b{i}" for i in range(p)])
+    rows = ", ".join("[" + ", ".join([ij(i, j) for j in range(p)] + [f"b{i}"] + ["1.0" if j == i else "0.0" for j in range(p)])
+                     + "]" for i in range(p))
+    coefs = ", ".join(f"mm[{i + 1}][{p + 1}] AS c{i}" for i in range(p))
+    fitted = " + ".join(f"c{i} * x{i}" for i in range(p))
+    return f""",
+g AS (SELECT {sums} FROM x),
+ge(i, mm) AS (SELECT 0, [{rows}]::DOUBLE[][] FROM g
+  UNION ALL SELECT i + 1, list_transform(mm, lambda rw, r: CASE WHEN r = i + 1 THEN list_transform(rw, lambda v: v / rw[i + 1])
+      ELSE list_transform(rw, lambda v, cc: v - rw[i + 1] * mm[i + 1][cc] / mm[i + 1][i + 1]) END) FROM ge WHERE i < {p}),
+fin AS (SELECT mm FROM ge WHERE i = {p}),
+cf AS (SELECT {coefs} FROM fin),
+rs AS (SELECT sum((y - ({fitted})) * (y - ({fitted}))) AS rss, count(*) AS n FROM x, cf),
+t AS (SELECT unnest(generate_series(1, {p})) AS t)"""
+
+
+_OLS_TERMS = ["Intercept", "trend", "L1", "L2", "L3", "L4", "L5"]
+
+
+@register("ols_lagged", sql="WITH RECURSIVE" + _MONTHLY_SQL + """,
+l AS (SELECT month, y, """ + ", ".join(f"lag(y, {k}) OVER (ORDER BY month) AS L{k}" for k in range(1, 6)) + """ FROM y),
+x AS (SELECT y, 1.0 AS x0, (row_number() OVER (ORDER BY month) - 1)::DOUBLE AS x1, """ + ", ".join(
+    f"L{k} AS x{k + 1}" for k in range(1, 6)) + """ FROM l WHERE L5 IS NOT NULL)""" + _ols_sql(7) + f"""
+SELECT {_OLS_TERMS!r}[t] AS term, {stable_round_sql("mm[t][8]", 6)} AS coef,
+       {stable_round_sql("sqrt(rss / (n - 7) * mm[t][8 + t])", 6)} AS std_err, n::BIGINT AS nobs,
+       {stable_round_sql("rss", 6)} AS rss FROM t, fin, rs""")
 def q_ols_lagged(spark, d):
     """y ~ trend + L1..L5 on the rows where all five lags exist; trend restarts at 0 there."""
     lagged = B.lags(monthly_series(spark, d), [], ["month"], "y", range(1, 6), fmt="L{k}").dropna()
     x = with_positions(lagged, ["month"], name="trend")
-    return M.ols(x, "y", ["trend", "L1", "L2", "L3", "L4", "L5"])
+    out = M.ols(x, "y", ["trend", "L1", "L2", "L3", "L4", "L5"])
+    return out.withColumns({c: stable_round(c, 6) for c in ("coef", "std_err", "rss")})
 
 
 @register("ols_trend_residuals", sql="WITH" + _MONTHLY_SQL + """,
