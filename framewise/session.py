@@ -51,9 +51,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique folder below the shared checkpoint folder (never machine-local on a cluster)."""
+    """A fresh, unique folder below the shared checkpoint folder (never machine-local on a
+    cluster), grouped per application so a finished job's scratch can be removed at once."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/scratch/{name}-{uuid.uuid4().hex[:12]}"
+    return f"{base}/scratch/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex[:12]}"
 
 
 def local_fs_path(path: str) -> str | None:
