@@ -104,11 +104,12 @@ def running(df: DataFrame, by: Sequence[str], order: Sequence, value: str, aggs:
     return j.select(*df.columns, *[outs[a].alias(fmt.format(value=value, agg=a)) for a in aggs])
 
 
-def rolling_time(df: DataFrame, by: Sequence[str], ts: str, value: str, length_micros: int,
+def rolling_time(df: DataFrame, by: Sequence[str], ts: str, value: str | Sequence[str], length_micros: int,
                  aggs: Sequence[str] = ("mean",), fmt: str = "{value}_{agg}_t") -> DataFrame:
     """``rolling("30D").agg()``: frame (t - L, t], at least one value. Time blocks of width L;
     each row is copied once into the next block as halo, so a frame never leaves its
-    (key, block) partition."""
+    (key, block) partition. Several value columns share one pass (one shuffle)."""
+    values = [value] if isinstance(value, str) else list(value)
     fns = {"sum": F.sum, "mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max, "count": F.count}
     us = F.unix_micros(F.col(ts).cast("timestamp"))
     blk = F.floor(us / length_micros)
@@ -116,8 +117,8 @@ def rolling_time(df: DataFrame, by: Sequence[str], ts: str, value: str, length_m
         F.struct(blk.alias("blk"), F.lit(True).alias("home")), F.struct((blk + 1).alias("blk"), F.lit(False).alias("home")))))
     x = x.withColumn("_fw_blk", F.col("_fw_e.blk")).withColumn("_fw_home", F.col("_fw_e.home")).drop("_fw_e")
     w = Window.partitionBy(*by, "_fw_blk").orderBy("_fw_us").rangeBetween(-(length_micros - 1), 0)
-    cols = {fmt.format(value=value, agg=a): F.when(F.count(F.col(value)).over(w) >= 1, fns[a](F.col(value)).over(w))
-            for a in aggs}
+    cols = {fmt.format(value=v, agg=a): F.when(F.count(F.col(v)).over(w) >= 1, fns[a](F.col(v)).over(w))
+            for v in values for a in aggs}
     return x.withColumns(cols).filter(F.col("_fw_home")).select(*df.columns, *cols)
 
 

@@ -304,9 +304,9 @@ def flow_party_donations(spark, d):
     wide = Rs.unstack(sums, ["day"], "party", "amt", ["BUILDING", "MACHINERY"])
     trimmed = positional_rows(wide, ["day"], 1, -2)
     day_us = 86_400_000_000
-    r = B.rolling_time(trimmed, [], "day", "BUILDING", 30 * day_us, ["mean"], fmt="building_30d")
-    r = B.rolling_time(r, [], "day", "MACHINERY", 30 * day_us, ["mean"], fmt="machinery_30d")
-    return r.select("day", stable_round("building_30d", 4).alias("building_30d"), stable_round("machinery_30d", 4).alias("machinery_30d"))
+    r = B.rolling_time(trimmed, [], "day", ["BUILDING", "MACHINERY"], 30 * day_us, ["mean"], fmt="{value}_30d")
+    return r.select("day", stable_round("BUILDING_30d", 4).alias("building_30d"),
+                    stable_round("MACHINERY_30d", 4).alias("machinery_30d"))
 
 
 # ---------------------------------------------------------------- E11
