@@ -117,7 +117,9 @@ def rolling_time(df: DataFrame, by: Sequence[str], ts: str, value: str | Sequenc
         F.struct(blk.alias("blk"), F.lit(True).alias("home")), F.struct((blk + 1).alias("blk"), F.lit(False).alias("home")))))
     x = x.withColumn("_fw_blk", F.col("_fw_e.blk")).withColumn("_fw_home", F.col("_fw_e.home")).drop("_fw_e")
     w = Window.partitionBy(*by, "_fw_blk").orderBy("_fw_us").rangeBetween(-(length_micros - 1), 0)
-    cols = {fmt.format(value=v, agg=a): F.when(F.count(F.col(v)).over(w) >= 1, fns[a](F.col(v)).over(w))
+    # count is 0 over an all-NULL frame; the other aggregates need at least one value
+    cols = {fmt.format(value=v, agg=a): (F.count(F.col(v)).over(w) if a == "count" else
+                                         F.when(F.count(F.col(v)).over(w) >= 1, fns[a](F.col(v)).over(w)))
             for v in values for a in aggs}
     return x.withColumns(cols).filter(F.col("_fw_home")).select(*df.columns, *cols)
 

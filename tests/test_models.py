@@ -127,3 +127,19 @@ def test_forest_grid_search_learns_a_separable_rule(spark):
     assert len(got) == 2 and {r["param_max_depth"] for r in got} == {1, 3}
     # x >= 5 decides y; rows with x imputed by the median (4.5 -> 5 side) cost a few points
     assert max(r["mean_test_score"] for r in got) > 0.85
+
+
+def test_one_step_ar2_matches_brute_force(spark):
+    y = _series(70, 0.4, 9, season=2.0)
+    s = 12
+    w = {t: y[t] - y[t - 1] - y[t - s] + y[t - s - 1] for t in range(s + 1, len(y))}
+    ts = [t for t in w if t - 2 in w]
+    X = np.array([[1.0, w[t - 1], w[t - 2]] for t in ts])
+    b, _, rss = _ols(X, np.array([w[t] for t in ts]))
+    sigma = math.sqrt(rss / (len(ts) - 3))
+    got = {r["t"]: r for r in FC.one_step(_frame(spark, {"a": y}), "y", ["t"], by=["k"], p=2).collect()}
+    assert sorted(got) == ts
+    for t in ts:
+        pred = y[t - 1] + y[t - s] - y[t - s - 1] + b[0] + b[1] * w[t - 1] + b[2] * w[t - 2]
+        assert got[t]["predicted"] == pytest.approx(pred, rel=1e-8)
+        assert got[t]["upper"] - got[t]["predicted"] == pytest.approx(1.96 * sigma, rel=1e-8)

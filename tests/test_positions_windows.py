@@ -136,3 +136,23 @@ def test_cut_lineage_writes_below_checkpoint_dir(spark):
     assert cut.agg(F.sum("y")).first()[0] == 9900
     root = ensure_checkpoint_dir(spark).replace("file:", "").rstrip("/")
     assert all(root in f for f in cut.inputFiles())
+
+
+def test_rolling_time_several_columns_match_pandas(spark):
+    rng = np.random.default_rng(5)
+    n = 600
+    ts = pd.Timestamp("2020-01-01") + pd.to_timedelta(np.sort(rng.integers(0, 200 * 86400, n)), unit="s")
+    pdf = pd.DataFrame({"k": rng.integers(0, 3, n), "ts": ts, "a": rng.normal(size=n), "b": rng.normal(size=n)})
+    pdf.loc[rng.choice(n, 50, replace=False), "b"] = np.nan
+    df = spark.createDataFrame(pdf.replace({np.nan: None}), "k long, ts timestamp_ntz, a double, b double")
+    got = B.rolling_time(df, ["k"], "ts", ["a", "b"], 7 * 86_400_000_000, ["mean", "count"], fmt="{value}_{agg}").toPandas()
+    exp = pdf.sort_values(["k", "ts"]).copy()
+    for c in ("a", "b"):
+        r = exp.groupby("k").rolling("7D", on="ts")[c]
+        exp[f"{c}_mean"] = r.mean().values
+        exp[f"{c}_count"] = r.count().values
+    m = exp.merge(got, on=["k", "ts", "a"], suffixes=("", "_got"))
+    assert len(m) == n
+    for c in ("a_mean", "b_mean", "a_count", "b_count"):
+        e, g = m[c].astype(float), m[f"{c}_got"].astype(float)
+        assert ((e.isna() & g.isna()) | ((e - g).abs() < 1e-9)).all(), c
