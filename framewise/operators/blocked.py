@@ -77,7 +77,11 @@ def rolling(df: DataFrame, by: Sequence[str], order: Sequence, value: str, n: in
     def build(w):
         fw = w.rowsBetween(lo, hi)
         guard = F.count(F.col(value)).over(fw) >= need
-        return {fmt.format(value=value, agg=a, n=n): F.when(guard, fns[a](F.col(value)).over(fw)) for a in aggs}
+        # count: NULL only while the frame holds fewer rows than min_periods, else the
+        # number of non-NULL values (0 allowed)
+        rows = F.count(F.lit(1)).over(fw) >= need
+        return {fmt.format(value=value, agg=a, n=n): F.when(rows if a == "count" else guard, fns[a](F.col(value)).over(fw))
+                for a in aggs}
     return ordered_window(df, by, order, -lo, hi, build, block_rows)
 
 

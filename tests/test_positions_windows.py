@@ -156,3 +156,12 @@ def test_rolling_time_several_columns_match_pandas(spark):
     for c in ("a_mean", "b_mean", "a_count", "b_count"):
         e, g = m[c].astype(float), m[f"{c}_got"].astype(float)
         assert ((e.isna() & g.isna()) | ((e - g).abs() < 1e-9)).all(), c
+
+
+def test_rolling_count_follows_rows_in_frame(spark):
+    import math
+    xs = [1.0, None, 3.0, 4.0, None, None, None]
+    df = spark.createDataFrame([(i, x) for i, x in enumerate(xs)], "t long, x double")
+    got = {r["t"]: r["x_count3"] for r in B.rolling(df, [], ["t"], "x", 3, ["count"]).collect()}
+    exp = pd.Series([math.nan if x is None else x for x in xs]).rolling(3).count().tolist()
+    assert [got[i] for i in range(len(xs))] == [None if math.isnan(e) else int(e) for e in exp]
