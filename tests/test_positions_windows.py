@@ -165,3 +165,18 @@ def test_rolling_count_follows_rows_in_frame(spark):
     got = {r["t"]: r["x_count3"] for r in B.rolling(df, [], ["t"], "x", 3, ["count"]).collect()}
     exp = pd.Series([math.nan if x is None else x for x in xs]).rolling(3).count().tolist()
     assert [got[i] for i in range(len(xs))] == [None if math.isnan(e) else int(e) for e in exp]
+
+
+def test_previous_leading_with_null_dates(spark):
+    rng = np.random.default_rng(12)
+    n = 400
+    pdf = pd.DataFrame({"team": rng.integers(0, 3, n).astype("float"), "day": rng.integers(0, 15, n).astype("float"),
+                        "id": rng.permutation(n)})
+    pdf.loc[rng.choice(n, 25, replace=False), "day"] = np.nan  # NULL dates sort first, as in an ascending lag
+    exp = pdf.sort_values(["team", "day", "id"], na_position="first")
+    exp["prev"] = exp.groupby("team")["day"].shift(1)
+    df = spark.createDataFrame(pdf.astype({"id": "int64"}).replace({np.nan: None}), "team double, day double, id long")
+    got = B.previous_leading(df, ["team"], "day", ["id"], name="prev").toPandas()
+    m = exp.merge(got, on="id", suffixes=("_exp", "_got"))
+    assert len(m) == n
+    assert ((m["prev_exp"].isna() & m["prev_got"].isna()) | (m["prev_exp"] == m["prev_got"])).all()
