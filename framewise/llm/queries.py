@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from framewise.llm import chat, lines, mixing, secrets
+from framewise.llm import chat, language, lines, mixing, neighbours, secret_scan, tokens
 from framewise.sources.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -62,11 +62,47 @@ def drop_common_lines(spark, sf_dir):
                        _sha(F.array_join("kept", "\n")).alias("kept_sha256"))
 
 
-@register("op8_scan_secrets", sql=secrets.SQL)
+@register("op8_scan_secrets", sql=secret_scan.SQL)
 def scan_secrets(spark, sf_dir):
-    found = secrets.scan(table(spark, sf_dir, "documents", ["doc_id", "text"]))
-    base = F.filter("spans", lambda s: s["kind"] < sum(r.base for r in secrets.RULES))
+    found = secret_scan.scan(table(spark, sf_dir, "documents", ["doc_id", "text"]))
+    base = F.filter("spans", lambda s: s["kind"] < sum(r.base for r in secret_scan.RULES))
     of_kind = lambda n: F.size(F.filter("spans", lambda s: s["kind"] == n)).cast("long")
-    return found.select("doc_id", *[of_kind(n).alias(f"n_{r.kind}") for n, r in enumerate(secrets.RULES) if r.base],
-                        _sha(secrets.span_text(base, secrets.RULES)).alias("base_sha256"),
-                        secrets.span_text(F.col("spans"), secrets.RULES).alias("spans"))
+    return found.select("doc_id", *[of_kind(n).alias(f"n_{r.kind}") for n, r in enumerate(secret_scan.RULES) if r.base],
+                        _sha(secret_scan.span_text(base, secret_scan.RULES)).alias("base_sha256"),
+                        secret_scan.span_text(F.col("spans"), secret_scan.RULES).alias("spans"))
+
+
+#: Public tokenizer of op3; its folder is a parameter.
+TOKENIZER = "byte_bpe_50k.json"
+TOKEN_LIMIT = 512
+
+
+def tokenizer_file(name: str = TOKENIZER, folder: str | None = None) -> str:
+    if folder is None:
+        import public_tokenizers
+        path = public_tokenizers.path(name)
+    else:
+        path = f"{folder}/{name}"
+    with open(path, encoding="utf-8") as f:
+        return f.read()
+
+
+@register("op3_token_counts")
+def token_counts(spark, sf_dir):
+    stored = tokens.token_prefixes(table(spark, sf_dir, "documents", ["doc_id", "text"]), tokenizer_file(), keep=["doc_id"])
+    return stored.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > TOKEN_LIMIT).alias("over_limit"),
+                         tokens.fits(TOKEN_LIMIT)("prefix_tokens").alias("chars_within_limit"))
+
+
+@register("op9_language_id")
+def language_id(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents", ["doc_id", "text", "lang"])
+    model = language.train(docs.where(~language.held_out(F.col("doc_id"))))
+    return (language.predict(docs.select("doc_id", "text"), model, keep=["doc_id"])
+            .select("doc_id", language.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score"))
+
+
+@register("op10_nearest_vectors")
+def nearest_vectors(spark, sf_dir):
+    rows = table(spark, sf_dir, "embeddings", ["vec_id", "embedding"])
+    return neighbours.nearest(rows.where("vec_id % 100 = 0"), rows)
