@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from framewise.llm import chat, language, lines, mixing, neighbours, secret_scan, tokens
+from framewise.llm import chat, decontamination, language, lines, mixing, neighbours, secret_scan, tokens
 from framewise.sources.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -106,3 +106,9 @@ def language_id(spark, sf_dir):
 def nearest_vectors(spark, sf_dir):
     rows = table(spark, sf_dir, "embeddings", ["vec_id", "embedding"])
     return neighbours.nearest(rows.where("vec_id % 100 = 0"), rows)
+
+
+@register("op1_decontaminate")
+def decontaminate(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents", ["doc_id", "text"])
+    return decontamination.find_leaks(docs, table(spark, sf_dir, "benchmark", ["item_id", "text"])).drop("rk")
