@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from framewise.llm import chat, decontamination, language, lines, mixing, neighbours, secret_scan, tokens
+from framewise.llm import chat, decontamination, language, lines, mixing, neighbours, ngram_join, secret_scan, tokens
 from framewise.sources.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -112,3 +112,9 @@ def nearest_vectors(spark, sf_dir):
 def decontaminate(spark, sf_dir):
     docs = table(spark, sf_dir, "documents", ["doc_id", "text"])
     return decontamination.find_leaks(docs, table(spark, sf_dir, "benchmark", ["item_id", "text"])).drop("rk")
+
+
+@register("op4_ngram_join")
+def ngram_near_duplicates(spark, sf_dir):
+    return (ngram_join.near_duplicates(table(spark, sf_dir, "documents", ["doc_id", "text"]))
+            .select("doc_id", "n_shingles", "component_id"))
