@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from framewise.llm import chat, decontamination, language, lines, mixing, neighbours, ngram_join, secret_scan, tokens
+from framewise.llm import chat, decontamination, language, lines, mixing, neighbours, ngram_join, secret_scan, substrings, tokens
 from framewise.sources.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -118,3 +118,9 @@ def decontaminate(spark, sf_dir):
 def ngram_near_duplicates(spark, sf_dir):
     return (ngram_join.near_duplicates(table(spark, sf_dir, "documents", ["doc_id", "text"]))
             .select("doc_id", "n_shingles", "component_id"))
+
+
+@register("op6_drop_repeats")
+def drop_repeats(spark, sf_dir):
+    done = substrings.drop_repeats(table(spark, sf_dir, "documents", ["doc_id", "text"]))
+    return done.select("doc_id", "n_words", "n_removed", _sha(F.col("kept_text")).alias("kept_sha256"))
