@@ -84,13 +84,15 @@ class Model:
 
 
 def train(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", buckets: int = BUCKETS) -> Model:
-    """Fits on all rows with a language and a text. Raises if there are none, or if languages x buckets
-    would pass ``MAX_ENTRIES``."""
+    """Fits on all rows with a language and a text. Without any, the model knows no language. Raises if
+    languages x buckets would pass ``MAX_ENTRIES``."""
     require(labelled, text_col, lang_col)
     rows = labelled.select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).where("text is not null and lang is not null")
     priors = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).limit(MAX_ENTRIES // buckets + 1).collect()}
-    if not priors or len(priors) * buckets > MAX_ENTRIES:
-        raise ValueError(f"{len(priors)} languages with {buckets} buckets: between 1 and {MAX_ENTRIES // buckets} can be learned")
+    if len(priors) * buckets > MAX_ENTRIES:
+        raise ValueError(f"{len(priors)} languages or more with {buckets} buckets: at most {MAX_ENTRIES // buckets} can be learned")
+    if not priors:
+        return Model([], np.zeros(0), np.zeros((0, buckets), np.float32))
     languages = sorted(priors)
     row_of = {v: i for i, v in enumerate(languages)}
 
@@ -119,7 +121,7 @@ def train(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", b
 def predict(df: DataFrame, model: Model, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
     """The kept columns (default: all), ``lang_pred`` and ``score``, the probability of that language.
 
-    Texts that are NULL or hold no letter get ``und`` and score 0. Ties go to the language first in code
+    Texts that are NULL or hold no letter get ``und`` and score 0, all texts if the model knows no language. Ties go to the language first in code
     point order. Repeated rows keep their rows; an empty table gives an empty result. A kept column named
     like a result is refused."""
     keep = df.columns if keep is None else keep
@@ -137,7 +139,8 @@ def predict(df: DataFrame, model: Model, text_col: str = "text", keep: list[str]
         names = np.array([*languages, UNDETERMINED], object)
         for batch in batches:
             best, sure = np.zeros(batch.num_rows, np.int64), np.zeros(batch.num_rows)
-            for first, run in text_chunks(batch.column("__text").to_pylist()):
+            best[:] = len(languages)
+            for first, run in text_chunks(batch.column("__text").to_pylist()) if languages else ():
                 sums, seen = np.tile(log_prior, (len(run), 1)), np.zeros(len(run), np.int64)
                 for bucket, at in grams(run, letters, buckets):
                     has = np.flatnonzero(np.diff(at) > 0)
