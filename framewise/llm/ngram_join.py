@@ -15,8 +15,10 @@ count, and its documents' entries travel by block: no part holds a hot shingle a
 Equal sets are joined as one. Groups of near copies are not expanded into pairs: in each
 round a prefix shingle's sets are compared with one pivot only; sets that the links found so
 far put into one component need no further comparison. After ``PIVOT_ROUNDS`` all pairs that
-share a prefix shingle and still lie in different components are compared: that is exact, and
-few pairs are left where copies abound.
+share a prefix shingle and still lie in different components are compared, which makes the
+result exact. For shingles of few sets a join lists them; the sets of other shingles meet
+in blocks, where length, positional and suffix filter are applied to whole arrays, and only
+pairs that pass all three come out.
 """
 
 from __future__ import annotations
@@ -43,6 +45,9 @@ PART_BYTES = 16 << 20  # of text for each part of the hash range
 PIVOT_ROUNDS = 2
 BLOCK_ROWS = 1 << 15
 BLOCK_BYTES = 4 << 20
+SMALL_GROUP = 64
+MEMBER_BLOCK = 512
+RANGES = 64
 
 
 def pack(tokens: np.ndarray) -> bytes:
@@ -252,7 +257,7 @@ def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             rows = zip(b.column("rep").to_pylist(), b.column("v").to_pylist(), b.column("n").to_pylist(), b.column("tokens").to_pylist(), strict=True)
             for rep, other, n, tokens in rows:
                 got = unpack(tokens)
-                part = np.bincount((got >> np.uint64(42)).astype(np.int64), minlength=64)
+                part = _spread(got)
                 if other is None:
                     now, n_now, mine, spread = rep, n, np.sort(got), part
                     continue
@@ -271,11 +276,70 @@ def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             .mapInArrow(check, "u long, v long"))
 
 
+def _spread(tokens: np.ndarray) -> np.ndarray:
+    """How many shingles lie in each of ``RANGES`` parts of the hash range: the smaller counts of two sets, added
+    up, are at least what they share."""
+    return np.bincount((tokens >> np.uint64(42)).astype(np.int64), minlength=RANGES)
+
+
+def _pairs_of_few(now: DataFrame, percent: int) -> DataFrame:
+    return (now.alias("x").join(now.alias("p"), "token")
+            .where((F.col("x.rep") > F.col("p.rep")) & (F.col("x.comp") != F.col("p.comp")) & _may_link("x", "p", percent))
+            .select(F.col("p.rep").alias("u"), F.col("x.rep").alias("v")))
+
+
+def _pairs_of_many(now: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The sets of a shingle are dealt to blocks of about ``MEMBER_BLOCK``; every two blocks meet in one place.
+    A pair comes out at the first prefix shingle that both hold, and so only once."""
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            held = [unpack(x) for x in b.column("tokens").to_pylist()]
+            longest = [len(x) - least_shared(n, percent) + 1 for x, n in zip(held, b.column("n").to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays(
+                [b.column("rep"), pa.array([_spread(x).astype("<u4").tobytes() for x in held], pa.binary()),
+                 pa.array([pack(x[:p]) for x, p in zip(held, longest, strict=True)], pa.binary())], names=["rep", "spread", "prefix"])
+
+    wanted = sets.join(now.select("rep").distinct(), "rep", "left_semi").select("rep", "n", "tokens")
+    spreads = cut_lineage(wanted.mapInArrow(spread, "rep long, spread binary, prefix binary"), "spreads")
+    blocks = F.ceil(F.col("size") / MEMBER_BLOCK).cast("int")
+    own = F.pmod(F.xxhash64("rep"), blocks).cast("int")
+    met = (now.join(spreads, "rep").withColumn("own", own)
+           .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+           .select("token", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "rep", "n", "pos", "comp", "spread", "prefix"))
+
+    def compare(group: pa.Table) -> pa.Table:
+        rep, n, pos, comp, own = (group[c].to_numpy().astype(np.int64) for c in ("rep", "n", "pos", "comp", "own"))
+        held = np.frombuffer(b"".join(group["spread"].to_pylist()), "<u4").reshape(-1, RANGES)
+        token = group["token"][0].as_py()
+        earlier = []
+        for x in group["prefix"].to_pylist():
+            prefix = unpack(x).tolist()
+            earlier.append(frozenset(prefix[:prefix.index(token)]))
+        first = np.flatnonzero(own == group["i"][0].as_py())
+        second = np.flatnonzero(own == group["j"][0].as_py())
+        one_block = np.array_equal(first, second)
+        u, v = [], []
+        for k, x in enumerate(first):
+            y = second[k + 1:] if one_block else second
+            y = y[(comp[y] != comp[x]) & (np.minimum(n[y], n[x]) * 100 >= np.maximum(n[y], n[x]) * percent)]
+            need = (n[y] + n[x]) * percent
+            fits = np.minimum(n[y] - pos[y], n[x] - pos[x]) * (100 + percent) >= need
+            y, need = y[fits], need[fits]
+            y = y[np.minimum(held[y], held[x]).sum(axis=1).astype(np.int64) * (100 + percent) >= need]
+            y = y[[earlier[x].isdisjoint(earlier[z]) for z in y.tolist()]] if len(y) else y
+            u.append(np.minimum(rep[x], rep[y]))
+            v.append(np.maximum(rep[x], rep[y]))
+        none = [np.zeros(0, np.int64)]
+        return pa.table({"u": np.concatenate(u or none), "v": np.concatenate(v or none)})
+
+    return met.groupBy("token", "i", "j").applyInArrow(compare, "u long, v long")
+
+
 def _links(sets: DataFrame, percent: int) -> DataFrame:
     """(``u``, ``v``) of every set but the roots: its component's smallest set."""
     entries = _entries(sets, percent)
-    shared = entries.groupBy("token").agg(F.count("*").alias("size")).where("size > 1").select("token")
-    entries = cut_lineage(entries.join(shared, "token", "left_semi"), "prefixes")
+    shared = entries.groupBy("token").agg(F.count("*").alias("size")).where("size > 1")
+    entries = cut_lineage(entries.join(cut_lineage(shared, "shared"), "token"), "prefixes")
     tree = None
     for turn in range(PIVOT_ROUNDS + 1):
         now = entries.withColumn("comp", F.col("rep"))
@@ -290,15 +354,14 @@ def _links(sets: DataFrame, percent: int) -> DataFrame:
         if turn < PIVOT_ROUNDS:
             order = F.xxhash64("rep", F.lit(turn))
             pivots = now.groupBy("token").agg(F.min_by(F.struct("rep", "n", "pos", "comp"), order).alias("p")).select("token", "p.*")
+            pairs = (now.alias("x").join(pivots.alias("p"), "token")
+                     .where((F.col("x.rep") != F.col("p.rep")) & (F.col("x.comp") != F.col("p.comp")) & _may_link("x", "p", percent))
+                     .select(F.least("x.rep", "p.rep").alias("u"), F.greatest("x.rep", "p.rep").alias("v")))
         else:
-            pivots = now
-        one_way = F.col("x.rep") != F.col("p.rep") if turn < PIVOT_ROUNDS else F.col("x.rep") > F.col("p.rep")
-        pairs = (now.alias("x").join(pivots.alias("p"), "token")
-                 .where(one_way & (F.col("x.comp") != F.col("p.comp")) & _may_link("x", "p", percent))
-                 .select(F.least("x.rep", "p.rep").alias("u"), F.greatest("x.rep", "p.rep").alias("v")).distinct())
-        found = cut_lineage(_verify(cut_lineage(pairs, "pairs"), sets, percent), "links")
-        links = found if tree is None else tree.unionByName(found)
-        tree = components(links)
+            few = F.col("size") <= SMALL_GROUP
+            pairs = _pairs_of_few(now.where(few), percent).unionByName(_pairs_of_many(now.where(~few), sets, percent))
+        found = cut_lineage(_verify(cut_lineage(pairs.distinct(), "pairs"), sets, percent), "links")
+        tree = components(found if tree is None else tree.unionByName(found))
     return tree
 
 
