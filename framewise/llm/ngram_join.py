@@ -44,7 +44,7 @@ COMMON = 16
 PART_BYTES = 16 << 20  # of text for each part of the hash range
 PIVOT_ROUNDS = 2
 BLOCK_ROWS = 1 << 15
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 2 << 20
 SMALL_GROUP = 64
 MEMBER_BLOCK = 512
 RANGES = 64
