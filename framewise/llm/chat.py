@@ -38,7 +38,7 @@ class Mapping:
 
 ROLES = {"human": "user", "gpt": "assistant", "bot": "assistant", "model": "assistant"}
 MAPPINGS = (
-    Mapping("rows", ("conv_id", "role", "text", "turn"), rows=("conv_id", "turn", "role", "text")),
+    Mapping("rows", ("role", "text", "turn"), rows=("conv_id", "turn", "role", "text")),
     Mapping("messages", ("messages", "messages[].content", "messages[].role"), listed=("messages", "role", "content")),
     Mapping("share", ("conversations", "conversations[].from", "conversations[].value"), listed=("conversations", "from", "value")),
     Mapping("prompt_response", ("prompt", "response"), fields=(("user", "prompt"), ("assistant", "response"))),
@@ -93,7 +93,10 @@ def canonical(df: DataFrame, id_col: str = "conv_id") -> DataFrame:
     One row per turn: rows are grouped by id and put in order of turn, ties by role and text, NULL
     first; NULL roles and texts are empty; a NULL id is one conversation. Other layouts keep one row
     per input row, repeated rows included; a NULL list has no turns, a NULL message is left out."""
-    found = BY_FINGERPRINT.get(fingerprint(schema_paths(df.schema)))
+    paths = schema_paths(df.schema)
+    found = BY_FINGERPRINT.get(fingerprint(paths))
+    if found is None:  # columns of other layouts besides: the largest layout that is there as a whole
+        found = max((m for m in MAPPINGS if set(m.paths) <= set(paths)), key=lambda m: len(m.paths), default=None)
     if found is None:
         raise ValueError(f"no mapping for the layout {df.schema.simpleString()}")
     if found.rows:

@@ -72,6 +72,8 @@ def grams(run: list[str], letters: Letters, buckets: int) -> Iterator[tuple[np.n
         for k in range(n):
             h = h * np.uint64(0x100000001B3) + s[k:k + size]
             any_letter |= s[k:k + size] > 0
+        after = starts[1:] - 1
+        any_letter[after[after < size]] = False  # from the first separator after a text on: the next text's letters
         bucket = (mix64(h + np.uint64(n)) % np.uint64(buckets)).astype(np.int64)
         yield np.where(any_letter, bucket, -1), np.minimum(starts, size)
 
