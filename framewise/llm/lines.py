@@ -100,8 +100,8 @@ class LineRuns:
         key = row_key(F.col(self.id_col), F.col(self.text_col))
         lines = split_lines(F.col("__text"))
         kept = F.filter(lines, lambda x: ~F.coalesce(F.array_contains(F.col("__drop"), line_hash(x, self.min_chars)), F.lit(False)))
-        return (docs.select(*keep, F.col(self.text_col).alias("__text"), key.alias("rk"))
-                .join(hits, "rk", "left")
+        return (docs.select(*keep, F.col(self.text_col).alias("__text"), key.alias("__rk"))
+                .join(hits.withColumnRenamed("rk", "__rk"), "__rk", "left")
                 .select(*keep, lines.alias("lines"),
                         F.when(F.col("__drop").isNull(), lines).otherwise(kept).alias("kept")))
 
