@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 19
 _MUL = np.uint64(0x9E3779B97F4A7C15)  # odd, so it has an inverse modulo 2**64
 _INV = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 
@@ -26,10 +26,12 @@ def mix64(x: np.ndarray) -> np.ndarray:
 
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(bytes of all rows end to end, offsets); NULL is empty."""
-    column = pc.fill_null(column, "").cast(pa.large_binary())
+    if column.null_count:
+        column = pc.fill_null(column, "")
     if len(column) == 0:
         return np.zeros(0, np.uint8), np.zeros(1, np.int64)
-    offsets = np.frombuffer(column.buffers()[1], np.int64)[column.offset:column.offset + len(column) + 1]
+    width = np.int64 if pa.types.is_large_string(column.type) else np.int32
+    offsets = np.frombuffer(column.buffers()[1], width)[column.offset:column.offset + len(column) + 1].astype(np.int64)
     data = column.buffers()[2]
     data = np.frombuffer(data, np.uint8)[offsets[0]:offsets[-1]] if data else np.zeros(0, np.uint8)
     return data, offsets - offsets[0]
@@ -88,7 +90,7 @@ class Powers:
 
     def get(self, n: int) -> tuple[np.ndarray, np.ndarray]:
         if len(self.up) < n:
-            size = max(n, CHUNK_BYTES + 1)
+            size = max(n, 2 * len(self.up))
             steps = np.full(size, _MUL, np.uint64), np.full(size, _INV, np.uint64)
             for s in steps:
                 s[0] = 1

@@ -26,7 +26,7 @@ from framewise.llm.text import require
 BUCKETS = 1 << 15
 ORDERS = (1, 2, 3)
 MAX_ENTRIES = 1 << 23  # 32 MB of float32
-CHUNK_CHARS = 1 << 19
+CHUNK_CHARS = 1 << 17
 UNDETERMINED = "und"
 
 

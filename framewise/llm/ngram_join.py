@@ -41,10 +41,10 @@ from framewise.session import cut_lineage
 WORDS = 5
 PERCENT = 75
 COMMON = 16
-PART_BYTES = 16 << 20  # of text for each part of the hash range
+PART_BYTES = 8 << 20  # of text for each part of the hash range
 PIVOT_ROUNDS = 2
 BLOCK_ROWS = 1 << 15
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = 1 << 20
 SMALL_GROUP = 64
 MEMBER_BLOCK = 512
 RANGES = 64
@@ -155,17 +155,18 @@ def _count_part(part: pa.Table) -> pa.Table:
     if tokens:
         size = [len(t) for t in tokens]
         flat, row = np.concatenate(tokens), np.repeat(np.arange(len(tokens), dtype=np.int32), size)
-        within = np.concatenate([np.arange(s) for s in size])
-        weight = np.where(within < n_common[row], COMMON, 1)
+        within = np.concatenate([np.arange(s, dtype=np.int32) for s in size])
+        weight = np.where(within < n_common[row], COMMON, 1).astype(np.int32)
         local = np.concatenate([np.concatenate([np.zeros(c, "<u2"), d]) for c, d in zip(n_common, docs, strict=True)])
-        del tokens, docs, within
+        del tokens, docs, within, todo
         order = np.argsort(flat, kind="stable")
-        flat, weight = flat[order], weight[order]
+        flat, weight, row, local = flat[order], weight[order], row[order], local[order]
+        del order
         at = np.flatnonzero(np.concatenate([[True], flat[1:] != flat[:-1]]))
         total = np.minimum(np.add.reduceat(weight, at), COMMON)
         cls = np.repeat(total, np.diff([*at, len(flat)]))
         keep = (weight == 1) & (cls >= 2)
-        flat, cls, row, local = flat[keep], cls[keep].astype(np.uint8), row[order][keep], local[order][keep]
+        flat, cls, row, local = flat[keep], cls[keep].astype(np.uint8), row[keep], local[keep]
         by_row = np.argsort(row, kind="stable")
         flat, cls, row, local = flat[by_row], cls[by_row], row[by_row], local[by_row]
         cut = np.searchsorted(row, np.arange(len(size) + 1))
