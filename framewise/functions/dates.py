@@ -15,11 +15,12 @@ def _c(x) -> Column:
 
 def hhmm_to_timestamp(date, hhmm) -> Column:
     """Flight-style times: "914.0" / "5" / "2400" -> date + HH:MM. Text is cleaned of
-    ``.0``, left-padded to 4 digits, split, and parsed with coercion, so "2400" and
-    longer junk give NULL."""
+    ``.0``, left-padded to 4 digits, split, and put together with coercion, so "2400" and
+    longer junk give NULL. No time zone takes part."""
     t = pad_left(strip_trailing_zero_decimal(hhmm), 4)
-    text = F.concat(_c(date).cast("string"), F.lit(" "), F.substring(t, 1, 2), F.lit(":"), F.substring(t, 3, 2))
-    return F.when(F.length(t) == 4, F.try_to_timestamp(text, F.lit("yyyy-MM-dd HH:mm")).cast("timestamp_ntz"))
+    day, number = _c(date).cast("string").try_cast("date"), F.when(t.rlike("^[0-9]{4}$"), t)
+    return F.try_make_timestamp_ntz(F.year(day), F.month(day), F.day(day), F.substring(number, 1, 2).cast("int"),
+                                    F.substring(number, 3, 2).cast("int"), F.lit(0).cast("decimal(16,6)"))
 
 
 def parse_date_weekday(text, fmt: str = "MMM d, yyyy") -> Column:

@@ -14,13 +14,13 @@ def _c(x) -> Column:
 
 
 def great_circle(lat1, lng1, lat2, lng2, radius: float = EARTH_RADIUS_KM) -> Column:
-    """Great-circle distance from degrees, spherical law of cosines, cos clamped to [-1, 1]."""
-    phi1 = F.radians(F.lit(90.0) - _c(lat1))
-    phi2 = F.radians(F.lit(90.0) - _c(lat2))
-    th1, th2 = F.radians(_c(lng1)), F.radians(_c(lng2))
-    cos = F.sin(phi1) * F.sin(phi2) * F.cos(th1 - th2) + F.cos(phi1) * F.cos(phi2)
-    cos = F.greatest(F.lit(-1.0), F.least(F.lit(1.0), cos))
-    return F.acos(cos) * F.lit(radius)
+    """Great-circle distance from degrees: the angle between the two position vectors, as atan2 of the
+    lengths of their cross and dot products, which is exact for near and for opposite points."""
+    a, b, turn = F.radians(_c(lat1)), F.radians(_c(lat2)), F.radians(_c(lng2) - _c(lng1))
+    east = F.cos(b) * F.sin(turn)
+    north = F.cos(a) * F.sin(b) - F.sin(a) * F.cos(b) * F.cos(turn)
+    dot = F.sin(a) * F.sin(b) + F.cos(a) * F.cos(b) * F.cos(turn)
+    return F.atan2(F.sqrt(east * east + north * north), dot) * F.lit(radius)
 
 
 def fahrenheit_to_celsius(x) -> Column:

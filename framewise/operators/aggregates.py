@@ -61,9 +61,9 @@ def group_mode(df: DataFrame, by: Sequence[str], column: str, name: str | None =
 
     Two distributive steps: counts per (group, value) combine map-side; then ``min_by``
     over (-count, value) picks the winner, again partial-aggregable. A hot group never
-    needs one task to hold its whole value histogram (``mode()`` would)."""
-    counts = (df.filter(F.col(column).isNotNull()).groupBy(*by, column)
-              .agg(F.count(F.lit(1)).alias("_fw_n")))
+    needs one task to hold its whole value histogram (``mode()`` would). NULL counts 0, so a
+    group of NULLs stays, with a NULL mode."""
+    counts = df.groupBy(*by, column).agg(F.count(column).alias("_fw_n"))
     pick = F.min_by(F.col(column), F.struct((-F.col("_fw_n")).alias("n"), F.col(column).alias("v")))
     return counts.groupBy(*by).agg(pick.alias(name or column))
 
@@ -92,10 +92,11 @@ def quantiles(df: DataFrame, cols: Sequence[str], qs: Sequence[float], by: Seque
               names: Mapping[tuple[str, float], str] | None = None) -> DataFrame:
     """Exact linearly interpolated quantiles (``quantile(q)``) per group and column.
 
-    Distributed selection instead of a per-group value buffer: values are range-partitioned
-    by (group, column, value) and numbered with ``with_positions``; only the rows at
-    positions floor/ceil(q*(n-1)) survive into a tiny final aggregation. No task holds a
-    whole group, so a hot group or a global quantile over 100 TB stays balanced.
+    Distributed selection instead of a per-group value buffer: equal values of a group are
+    counted first, with partial aggregation, so ties never meet as rows; the distinct values
+    are range-partitioned by (group, column, value) and their cumulative counts give
+    positions (``with_positions``); only values that cover positions floor/ceil(q*(n-1))
+    survive into a tiny final aggregation. A group of NULLs stays, with NULL quantiles.
     Output: one row per group, column ``<col>_p<percent>`` unless ``names`` says otherwise.
     """
     by = list(by)
@@ -103,19 +104,22 @@ def quantiles(df: DataFrame, cols: Sequence[str], qs: Sequence[float], by: Seque
     long = (df.select(*by, F.explode(F.array(*[
         F.struct(F.lit(c).alias("_fw_var"), F.col(c).cast("double").alias("_fw_val")) for c in cols]))
         .alias("_fw_s")).select(*by, "_fw_s._fw_var", "_fw_s._fw_val")
-        .filter(F.col("_fw_val").isNotNull()))
-    pos = with_positions(long, ["_fw_val"], by=[*by, "_fw_var"], name="_fw_pos", size_name="_fw_n")
-    p = F.col("_fw_pos")
+        .groupBy(*by, "_fw_var", "_fw_val").agg(F.count("_fw_val").alias("_fw_w")))
+    pos = with_positions(long, ["_fw_val"], by=[*by, "_fw_var"], name="_fw_pos", size_name="_fw_n", weight="_fw_w")
     last = (F.col("_fw_n") - 1).cast("double")
-    wanted = F.lit(False)
+
+    def covers(at: Column) -> Column:
+        return (F.col("_fw_pos") <= at) & (at < F.col("_fw_pos") + F.col("_fw_w"))
+
+    wanted = F.col("_fw_n") == 0  # a group of NULLs keeps its row
     for q in qs:
-        wanted = wanted | (p == F.floor(F.lit(float(q)) * last)) | (p == F.ceil(F.lit(float(q)) * last))
+        wanted = wanted | covers(F.floor(F.lit(float(q)) * last)) | covers(F.ceil(F.lit(float(q)) * last))
     picked = pos.filter(wanted)
     aggs = []
     for q in qs:
         x = F.lit(float(q)) * last
-        lo = F.max(F.when(p == F.floor(x), F.col("_fw_val")))
-        hi = F.max(F.when(p == F.ceil(x), F.col("_fw_val")))
+        lo = F.max(F.when(covers(F.floor(x)), F.col("_fw_val")))
+        hi = F.max(F.when(covers(F.ceil(x)), F.col("_fw_val")))
         frac = F.first(x - F.floor(x))
         aggs.append((lo + (hi - lo) * frac).alias(f"_fw_q{qs.index(q)}"))
     per_var = picked.groupBy(*by, "_fw_var").agg(*aggs)

@@ -45,8 +45,7 @@ def ordered_window(df: DataFrame, by: Sequence[str], order: Sequence, lookback:
                    keep_position: str | None = None) -> DataFrame:
     """Add the columns returned by ``build(w)``, where ``w`` is an ordered window spec whose
     frames may reach at most ``lookback`` rows back and ``lookahead`` rows ahead."""
-    if lookback >= block_rows or lookahead >= block_rows:
-        raise ValueError("frame reach must be smaller than block_rows")
+    block_rows = max(block_rows, lookback + 1, lookahead + 1)  # a frame reaches into the next block at most
     by = list(by)
     p = with_positions(df, order, by, name="_fw_pos")
     blk = _blocks(p, "_fw_pos", block_rows, lookback, lookahead)

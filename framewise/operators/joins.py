@@ -1,9 +1,7 @@
 """Joins and label alignment.
 
-Broadcast is used only behind a size check (``broadcast_if_small``) or for tables whose
-size is bounded by construction (top-k lists, category lists, per-task counts); all other
-joins are left to Catalyst/AQE, which picks sort-merge or shuffle-hash and, at run time,
-demotes to broadcast on measured sizes and splits skewed partitions.
+Joins carry no broadcast hints: Catalyst and AQE pick sort-merge or shuffle-hash and, at run
+time, demote to broadcast on measured sizes and split skewed partitions.
 """
 
 from __future__ import annotations
@@ -14,16 +12,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = 1_000_000) -> DataFrame:
-    """Broadcast hint only if the table proves to hold at most ``max_rows`` rows.
-
-    ``limit(max_rows + 1).count()`` stops scanning once the bound is exceeded, so the
-    check is cheap for both tiny and huge tables; above the bound the plain DataFrame is
-    returned and the join shuffles."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 def join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner",
          null_safe: bool = False) -> DataFrame:
     """``merge(l, r, on, how)``. With ``null_safe`` NULL keys match each other (the
@@ -43,10 +31,9 @@ def join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner
     return out.select(*keys, *rest)
 
 
-def join_small(fact: DataFrame, dim: DataFrame, on: Sequence[str] | Column, how: str = "inner",
-               max_rows: int = 1_000_000) -> DataFrame:
-    """Fact x dimension: broadcast the dimension when it proves small, else shuffle."""
-    return fact.join(broadcast_if_small(dim, max_rows), on, how)
+def join_small(fact: DataFrame, dim: DataFrame, on: Sequence[str] | Column, how: str = "inner") -> DataFrame:
+    """Fact x dimension. AQE broadcasts the dimension when its measured bytes are few."""
+    return fact.join(dim, on, how)
 
 
 def join_repartitioned(left: DataFrame, right: DataFrame, on: Sequence[str], partitions: int,
@@ -65,12 +52,15 @@ def assert_unique(df: DataFrame, key: Sequence[str]) -> DataFrame:
 
 
 def lookup_map(df: DataFrame, column: str, mapping: DataFrame, key: str, value: str, name: str,
-               check_unique: bool = True, max_rows: int = 1_000_000) -> DataFrame:
-    """``df[column].map(series)``: left join to a key->value table, missing -> NULL."""
+               check_unique: bool = True) -> DataFrame:
+    """``df[column].map(series)``: left join to a key->value table, missing -> NULL. A repeated
+    key raises when the rows are computed: the check is part of the plan, not a job before it."""
     m = mapping.select(F.col(key).alias("_fw_key"), F.col(value).alias(name))
     if check_unique:
-        assert_unique(m, ["_fw_key"])
-    out = df.join(broadcast_if_small(m, max_rows), F.col(column) == F.col("_fw_key"), "left")
+        twice = F.raise_error(F.concat(F.lit(f"key {key} is not unique: "), F.col("_fw_key").cast("string"))).cast(m.schema[name].dataType)
+        m = (m.groupBy("_fw_key").agg(F.count(F.lit(1)).alias("_fw_n"), F.first(name).alias(name))
+             .select("_fw_key", F.when(F.col("_fw_n") > 1, twice).otherwise(F.col(name)).alias(name)))
+    out = df.join(m, F.col(column) == F.col("_fw_key"), "left")
     return out.drop("_fw_key")
 
 

@@ -1,16 +1,16 @@
 """Row positions, sorting and top-k.
 
 Rows of a DataFrame have no order. Everything order-dependent here takes an explicit
-``order`` list that must be unique inside each group (append a tie-break key).
+``order`` list that must be unique inside each group (append a tie-break key). NULL sorts
+last.
 
 ``with_positions`` is the skew-safe replacement for ``row_number()`` over a huge (or
-unpartitioned) window. The sort key (group keys + order) is cut into balanced chunks at
-split points taken from a deterministic bottom-k hash sample (a bounded number of keys
-goes to the driver); each row's chunk is a pure function of the row (a binary search written as
-nested comparisons), so any recomputation -- a lost executor, a second branch of the
-plan -- lands every row in the same chunk. Rows are numbered inside (chunk, group)
-windows, whose size is bounded by the chunk size even when one group holds a third of
-the table, and a small table of chunk counts supplies the offsets.
+unpartitioned) window. Rows are range-partitioned by (group keys, order) -- Spark samples a
+bounded number of keys of each input partition -- and written once, each with the number
+of its partition, its chunk. The input is read once; a lost executor later reads the
+written rows again and cannot land in another chunk. Rows are numbered inside (chunk, group)
+windows, whose size is bounded by the chunk even when one group holds a third of the
+table, and a small table of chunk counts supplies the offsets.
 """
 
 from __future__ import annotations
@@ -20,8 +20,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-_SAMPLE_PER_CHUNK = 64
-
+from framewise.session import cut_lineage
 
 def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -33,44 +32,12 @@ def _partitions(df: DataFrame, partitions: int | None) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
-def _chunk_expr(df: DataFrame, keys: list[str], chunks: int) -> Column:
-    """Chunk id in [0, chunks) so that chunk order follows the (ascending) key order.
-
-    Split points come from a bottom-k hash sample: the rows with the K smallest
-    ``xxhash64(keys)`` form a uniform sample of fixed size without counting the table
-    first (a TakeOrderedAndProject: each task keeps only its K best)."""
-    if chunks <= 1:
-        return F.lit(0)
-    k = _SAMPLE_PER_CHUNK * chunks
-    sample = (df.select(*keys, F.xxhash64(*keys).alias("_fw_h")).orderBy("_fw_h").limit(k)
-              .orderBy(*keys).drop("_fw_h").collect())
-    if not sample:
-        return F.lit(0)
-    bounds = []
-    for i in range(1, chunks):
-        b = tuple(sample[min(len(sample) - 1, i * len(sample) // chunks)])
-        if not bounds or b != bounds[-1]:
-            bounds.append(b)
-    types = {f.name: f.dataType for f in df.schema.fields}
-    row = F.struct(*[F.col(k) for k in keys])
-
-    def lit(b):
-        return F.struct(*[F.lit(v).cast(types[k]).alias(k) for k, v in zip(keys, b)])
-
-    def tree(lo: int, hi: int) -> Column:  # rows with bounds[lo-1] <= key < bounds[hi]
-        if lo == hi:
-            return F.lit(lo)
-        mid = (lo + hi + 1) // 2
-        return F.when(row < lit(bounds[mid - 1]), tree(lo, mid - 1)).otherwise(tree(mid, hi))
-
-    return tree(0, len(bounds))
-
-
 def with_positions(df: DataFrame, order: Sequence, by: Sequence[str] = (), name: str = "pos",
-                   size_name: str | None = None, partitions: int | None = None) -> DataFrame:
+                   size_name: str | None = None, partitions: int | None = None, weight: str | None = None) -> DataFrame:
     """Add ``name`` = 0-based position of the row inside its ``by`` group under ``order``
-    (ascending; pass ``-x`` for a descending numeric key). Optionally add ``size_name`` =
-    rows in the group. NULL group keys form their own group."""
+    (ascending, NULL last; pass ``-x`` for a descending numeric key). Optionally add
+    ``size_name`` = rows in the group. NULL group keys form their own group. With ``weight``
+    each row stands for that many rows: the position is that of the first of them."""
     by = list(by)
     work = df
     okeys = []
@@ -80,14 +47,15 @@ def with_positions(df: DataFrame, order: Sequence, by: Sequence[str] = (), name:
         else:
             work = work.withColumn(f"_fw_o{i}", o)
             okeys.append(f"_fw_o{i}")
-    chunk = _chunk_expr(work, by + okeys, _partitions(df, partitions))
-    work = work.withColumn("_fw_chunk", chunk)
-    w = Window.partitionBy("_fw_chunk", *by).orderBy(*okeys)
-    work = work.withColumn("_fw_local", F.row_number().over(w) - 1)
-    # One row per (chunk, group): at most (#groups + #chunks) rows. Counted from the
-    # window's output (max local position + 1), so both branches read the same
-    # exchange (ReuseExchange) instead of computing the input a second time.
-    stats = work.groupBy("_fw_chunk", *by).agg((F.max("_fw_local") + 1).alias("_fw_n"))
+    ordered = [F.col(k).asc_nulls_last() for k in okeys]
+    work = cut_lineage(work.repartitionByRange(_partitions(df, partitions), *by, *ordered)
+                       .withColumn("_fw_chunk", F.spark_partition_id()), "positions")
+    own = F.col(weight) if weight else F.lit(1)
+    before = Window.partitionBy("_fw_chunk", *by).orderBy(*ordered).rowsBetween(Window.unboundedPreceding, -1)
+    local = F.coalesce(F.sum(own).over(before), F.lit(0)) if weight else F.row_number().over(
+        Window.partitionBy("_fw_chunk", *by).orderBy(*ordered)) - 1
+    # One row per (chunk, group): at most (#groups + #chunks) rows.
+    stats = work.groupBy("_fw_chunk", *by).agg(F.sum(own).alias("_fw_n"))
     w_prev = Window.partitionBy(*by).orderBy("_fw_chunk").rowsBetween(Window.unboundedPreceding, -1)
     stats = stats.withColumn("_fw_off", F.coalesce(F.sum("_fw_n").over(w_prev), F.lit(0)))
     if size_name:
@@ -95,11 +63,11 @@ def with_positions(df: DataFrame, order: Sequence, by: Sequence[str] = (), name:
     keep = [F.col("_fw_chunk").alias("_fw_cchunk"), "_fw_off"] + ([size_name] if size_name else [])
     stats = stats.select(*keep, *[F.col(b).alias(f"_fw_k{i}") for i, b in enumerate(by)])
     if not by:
-        stats = F.broadcast(stats)  # bounded by the number of chunks
+        stats = F.broadcast(stats)  # one row per chunk
     cond = F.col("_fw_chunk") == F.col("_fw_cchunk")
     for i, b in enumerate(by):
         cond = cond & F.col(b).eqNullSafe(F.col(f"_fw_k{i}"))
-    out = work.join(stats, cond, "inner").withColumn(name, F.col("_fw_off") + F.col("_fw_local"))
+    out = work.withColumn("_fw_local", local).join(stats, cond, "inner").withColumn(name, F.col("_fw_off") + F.col("_fw_local"))
     return out.select(*df.columns, name, *([size_name] if size_name else []))
 
 
@@ -129,9 +97,9 @@ def columns_by_position(df: DataFrame, start: int | None = None, stop: int | Non
 
 
 def sort_rows(df: DataFrame, order: Sequence, name: str = "position") -> DataFrame:
-    """``sort_values`` / ``sort_index``. The sort is kept as a 1-based ``position`` column, so
-    the order survives any later order-free comparison; rows are also range-sorted."""
-    return row_number_global(df, order, name).orderBy(name)
+    """``sort_values`` / ``sort_index``, NULL last. The sort is kept as a 1-based ``position``
+    column: the rows are range-sorted for it once, and the order survives later steps."""
+    return row_number_global(df, order, name)
 
 
 def top_k(df: DataFrame, value: str, k: int, tie_break: Sequence[str] = (), largest: bool = True) -> DataFrame:

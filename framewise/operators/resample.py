@@ -13,6 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from framewise.session import cut_lineage
+
 _UNIT_MICROS = {"second": 1_000_000, "minute": 60_000_000, "hour": 3_600_000_000, "day": 86_400_000_000}
 
 
@@ -56,11 +58,20 @@ def bucket_spine(df: DataFrame, ts: str, unit: str, name: str) -> DataFrame:
 def resample_agg(df: DataFrame, ts: str, unit: str, aggs: Sequence[Column], name: str = "bucket",
                  by: Sequence[str] = (), fill_empty: bool = True) -> DataFrame:
     """``resample(unit).agg(...)``; with ``fill_empty`` every bucket between the first and
-    last appears (aggregates of an empty bucket are NULL; wrap sums in coalesce for 0)."""
+    last appears (aggregates of an empty bucket are NULL; wrap sums in coalesce for 0), with
+    ``by`` between each key's own first and last. The bounds come from the aggregated table."""
     g = df.groupBy(*by, bucket(ts, unit).alias(name)).agg(*aggs)
-    if not fill_empty or by:
+    if not fill_empty:
         return g
-    return bucket_spine(df, ts, unit, name).join(g, name, "left")
+    g = cut_lineage(g, "resampled")
+    ends = g.groupBy(*by).agg(F.min(name).alias("_fw_lo"), F.max(name).alias("_fw_hi")).where(F.col("_fw_lo").isNotNull())
+    step = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.lit(_UNIT_MICROS[unit]).cast("decimal(18,0)") / 1_000_000)
+    spine_rows = ends.select(*[F.col(b).alias(f"_fw_{b}") for b in by], F.explode(F.sequence("_fw_lo", "_fw_hi", step)).alias(f"_fw_{name}"))
+    on = F.col(f"_fw_{name}") == F.col(name)
+    for b in by:
+        on = on & F.col(f"_fw_{b}").eqNullSafe(F.col(b))
+    rest = [c for c in g.columns if c != name and c not in by]
+    return spine_rows.join(g, on, "left").select(*[F.col(f"_fw_{b}").alias(b) for b in by], F.col(f"_fw_{name}").alias(name), *rest)
 
 
 def resample_by_keys(df: DataFrame, ts: str, unit: str, key: str, keys: Sequence, value: Column,
@@ -69,9 +80,9 @@ def resample_by_keys(df: DataFrame, ts: str, unit: str, key: str, keys: Sequence
     in ``keys`` (the small, bounded category list), empty cells filled with ``fill``. The
     product comes from exploding the category array on the distributed bucket spine, not
     from a cross join."""
-    grid = bucket_spine(df, ts, unit, name).select(
+    counts = cut_lineage(df.groupBy(key, bucket(ts, unit).alias(name)).agg(value.alias(value_name)), "resampled")
+    grid = bucket_spine(counts, name, unit, name).select(
         name, F.explode(F.array(*[F.lit(k) for k in keys])).alias(key))
-    counts = df.groupBy(key, bucket(ts, unit).alias(name)).agg(value.alias(value_name))
     out = grid.join(counts, [key, name], "left")
     return out.withColumn(value_name, F.coalesce(F.col(value_name), F.lit(fill)))
 

@@ -26,8 +26,11 @@ def pivot(df: DataFrame, index: Sequence[str], column: str, values: Sequence, ag
     """``pivot_table(index, columns, values, aggfunc)`` with an explicit value list, so the
     schema is stable and no extra job looks for the values. One partial+final aggregation.
     Columns whose every cell is NULL stay (their values were asked for); rows exist only
-    for observed index values."""
-    g = df.groupBy(*index).pivot(column, list(values)).agg(agg)
+    for observed index values. A value that is not listed raises when the rows are computed."""
+    kind = df.schema[column].dataType
+    unlisted = F.raise_error(F.concat(F.lit(f"pivot of {column}: value not listed: "), F.col(column).cast("string"))).cast(kind)
+    checked = F.when(F.col(column).isNull() | F.col(column).isin(list(values)), F.col(column)).otherwise(unlisted)
+    g = df.withColumn(column, checked).groupBy(*index).pivot(column, list(values)).agg(agg)
     return g.toDF(*index, *[fmt.format(v=v) for v in values])
 
 
@@ -79,8 +82,10 @@ def json_normalize(df: DataFrame, column: str, schema: StructType | str, sep: st
 
 def bin_cut(x: str | Column, edges: Sequence[float], labels: Sequence[str] | None = None) -> Column:
     """``cut(x, bins, labels)``: right-closed bins (lo, hi]; a value equal to the lowest
-    edge, or outside all bins, is NULL."""
+    edge, or outside all bins, is NULL. One label for each bin."""
     c = F.col(x) if isinstance(x, str) else x
+    if labels is not None and len(labels) != len(edges) - 1:
+        raise ValueError(f"{len(edges) - 1} bins need as many labels, not {len(labels)}")
     labels = list(labels) if labels is not None else [f"({lo}, {hi}]" for lo, hi in zip(edges, edges[1:])]
     expr = None
     for lo, hi, lab in zip(edges, edges[1:], labels):

@@ -61,18 +61,57 @@ def _solve(row: pd.Series, p: int):
     return b, se, n, rss
 
 
+def centred_gram(df: DataFrame, y: str, xs: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+    """One aggregation per series of the rows where y and every x are non-NULL: n, means, and sums of
+    products of deviations from the means. Spark merges co-moments around running means, so
+    regressors far from zero lose no digits."""
+    d = df.filter(F.col(y).isNotNull())
+    for x in xs:
+        d = d.filter(F.col(x).isNotNull())
+    c = [F.col(x).cast("double") for x in (*xs, y)]
+    aggs = [F.count(F.lit(1)).alias("_n"), *[F.avg(x).alias(f"_m{i}") for i, x in enumerate(c)]]
+    aggs += [(F.covar_pop(c[i], c[j]) * F.count(F.lit(1))).alias(f"_s{i}_{j}") for i in range(len(c)) for j in range(i, len(c))]
+    return d.groupBy(*by).agg(*aggs) if by else d.agg(*aggs)
+
+
+def _solve_centred(row: pd.Series, p: int):
+    """Fit with intercept from centred sums, each regressor scaled to unit length."""
+    s = np.zeros((p + 1, p + 1))
+    for i in range(p + 1):
+        for j in range(i, p + 1):
+            s[i, j] = s[j, i] = row[f"_s{i}_{j}"]
+    n, mean = float(row["_n"]), np.array([row[f"_m{i}"] for i in range(p + 1)])
+    scale = np.sqrt(np.where(np.diag(s)[:p] > 0, np.diag(s)[:p], 1.0))
+    unit = s[:p, :p] / np.outer(scale, scale)
+    b = np.linalg.lstsq(unit, s[:p, p] / scale, rcond=None)[0] / scale
+    rss = max(s[p, p] - 2 * b @ s[:p, p] + b @ s[:p, :p] @ b, 0.0)
+    dof = n - p - 1
+    sigma2 = rss / dof if dof > 0 else float("nan")
+    try:
+        inv = np.linalg.inv(unit) / np.outer(scale, scale)
+        var = sigma2 * np.array([1 / n + mean[:p] @ inv @ mean[:p], *np.diag(inv)])
+        se = np.sqrt(np.clip(var, 0, None))
+    except np.linalg.LinAlgError:
+        se = np.full(p + 1, np.nan)
+    return np.array([mean[p] - b @ mean[:p], *b]), se, n, rss
+
+
 def ols(df: DataFrame, y: str, xs: Sequence[str], by: Sequence[str] = (), intercept: bool = True) -> DataFrame:
     """``ols("y ~ x1 + x2 ...")``: coefficients and standard errors per series, long form
     (by..., term, coef, std_err, nobs, rss)."""
     by = list(by)
-    g, terms = gram(df, y, xs, by, intercept)
-    p = len(terms)
+    if intercept:
+        g, terms = centred_gram(df, y, xs, by), ["Intercept", *xs]
+    else:
+        g, terms = gram(df, y, xs, by, intercept)
 
     def solve(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for bt in batches:
             out = []
             for _, row in bt.iterrows():  # one row per series
-                b, se, n, rss = _solve(row, p)
+                if not row["_n"]:
+                    continue
+                b, se, n, rss = _solve_centred(row, len(xs)) if intercept else _solve(row, len(terms))
                 for t, name in enumerate(terms):
                     out.append({**{k: row[k] for k in by}, "term": name, "coef": float(b[t]),
                                 "std_err": None if math.isnan(se[t]) else float(se[t]), "nobs": int(n), "rss": float(rss)})
@@ -224,7 +263,7 @@ def adf_test(df: DataFrame, value: str, order: Sequence, by: Sequence[str] = (),
     model with L lags is the leading (L+2) x (L+2) block; the chosen L is refitted on its
     own rows by a second aggregation, and ``adf`` is the t statistic of ``g``."""
     by = list(by)
-    sizes = (df.groupBy(*by) if by else df.groupBy()).agg(F.count(F.col(value)).alias("_n_all"))
+    sizes = (df.groupBy(*by) if by else df.groupBy()).agg(F.count(F.col(value)).alias("_n_all"), F.avg(value).alias("_mu"))
     ml = F.ceil(12.0 * F.pow(F.col("_n_all") / 100.0, 0.25)) if maxlag is None else F.lit(maxlag)
     sizes = sizes.withColumn("_ml", F.least(ml, F.floor(F.col("_n_all") / 2) - 2).cast("int")).drop("_n_all")
     K = max(int(sizes.agg(F.max("_ml")).first()[0] or 0), 0)  # one number: plans the lag columns
@@ -233,7 +272,9 @@ def adf_test(df: DataFrame, value: str, order: Sequence, by: Sequence[str] = (),
         lag = lambda k: F.lag(value, k).over(w)
         return {"_dy": F.col(value) - lag(1), "_lvl": lag(1), **{f"_d{j}": lag(j) - lag(j + 1) for j in range(1, K + 1)}}
     x = B.ordered_window(df.filter(F.col(value).isNotNull()), by, order, K + 1, 0, build, keep_position="_pos")
-    x = cut_lineage(x.join(sizes, by, "inner") if by else x.join(F.broadcast(sizes), how="inner"), "adf-lags")
+    # with a constant in the model the level may be centred: sums of squares far from zero lose digits
+    x = (x.join(sizes, by, "inner") if by else x.join(F.broadcast(sizes), how="inner")).withColumn("_lvl", F.col("_lvl") - F.col("_mu"))
+    x = cut_lineage(x, "adf-lags")
     xs = ["_lvl", *[f"_d{j}" for j in range(1, K + 1)]]
 
     def regressors(d: DataFrame, used: str) -> DataFrame:

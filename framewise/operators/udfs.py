@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
 from framewise.functions.numeric import EARTH_RADIUS_KM
+from framewise.session import cut_lineage
 
 log = logging.getLogger("framewise")
 
@@ -26,39 +27,41 @@ log = logging.getLogger("framewise")
 def great_circle_udf(lat1: pd.Series, lng1: pd.Series, lat2: pd.Series, lng2: pd.Series) -> pd.Series:
     """Vectorised great-circle distance (km) on whole Arrow batches -- the replacement for
     a per-row ``apply(axis=1)``."""
-    p1, p2 = np.deg2rad(90 - lat1.to_numpy()), np.deg2rad(90 - lat2.to_numpy())
-    t1, t2 = np.deg2rad(lng1.to_numpy()), np.deg2rad(lng2.to_numpy())
-    cos = np.sin(p1) * np.sin(p2) * np.cos(t1 - t2) + np.cos(p1) * np.cos(p2)
-    return pd.Series(np.arccos(np.clip(cos, -1.0, 1.0)) * EARTH_RADIUS_KM)
+    here, there = (np.stack([np.cos(lat) * np.cos(lng), np.cos(lat) * np.sin(lng), np.sin(lat)])
+                   for lat, lng in ((np.radians(lat1), np.radians(lng1)), (np.radians(lat2), np.radians(lng2))))
+    across = np.linalg.norm(np.cross(here, there, axis=0), axis=0)
+    return pd.Series(np.arctan2(across, (here * there).sum(axis=0)) * EARTH_RADIUS_KM)
 
 
 def group_zscore_pandas(df: DataFrame, by: Sequence[str], value: str, name: str) -> DataFrame:
     """``groupby(by)[value].apply(lambda x: (x - x.mean()) / x.std())`` with pandas doing the
-    arithmetic: per-batch (n, sum, sum of squares) partials, a Spark partial aggregation
-    to combine them, then a per-batch pandas step computing each row's z-score."""
+    arithmetic: per-batch (n, mean, squared deviations from it) partials, combined in Spark
+    around the group's mean (sums of squares would cancel for large means), then a per-batch
+    pandas step computing each row's z-score."""
     by = list(by)
     kschema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields if f.name in by)
 
     def partials(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             x = b[value].astype("float64")
-            g = b.assign(_x=x, _x2=x * x).groupby(by, dropna=False)
-            out = pd.DataFrame({"_n": g["_x"].count(), "_s": g["_x"].sum(), "_s2": g["_x2"].sum()}).reset_index()
-            yield out
-
-    parts = df.select(*by, value).mapInPandas(partials, f"{kschema}, _n long, _s double, _s2 double")
-    stats = parts.groupBy(*by).agg(F.sum("_n").alias("_n"), F.sum("_s").alias("_s"), F.sum("_s2").alias("_s2"))
+            g = b.assign(_x=x).groupby(by, dropna=False)["_x"]
+            yield pd.DataFrame({"_n": g.count(), "_m": g.mean(), "_d": g.var(ddof=0) * g.count()}).reset_index()
+
+    parts = cut_lineage(df.select(*by, value).mapInPandas(partials, f"{kschema}, _n long, _m double, _d double").where("_n > 0"), "zscore-parts")
+    least = parts.groupBy(*by).agg(F.min("_m").alias("_base"))
+    shifted = parts.join(least, by).withColumn("_off", F.col("_m") - F.col("_base"))
+    sums = shifted.groupBy(*by).agg(F.first("_base").alias("_base"), F.sum("_n").alias("_n"), F.sum(F.col("_n") * F.col("_off")).alias("_o"),
+                                    F.sum(F.col("_d") + F.col("_n") * F.col("_off") * F.col("_off")).alias("_q"))
+    stats = sums.select(*by, "_n", (F.col("_base") + F.col("_o") / F.col("_n")).alias("_m"), (F.col("_q") - F.col("_o") * F.col("_o") / F.col("_n")).alias("_d"))
     joined = df.join(stats, by, "left")
     out_schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields) + f", `{name}` double"
 
     def finish(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            n, s, s2 = b["_n"].astype("float64"), b["_s"], b["_s2"]
-            mean = s / n
-            var = (s2 - n * mean * mean) / (n - 1)
+            var = b["_d"] / (b["_n"].astype("float64") - 1)
             std = np.sqrt(var.where(var > 0))
-            z = (b[value].astype("float64") - mean) / std
-            yield b.drop(columns=["_n", "_s", "_s2"]).assign(**{name: z.replace([np.inf, -np.inf], np.nan)})
+            z = (b[value].astype("float64") - b["_m"]) / std
+            yield b.drop(columns=["_n", "_m", "_d"]).assign(**{name: z.replace([np.inf, -np.inf], np.nan)})
 
     return joined.mapInPandas(finish, out_schema)
 

@@ -1,49 +1,20 @@
-"""Same-shape window operators (rank, lag/diff, rolling, expanding, group z-score).
+"""Group z-score, trend, and a rolling window for tables of buckets. Ordered windows over rows are in ``blocked``.
 
-Windows are partitioned by the caller's group keys. Group statistics that do not need an
-order (z-score) are computed as a partial aggregation joined back instead of a window,
-so a hot group is combined map-side. Order-dependent windows on one long series use
-``with_positions`` (range-partitioned) rather than an unpartitioned window.
+Group statistics that do not need an order are a partial aggregation joined back instead
+of a window, so a hot group is combined map-side.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-_AGGS = {"sum": F.sum, "mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max, "count": F.count}
-
-
-def _ordered(by: Sequence[str], order: Sequence) -> Window:
-    return Window.partitionBy(*by).orderBy(*[F.col(o) if isinstance(o, str) else o for o in order])
-
-
-def rank_average(df: DataFrame, by: Sequence[str], value: str, name: str = "rank") -> DataFrame:
-    """``groupby(by)[value].transform("rank")``: average rank of ties (1-based, double)."""
-    w = Window.partitionBy(*by).orderBy(F.col(value))
-    ties = F.count(F.lit(1)).over(Window.partitionBy(*by, value))
-    return df.withColumn(name, F.rank().over(w) + (ties - 1) / 2.0)
+from framewise.operators.ordering import with_positions
 
 
-def lag_columns(df: DataFrame, value: str, lags: Sequence[int], order: Sequence, by: Sequence[str] = (),
-                fmt: str = "{value}_L{i}") -> DataFrame:
-    """``shift(i)`` for each i; shift(0) is the value itself."""
-    w = _ordered(by, order)
-    return df.withColumns({fmt.format(value=value, i=i): (F.col(value) if i == 0 else F.lag(value, i).over(w))
-                           for i in lags})
-
-
-def diff(df: DataFrame, value: str, n: int, order: Sequence, by: Sequence[str] = (), name: str | None = None) -> DataFrame:
-    """``diff(n)``: value minus the value n rows earlier."""
-    return df.withColumn(name or f"{value}_diff{n}", F.col(value) - F.lag(value, n).over(_ordered(by, order)))
-
-
-def diff_days(df: DataFrame, date: str, order: Sequence, by: Sequence[str] = (), name: str = "rest") -> DataFrame:
-    """``groupby(by)[date].diff().dt.days - 1`` (days between consecutive rows, minus one)."""
-    w = _ordered(by, order)
-    return df.withColumn(name, (F.datediff(F.to_date(F.col(date)), F.to_date(F.lag(date, 1).over(w))) - 1).cast("bigint"))
+_AGGS = {"sum": F.sum, "mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max, "count": F.count}
 
 
 def rolling(df: DataFrame, value: str, n: int, order: Sequence, by: Sequence[str] = (), agg: str = "sum",
@@ -51,40 +22,12 @@ def rolling(df: DataFrame, value: str, n: int, order: Sequence, by: Sequence[str
     """``rolling(n).agg()`` over rows: NULL until ``min_periods`` (default n) non-NULL values
     sit in the frame. ``center=True`` puts rows i-n//2 .. i+n-n//2-1 in the frame."""
     lo, hi = (-(n // 2), n - n // 2 - 1) if center else (-(n - 1), 0)
-    w = _ordered(by, order).rowsBetween(lo, hi)
+    w = Window.partitionBy(*by).orderBy(*[F.col(o) if isinstance(o, str) else o for o in order]).rowsBetween(lo, hi)
     need = n if min_periods is None else min_periods
     guard = F.count(F.col(value)).over(w) >= need
     return df.withColumn(name or f"{value}_{agg}{n}", F.when(guard, _AGGS[agg](F.col(value)).over(w)))
 
 
-def rolling_time(df: DataFrame, value: str, ts: str, length: str, by: Sequence[str] = (), agg: str = "mean",
-                 name: str | None = None) -> DataFrame:
-    """``rolling("30D").agg()``: frame (t - length, t], left-open, at least one value.
-    Ordered on integer microseconds so the frame can be exactly one microsecond short."""
-    micros = _length_micros(length)
-    w = (Window.partitionBy(*by).orderBy(F.unix_micros(F.col(ts)))
-         .rangeBetween(-(micros - 1), 0))
-    return df.withColumn(name or f"{value}_{agg}_{length}",
-                         F.when(F.count(F.col(value)).over(w) >= 1, _AGGS[agg](F.col(value)).over(w)))
-
-
-def _length_micros(length: str) -> int:
-    import re
-    m = re.fullmatch(r"(\d+)\s*(D|d|H|h|min|s)", length)
-    if not m:
-        raise ValueError(f"unsupported window length {length!r}")
-    k, unit = int(m.group(1)), m.group(2)
-    per = {"D": 86400, "d": 86400, "H": 3600, "h": 3600, "min": 60, "s": 1}[unit]
-    return k * per * 1_000_000
-
-
-def expanding(df: DataFrame, value: str, order: Sequence, by: Sequence[str] = (), agg: str = "mean",
-              name: str | None = None) -> DataFrame:
-    """``expanding().agg()``: all rows up to the current one; NULLs skipped."""
-    w = _ordered(by, order).rowsBetween(Window.unboundedPreceding, 0)
-    return df.withColumn(name or f"{value}_expanding_{agg}", _AGGS[agg](F.col(value)).over(w))
-
-
 def group_zscore(df: DataFrame, by: Sequence[str], value: str, name: str | None = None) -> DataFrame:
     """``(x - mean) / std`` per group (sample std). Group stats come from a partial
     aggregation joined back on the keys (AQE turns the join into a broadcast when the
@@ -97,15 +40,4 @@ def group_zscore(df: DataFrame, by: Sequence[str], value: str, name: str | None
 
 def trend(df: DataFrame, order: Sequence, name: str = "trend") -> DataFrame:
     """``trend = arange(len)`` over the whole table, range-partitioned (no single task)."""
-    from framewise.operators.ordering import with_positions
     return with_positions(df, order, (), name=name)
-
-
-def window_spec(by: Sequence[str], order: Sequence, frame: tuple[int, int] | None = None) -> Window:
-    """A reusable WindowSpec (the deferred rolling object)."""
-    w = _ordered(by, order)
-    return w.rowsBetween(*frame) if frame else w
-
-
-def guarded(agg: Column, value: str, w: Window, n: int) -> Column:
-    return F.when(F.count(F.col(value)).over(w) >= n, agg.over(w))

@@ -16,14 +16,13 @@ def daily_traffic(spark: SparkSession, sf_dir: str, k: int = 3, window_rows: int
 
     Long output (hour, event_type, n_events, events_24h): the wide, one-column-per-type
     chart table is ``reshape.unstack`` of it. Plan: pruned scan, one count aggregation for
-    the top-k (broadcast semi join of k rows), one for hourly counts, a distributed hour
-    spine, and a window partitioned by type over hour buckets (bounded by the calendar).
+    the top-k (its k values are pushed to the scan as a filter), one for hourly counts, whose
+    small table also bounds the distributed hour spine, and a window partitioned by type over hour buckets (bounded by the calendar).
     """
     ev = table(spark, sf_dir, "events", ["ts", "event_type", "event_id"])
     ev = filters.drop_nulls(ev, subset=["ts", "event_type"])
-    top = filters.top_values(ev, "event_type", k)
-    kept = ev.join(F.broadcast(top), "event_type", "left_semi")
-    keys = [r[0] for r in top.collect()]  # k values: bounded by construction
+    keys = [r[0] for r in filters.top_values(ev, "event_type", k).collect()]  # k values: bounded by construction
+    kept = ev.where(F.col("event_type").isin(keys))
     hourly = resample.resample_by_keys(kept, "ts", "hour", "event_type", keys,
                                        F.count("event_id"), name="hour", value_name="n_events")
     return windows.rolling(hourly, "n_events", window_rows, ["hour"], ["event_type"], "sum", name="events_24h")

@@ -59,7 +59,7 @@ FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey GROUP BY 1""")
 def q_join_broadcast_dim(spark, d):
     li = table(spark, d, "lineitem", ["l_partkey", "l_extendedprice"])
     part = table(spark, d, "part", ["p_partkey", "p_brand"])
-    j = J.join_small(li, part, li["l_partkey"] == part["p_partkey"], max_rows=2_000_000)
+    j = J.join_small(li, part, li["l_partkey"] == part["p_partkey"])
     return j.groupBy("p_brand").agg(_r(F.sum("l_extendedprice"), 2).alias("revenue"), F.count(F.lit(1)).alias("n"))
 
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from framewise.functions import dates as D
@@ -10,7 +9,7 @@ from framewise.functions import numeric as N
 from framewise.functions import text as Tx
 from framewise.functions.numeric import stable_round
 from framewise.operators.aggregates import median
-from framewise.operators.joins import broadcast_if_small
+from framewise.operators.ordering import with_positions
 from framewise.plans.registry import register
 from framewise.sources.tables import table
 
@@ -207,11 +206,11 @@ def q_fill_nulls(spark, d):
 
 
 def category_codes(df, column, name):
-    """String -> dense integer code in sorted order; NULL -> -1. The category table is a
-    small dimension (one row per distinct value) joined back behind a size check."""
+    """String -> dense integer code in sorted order; NULL -> -1. The distinct values are numbered
+    in range chunks, however many there are, and joined back."""
     cats = df.select(column).where(F.col(column).isNotNull()).distinct()
-    cats = cats.withColumn(name, (F.dense_rank().over(Window.orderBy(column)) - 1).cast("int"))
-    out = df.join(broadcast_if_small(cats, 1_000_000), column, "left")
+    cats = with_positions(cats, [column], name=name).withColumn(name, F.col(name).cast("int"))
+    out = df.join(cats, column, "left")
     return out.withColumn(name, F.coalesce(F.col(name), F.lit(-1)))
 
 

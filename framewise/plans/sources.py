@@ -30,7 +30,7 @@ SELECT event_type, count(*) AS n, round((sum(value)) + 5.123e-06, 2) AS value_su
 def q_scan_many_files(spark, d):
     path = scratch_path(spark, "many")
     ev = table(spark, d, "events", ["event_type", "value", "event_id"])
-    ev.repartition(4).write.partitionBy("event_type").parquet(path)
+    ev.write.partitionBy("event_type").parquet(path)
     df = S.read_many(spark, f"{path}/event_type=*/*.parquet", provenance="source_file")
     df = df.withColumn("event_type", F.regexp_extract("source_file", "event_type=([^/]+)/", 1))
     return df.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), stable_round(F.sum("value"), 2).alias("value_sum"))
@@ -72,7 +72,7 @@ def q_scan_zip_csv(spark, d):
     c = table(spark, d, "customer", ["c_custkey", "c_nationkey"])
     n = table(spark, d, "nation")
     src = c.join(n, c["c_nationkey"] == n["n_nationkey"]).select("n_nationkey", "n_name", "n_regionkey", "c_custkey")
-    S.write_zipped_csv(src.repartition(4), path, "nation_customers").collect()  # one row per archive
+    S.write_zipped_csv(src, path, "nation_customers").collect()  # one row per archive
     out = S.read_zipped_csv(spark, f"{path}/*.csv.zip", "n_nationkey INT, n_name STRING, n_regionkey INT, c_custkey BIGINT")
     return out.drop("path")
 

@@ -14,6 +14,6 @@ SELECT l_partkey, count(*) AS count FROM lineitem GROUP BY 1 ORDER BY count DESC
 def q_stream_running_counts(spark, d):
     base = scratch_path(spark, "stream")
     src = table(spark, d, "lineitem", ["l_orderkey", "l_partkey"])
-    src.repartition(4).write.parquet(f"{base}/in")   # several files arrive in the folder
+    src.write.parquet(f"{base}/in")   # several files arrive in the folder
     counts = running_counts(spark, f"{base}/in", src.schema, "l_partkey", f"{base}/counts", f"{base}/ckpt")
     return top_k(counts, "count", 100, ["l_partkey"])

@@ -17,7 +17,6 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
-from pyspark.errors import AnalysisException
 
 from framewise.session import local_fs_path
 
@@ -163,15 +162,12 @@ def html_table_rows(df: DataFrame, html: str, keys: Sequence[str]) -> DataFrame:
 
 def materialize(spark: SparkSession, path: str, builder: Callable[[], DataFrame]) -> DataFrame:
     """"If the stored table exists read it, else build it, save it, and read it back."
-    Spark's commit protocol publishes the folder only when the write succeeded, so a
-    failed build leaves nothing half-written to be mistaken for the table."""
-    try:
-        df = spark.read.parquet(path)
-        df.schema  # noqa: B018 - resolves the path
-        return df
-    except AnalysisException:
-        builder().write.mode("errorifexists").parquet(path)
-        return spark.read.parquet(path)
+    A table exists if its folder holds the mark that Spark's commit leaves last; a folder
+    without it is left over from a failed build and is built anew."""
+    mark = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/_SUCCESS")
+    if not mark.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(mark):
+        builder().write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
 
 
 # ---------------------------------------------------------------- profile
