@@ -63,15 +63,22 @@ def resample_agg(df: DataFrame, ts: str, unit: str, aggs: Sequence[Column], name
     g = df.groupBy(*by, bucket(ts, unit).alias(name)).agg(*aggs)
     if not fill_empty:
         return g
+    return fill_buckets(g, name, f"INTERVAL '{_UNIT_MICROS[unit] // 1_000_000}' SECOND", by)
+
+
+def fill_buckets(g: DataFrame, name: str, step: str, by: Sequence[str] = (), fills: dict | None = None) -> DataFrame:
+    """Add the missing buckets of an aggregated table, ``step`` (an SQL interval, of months too)
+    apart, between the first and the last (of each key, with ``by``). Their columns are NULL, or
+    what ``fills`` says. The bounds come from the aggregated table, which is written once."""
     g = cut_lineage(g, "resampled")
     ends = g.groupBy(*by).agg(F.min(name).alias("_fw_lo"), F.max(name).alias("_fw_hi")).where(F.col("_fw_lo").isNotNull())
-    step = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.lit(_UNIT_MICROS[unit]).cast("decimal(18,0)") / 1_000_000)
-    spine_rows = ends.select(*[F.col(b).alias(f"_fw_{b}") for b in by], F.explode(F.sequence("_fw_lo", "_fw_hi", step)).alias(f"_fw_{name}"))
+    spine_rows = ends.select(*[F.col(b).alias(f"_fw_{b}") for b in by], F.explode(F.sequence("_fw_lo", "_fw_hi", F.expr(step))).alias(f"_fw_{name}"))
     on = F.col(f"_fw_{name}") == F.col(name)
     for b in by:
         on = on & F.col(f"_fw_{b}").eqNullSafe(F.col(b))
     rest = [c for c in g.columns if c != name and c not in by]
-    return spine_rows.join(g, on, "left").select(*[F.col(f"_fw_{b}").alias(b) for b in by], F.col(f"_fw_{name}").alias(name), *rest)
+    out = spine_rows.join(g, on, "left").select(*[F.col(f"_fw_{b}").alias(b) for b in by], F.col(f"_fw_{name}").alias(name), *rest)
+    return out.fillna(fills) if fills else out
 
 
 def resample_by_keys(df: DataFrame, ts: str, unit: str, key: str, keys: Sequence, value: Column,

@@ -9,6 +9,7 @@ from framewise.functions.numeric import stable_round, stable_round_sql as R
 from framewise.operators import aggregates as A
 from framewise.operators.filters import top_values
 from framewise.operators.ordering import top_k
+from framewise.operators.resample import fill_buckets
 from framewise.plans.registry import register
 from framewise.sources.tables import table
 
@@ -158,12 +159,15 @@ def q_bool_mean(spark, d):
 
 
 @register("two_stage_agg", sql="""
-WITH daily AS (SELECT date_trunc('day', o_orderdate) AS day, count(*) AS n FROM orders GROUP BY 1)
-SELECT date_trunc('month', day) AS month, round((avg(n)) + 5.123e-10, 6) AS mean_daily FROM daily GROUP BY 1""")
+WITH daily AS (SELECT date_trunc('day', o_orderdate) AS day, count(*) AS n FROM orders GROUP BY 1),
+g AS (SELECT date_trunc('month', day) AS month, round((avg(n)) + 5.123e-10, 6) AS mean_daily FROM daily GROUP BY 1),
+s AS (SELECT unnest(generate_series(min(month), max(month), INTERVAL 1 MONTH)) AS month FROM g)
+SELECT s.month, mean_daily FROM s LEFT JOIN g ON s.month = g.month""")
 def q_two_stage_agg(spark, d):
     df = table(spark, d, "orders", ["o_orderdate"])
     daily = df.groupBy(F.date_trunc("day", "o_orderdate").alias("day")).agg(F.count(F.lit(1)).alias("n"))
-    return daily.groupBy(F.date_trunc("month", "day").alias("month")).agg(_r(F.avg("n")).alias("mean_daily"))
+    g = daily.groupBy(F.date_trunc("month", "day").alias("month")).agg(_r(F.avg("n")).alias("mean_daily"))
+    return fill_buckets(g, "month", "INTERVAL 1 MONTH")
 
 
 @register("partial_merge_counts", sql="""

@@ -47,26 +47,32 @@ def q_resample_day_sum(spark, d):
 
 
 @register("resample_5day_mean", sql="""
-WITH f AS (SELECT min(o_orderdate) AS first FROM orders)
-SELECT first + to_days((floor(date_diff('day', first, o_orderdate) / 5) * 5)::INT) AS bucket,
+WITH f AS (SELECT min(o_orderdate) AS first FROM orders),
+g AS (SELECT first + to_days((floor(date_diff('day', first, o_orderdate) / 5) * 5)::INT) AS bucket,
        round((avg(o_totalprice)) + 5.123e-08, 4) AS price_mean, count(*) AS n
-FROM orders, f GROUP BY 1""")
+FROM orders, f GROUP BY 1),
+s AS (SELECT unnest(generate_series(min(bucket), max(bucket), INTERVAL 5 DAY)) AS bucket FROM g)
+SELECT s.bucket, price_mean, coalesce(n, 0) AS n FROM s LEFT JOIN g ON s.bucket = g.bucket""")
 def q_resample_5day_mean(spark, d):
     o = table(spark, d, "orders", ["o_orderdate", "o_totalprice"])
     first = o.select(F.min("o_orderdate")).scalar()
     b = T.resample_n_days("o_orderdate", 5, first).cast("timestamp_ntz")
-    return o.groupBy(b.alias("bucket")).agg(stable_round(F.avg("o_totalprice"), 4).alias("price_mean"),
-                                            F.count(F.lit(1)).alias("n"))
+    g = o.groupBy(b.alias("bucket")).agg(stable_round(F.avg("o_totalprice"), 4).alias("price_mean"),
+                                         F.count(F.lit(1)).alias("n"))
+    return T.fill_buckets(g, "bucket", "INTERVAL 5 DAY", fills={"n": 0})
 
 
 @register("resample_week", sql="""
-SELECT date_trunc('week', o_orderdate) + INTERVAL 6 DAY AS week,
+WITH g AS (SELECT date_trunc('week', o_orderdate) + INTERVAL 6 DAY AS week,
   round((avg(o_totalprice)) + 5.123e-08, 4) AS price_mean, round((sum(o_totalprice)) + 5.123e-06, 2) AS price_sum
-FROM orders GROUP BY 1""")
+FROM orders GROUP BY 1),
+s AS (SELECT unnest(generate_series(min(week), max(week), INTERVAL 7 DAY)) AS week FROM g)
+SELECT s.week, price_mean, coalesce(price_sum, 0) AS price_sum FROM s LEFT JOIN g ON s.week = g.week""")
 def q_resample_week(spark, d):
     o = table(spark, d, "orders", ["o_orderdate", "o_totalprice"])
-    return o.groupBy(T.week_ending_sunday("o_orderdate").cast("timestamp_ntz").alias("week")).agg(
+    g = o.groupBy(T.week_ending_sunday("o_orderdate").cast("timestamp_ntz").alias("week")).agg(
         stable_round(F.avg("o_totalprice"), 4).alias("price_mean"), stable_round(F.sum("o_totalprice"), 2).alias("price_sum"))
+    return T.fill_buckets(g, "week", "INTERVAL 7 DAY", fills={"price_sum": 0.0})
 
 
 @register("resample_up_6h", sql="""
@@ -82,9 +88,12 @@ def q_resample_up_6h(spark, d):
 
 
 @register("resample_month_start", sql="""
-SELECT date_trunc('month', o_orderdate) AS month, round((avg(o_totalprice)) + 5.123e-08, 4) AS price_mean
-FROM orders GROUP BY 1""")
+WITH g AS (SELECT date_trunc('month', o_orderdate) AS month, round((avg(o_totalprice)) + 5.123e-08, 4) AS price_mean
+FROM orders GROUP BY 1),
+s AS (SELECT unnest(generate_series(min(month), max(month), INTERVAL 1 MONTH)) AS month FROM g)
+SELECT s.month, price_mean FROM s LEFT JOIN g ON s.month = g.month""")
 def q_resample_month_start(spark, d):
     o = table(spark, d, "orders", ["o_orderdate", "o_totalprice"])
-    return o.groupBy(F.date_trunc("month", "o_orderdate").alias("month")).agg(
+    g = o.groupBy(F.date_trunc("month", "o_orderdate").alias("month")).agg(
         stable_round(F.avg("o_totalprice"), 4).alias("price_mean"))
+    return T.fill_buckets(g, "month", "INTERVAL 1 MONTH")

@@ -50,6 +50,14 @@ def test_resample_fills_each_keys_gaps(spark):
         [("x", h, {0: 1.0, 5: 2.0}.get(h)) for h in range(6)] + [("y", 3, 4.0), ("None", 1, 1.0)], key=lambda r: r[:2])
 
 
+def test_months_and_weeks_without_rows(spark):
+    df = spark.createDataFrame([("2024-01-01", 1.0), ("2024-04-01", 2.0)], "d string, v double").select(F.col("d").cast("timestamp_ntz").alias("d"), "v")
+    got = T.fill_buckets(df, "d", "INTERVAL 1 MONTH", fills={"v": 0.0}).collect()
+    assert sorted((r.d.month, r.v) for r in got) == [(1, 1.0), (2, 0.0), (3, 0.0), (4, 2.0)]
+    assert T.fill_buckets(df, "d", "INTERVAL 7 DAY").count() == 14
+    assert T.fill_buckets(df.limit(0), "d", "INTERVAL 7 DAY").count() == 0
+
+
 def test_groups_of_nulls_stay(spark):
     df = spark.createDataFrame([("a", None), ("a", None), ("b", 2.0), ("b", 2.0), ("b", None)], "k string, v double")
     assert {r.k: r.v for r in A.group_mode(df, ["k"], "v").collect()} == {"a": None, "b": 2.0}
