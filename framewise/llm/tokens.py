@@ -17,6 +17,8 @@ special strings.
 from __future__ import annotations
 
 import json
+import re
+import unicodedata
 from array import array
 from collections.abc import Iterator
 from operator import sub
@@ -36,6 +38,14 @@ PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
 MEMO = 600_000  # pieces, and pairs of tokens, remembered by a task; beyond, it starts anew
 
 
+def latin_pieces() -> re.Pattern:
+    """The same pattern for texts of the first 256 code points, whose letters, numbers and white space are listed."""
+    of = lambda kinds: "".join(re.escape(c) for c in map(chr, range(256)) if unicodedata.category(c)[0] in kinds)
+    space = "".join(re.escape(c) for c in map(chr, range(256)) if regex.match(r"\s", c))
+    return re.compile(PIECES.replace(r"[^\s\p{L}\p{N}]", f"[^{space}{of('L')}{of('N')}]").replace(r"\p{L}", f"[{of('L')}]")
+                      .replace(r"\p{N}", f"[{of('N')}]").replace(r"\S", f"[^{space}]").replace(r"\s", f"[{space}]"))
+
+
 def stand_ins() -> dict[str, int]:
     """Character of the vocabulary file -> byte."""
     rest = [b for b in range(256) if b not in PRINTABLE]
@@ -53,7 +63,8 @@ class Vocabulary:
         self.ids = {raw(s): i for s, i in d["model"]["vocab"].items() if s not in self.special}
         merges = [m.split(" ") if isinstance(m, str) else m for m in d["model"]["merges"]]
         self.ranks = {(raw(a), raw(b)): i for i, (a, b) in enumerate(merges)}
-        self.longest = max(map(len, self.ids))
+        self.tokens = {i: t for t, i in self.ids.items()}
+        self.begun = {t[:n] for t in self.ids for n in range(len(t) + 1)}
 
 
 class PrefixCounter:
@@ -61,19 +72,18 @@ class PrefixCounter:
         self.v = vocabulary
         self.formed = {a + b: i for (a, b), i in reversed(vocabulary.ranks.items())}
         self.halves = {a + b: (a, b) for a, b in reversed(vocabulary.ranks)}
-        self.pieces = regex.compile(PIECES)
-        self.odd = regex.compile(r"\s\s\S|'(?:re|ve|ll)")
-        self.space = regex.compile(r"\s")
+        self.pieces, self.latin = regex.compile(PIECES), latin_pieces()
+        self.gaps = regex.compile(r"\s{2,}+")
         self.special = regex.compile("|".join(map(regex.escape, sorted(vocabulary.special, key=len, reverse=True)))) if vocabulary.special else None
-        self.pairs: dict[tuple[bytes, bytes], bool] = {}
+        self.pairs: dict[int, bool] = {}  # by the ids of both tokens, in one number
         self.memo: dict[str, bytes] = {}
 
-    def follows(self, a: bytes, b: bytes) -> bool:
+    def follows(self, a: int, b: int) -> bool:
         """Whether the two tokens side by side encode to themselves: merges are undone, the latest first,
         and no merge across the border may have come before one that was undone."""
         if len(self.pairs) >= MEMO:
             self.pairs.clear()
-        known = self.pairs[a, b] = self._follows(a, b)
+        known = self.pairs[a << 32 | b] = self._follows(self.v.tokens[a], self.v.tokens[b])
         return known
 
     def _follows(self, a: bytes, b: bytes) -> bool:
@@ -96,20 +106,24 @@ class PrefixCounter:
             if len(self.memo) >= MEMO:
                 self.memo.clear()
             counts = self.counts(piece)
+            if piece in ("'re", "'ve", "'ll"):
+                counts[1:3] = 1, 2  # cut short it is no contraction: an apostrophe, then a letter
             got = self.memo[piece] = array("h", map(sub, counts[1:], counts)).tobytes()
         return got
 
     def counts(self, piece: str) -> list[int]:
         """Tokens of each prefix of a piece, by code points, from the empty one to the whole."""
         data = piece.encode("utf-8", "surrogatepass")
-        ids, pairs, longest = self.v.ids, self.pairs, self.v.longest
-        last, count = [b""], [0]
+        ids, begun, pairs = self.v.ids, self.v.begun, self.pairs
+        last, count, lo = [-1], [0], 0
         for i in range(1, len(data) + 1):
-            for j in range(i - longest if i > longest else 0, i):
-                t = data[j:i]
-                if t in ids:
+            while data[lo:i] not in begun:  # no token that ends at i or later begins before lo
+                lo += 1
+            for j in range(lo, i):
+                t = ids.get(data[j:i])
+                if t is not None:
                     if j:
-                        right = pairs.get((last[j], t))
+                        right = pairs.get(last[j] << 32 | t)
                         if not (self.follows(last[j], t) if right is None else right):
                             continue
                     last.append(t)
@@ -121,27 +135,23 @@ class PrefixCounter:
             return count
         return [0] + [count[i] for i in range(1, len(data) + 1) if i == len(data) or data[i] & 0xC0 != 0x80]
 
+    def cut(self, text: str) -> list[str]:
+        try:
+            text.encode("latin-1")
+        except UnicodeEncodeError:
+            return self.pieces.findall(text)
+        return self.latin.findall(text)
+
     def plain(self, text: str) -> np.ndarray:
         """Tokens of each prefix of a text without special strings, from the empty one on."""
-        found = self.pieces.findall(text)
-        if not self.odd.search(text):
-            known = self.memo.get
-            steps = np.frombuffer(b"".join([known(p) or self.steps(p) for p in found]), np.int16)
-            return np.concatenate([[0], np.cumsum(steps, dtype=np.int64)])
-        out, base, correct = [0], 0, None
-        for k, piece in enumerate(found):
-            counts = self.counts(piece)
-            if piece in ("'re", "'ve", "'ll"):
-                counts = [0, 1, 2, counts[3]]  # cut short it is no contraction: an apostrophe, then a letter
-            at = len(out)
-            out.extend([base + c for c in counts[1:]])
-            if correct is not None:
-                out[at], correct = correct, None
-            if k + 1 < len(found) and self.space.match(piece[-1]) and self.space.match(found[k + 1][0]):
-                # a prefix that ends with the next piece's first character has both in one run of white space
-                correct = base + self.counts(piece + found[k + 1][0])[-1]
-            base += counts[-1]
-        return np.array(out, np.int64)
+        known = self.memo.get
+        steps = np.frombuffer(b"".join([known(p) or self.steps(p) for p in self.cut(text)]), np.int16)
+        out = np.concatenate([[0], np.cumsum(steps, dtype=np.int64)])
+        for gap in self.gaps.finditer(text):
+            if gap.end() < len(text):
+                # the last space of a gap belongs to what follows; a prefix that ends with it has the gap as one piece
+                out[gap.end()] = out[gap.start()] + np.frombuffer(known(gap[0]) or self.steps(gap[0]), np.int16).sum()
+        return out
 
     def prefix_counts(self, text: str) -> np.ndarray:
         """Tokens of the first 0, 1, ... code points of a text."""
