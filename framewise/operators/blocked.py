@@ -107,6 +107,24 @@ def running(df: DataFrame, by: Sequence[str], order: Sequence, value: str, aggs:
     return j.select(*df.columns, *[outs[a].alias(fmt.format(value=value, agg=a)) for a in aggs])
 
 
+def fill_forward(df: DataFrame, by: Sequence[str], order: Sequence, value: str, name: str,
+                 block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
+    """``ffill()``: the latest non-NULL value up to the row. Inside a block by a window; a block that
+    begins with NULLs takes the last value of the blocks before it from a table of one row a block."""
+    by = list(by)
+    p = with_positions(df, order, by, name="_fw_pos").withColumn("_fw_blk", F.floor(F.col("_fw_pos") / block_rows))
+    w = Window.partitionBy(*by, "_fw_blk").orderBy("_fw_pos").rowsBetween(Window.unboundedPreceding, 0)
+    p = p.withColumn("_fw_last", F.last(F.col(value), ignorenulls=True).over(w))
+    ends = p.groupBy(*by, "_fw_blk").agg(F.max_by(F.col(value), F.when(F.col(value).isNotNull(), F.col("_fw_pos"))).alias("_fw_end"))
+    wp = Window.partitionBy(*by).orderBy("_fw_blk").rowsBetween(Window.unboundedPreceding, -1)
+    carry = ends.select(*[F.col(b).alias(f"_fw_k{i}") for i, b in enumerate(by)], F.col("_fw_blk").alias("_fw_cb"),
+                        F.last("_fw_end", ignorenulls=True).over(wp).alias("_fw_before"))
+    cond = F.col("_fw_blk") == F.col("_fw_cb")
+    for i, b in enumerate(by):
+        cond = cond & F.col(b).eqNullSafe(F.col(f"_fw_k{i}"))
+    return p.join(carry, cond, "inner").select(*df.columns, F.coalesce("_fw_last", "_fw_before").alias(name))
+
+
 def rolling_time(df: DataFrame, by: Sequence[str], ts: str, value: str | Sequence[str], length_micros: int,
                  aggs: Sequence[str] = ("mean",), fmt: str = "{value}_{agg}_t") -> DataFrame:
     """``rolling("30D").agg()``: frame (t - L, t], at least one value. Time blocks of width L;

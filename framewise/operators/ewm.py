@@ -20,6 +20,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from framewise.operators.blocked import fill_forward, ordered_window
 from framewise.operators.ordering import with_positions
 
 
@@ -30,10 +31,7 @@ def ewm_mean(df: DataFrame, value: str, order: Sequence, by: Sequence[str] = (),
     by = list(by)
     name = name or f"{value}_ewm"
     if alpha == 1:
-        # weights 0^(t-j): the latest non-NULL value
-        p = with_positions(df, order, by, name="_fw_pos")
-        w = Window.partitionBy(*by).orderBy("_fw_pos").rowsBetween(Window.unboundedPreceding, 0)
-        return p.withColumn(name, F.last(F.col(value), ignorenulls=True).over(w)).drop("_fw_pos")
+        return fill_forward(df, by, order, value, name)  # weights 0^(t-j): the latest non-NULL value
     d = 1.0 - alpha
     ln_d = math.log(d)
     B = block_rows or max(1, min(1_000_000, int(12 * math.log(10) / -ln_d)))
@@ -51,18 +49,17 @@ def ewm_mean(df: DataFrame, value: str, order: Sequence, by: Sequence[str] = (),
 
     # block totals aged to the start of the next block: T_b = d^B * sum x_j d^-j'
     dB = d ** B
-    tot = p.groupBy(*by, "_fw_blk").agg((F.sum("_fw_xn") * dB).alias("_fw_tn"), (F.sum("_fw_xd") * dB).alias("_fw_td"))
-    wb = Window.partitionBy(*by).orderBy("_fw_blk")
-    cn = F.lit(0.0)
-    cd = F.lit(0.0)
-    for k in range(1, K + 1):
-        f = d ** ((k - 1) * B)
-        if f == 0.0:
-            break
-        cn = cn + F.coalesce(F.lag("_fw_tn", k).over(wb), F.lit(0.0)) * f
-        cd = cd + F.coalesce(F.lag("_fw_td", k).over(wb), F.lit(0.0)) * f
-    carry = tot.select(*[F.col(b).alias(f"_fw_k{i}") for i, b in enumerate(by)], F.col("_fw_blk").alias("_fw_cb"),
-                       cn.alias("_fw_cn"), cd.alias("_fw_cd"))
+    tot = p.withColumnRenamed("_fw_blk", "_fw_cb").groupBy(*by, "_fw_cb").agg((F.sum("_fw_xn") * dB).alias("_fw_tn"), (F.sum("_fw_xd") * dB).alias("_fw_td"))
+    shares = [d ** ((k - 1) * B) for k in range(1, K + 1)]
+
+    def carried(w):
+        def total(c):
+            return sum((F.coalesce(F.lag(c, k).over(w), F.lit(0.0)) * f for k, f in enumerate(shares, 1) if f > 0), F.lit(0.0))
+        return {"_fw_cn": total("_fw_tn"), "_fw_cd": total("_fw_td")}
+
+    # a short block makes a long table of blocks, so its lags run on blocks of blocks
+    carry = ordered_window(tot, by, ["_fw_cb"], K, 0, carried)
+    carry = carry.select(*[F.col(b).alias(f"_fw_k{i}") for i, b in enumerate(by)], "_fw_cb", "_fw_cn", "_fw_cd")
     cond = F.col("_fw_blk") == F.col("_fw_cb")
     for i, b in enumerate(by):
         cond = cond & F.col(b).eqNullSafe(F.col(f"_fw_k{i}"))

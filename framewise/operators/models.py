@@ -5,7 +5,7 @@ indexed and one-hot encoded (one level dropped), numeric columns get their media
 (``Imputer``). Every model is trained by Spark on the whole table; ``CrossValidator``
 fits several settings at once (``parallelism``). sklearn's ``min_samples_leaf`` maps to
 ``minInstancesPerNode``; ``min_samples_split`` has no counterpart. Spark trees stop at
-depth 30, so deeper settings are clipped.
+depth 30; deeper settings are refused.
 """
 
 from __future__ import annotations
@@ -37,8 +37,9 @@ def forest_grid_search(df: DataFrame, label: str, categorical: Sequence[str], nu
     imp = Imputer(strategy="median", inputCols=num, outputCols=[f"{c}_imp" for c in num])
     vec = VectorAssembler(inputCols=ohe.getOutputCols() + imp.getOutputCols(), outputCol="_features")
     rf = RandomForestClassifier(labelCol="_label", featuresCol="_features", numTrees=num_trees, seed=seed)
-    depths = sorted({min(d, MAX_SPARK_DEPTH) for d in max_depth})
-    grid = ParamGridBuilder().addGrid(rf.maxDepth, depths).addGrid(rf.minInstancesPerNode, list(min_leaf)).build()
+    if max(max_depth) > MAX_SPARK_DEPTH:
+        raise ValueError(f"Spark trees stop at depth {MAX_SPARK_DEPTH}")
+    grid = ParamGridBuilder().addGrid(rf.maxDepth, list(max_depth)).addGrid(rf.minInstancesPerNode, list(min_leaf)).build()
     cv = CrossValidator(estimator=Pipeline(stages=[idx, ohe, imp, vec, rf]), estimatorParamMaps=grid,
                         evaluator=MulticlassClassificationEvaluator(labelCol="_label", metricName="accuracy"),
                         numFolds=folds, seed=seed, parallelism=parallelism)

@@ -11,6 +11,7 @@ from framewise.operators.filters import top_values
 from framewise.operators.ordering import top_k
 from framewise.operators.resample import fill_buckets
 from framewise.plans.registry import register
+from framewise.session import cut_lineage
 from framewise.sources.tables import table
 
 
@@ -185,14 +186,15 @@ UNION ALL SELECT 'top_part_mean_qty', key, value FROM (
   SELECT l_partkey AS key, round((avg(l_quantity)) + 5.123e-10, 6) AS value FROM lineitem GROUP BY 1 ORDER BY value DESC, key LIMIT 10)""")
 def q_multi_agg_shared(spark, d):
     shared = table(spark, d, "lineitem", ["l_suppkey", "l_partkey", "l_quantity", "l_extendedprice"])
-    a = shared.agg(F.lit("mean_price").alias("answer"), F.lit(None).cast("bigint").alias("key"),
-                   _r(F.avg("l_extendedprice")).alias("value"))
-    b = shared.groupBy(F.col("l_suppkey").alias("key")).agg(_r(F.sum("l_extendedprice"), 2).alias("value"))
-    b = top_k(b, "value", 10, ["key"]).select(F.lit("top_supplier_revenue").alias("answer"), "key", "value")
-    c = shared.groupBy(F.col("l_partkey").alias("key")).agg(_r(F.avg("l_quantity")).alias("value"))
-    c = top_k(c, "value", 10, ["key"]).select(F.lit("top_part_mean_qty").alias("answer"), "key", "value")
-    # One plan: the three answers share the scan (ReuseExchange / one file read per branch
-    # is pruned to the same columns); persist() would be the cross-action equivalent.
+    # One scan and one aggregation for the three answers; the aggregated rows are written once.
+    groups = cut_lineage(shared.groupingSets([[], ["l_suppkey"], ["l_partkey"]], "l_suppkey", "l_partkey").agg(
+        F.grouping_id().alias("level"), _r(F.avg("l_extendedprice")).alias("mean_price"),
+        _r(F.sum("l_extendedprice"), 2).alias("revenue"), _r(F.avg("l_quantity")).alias("mean_qty")), "shared-aggregates")
+    a = groups.where("level = 3").select(F.lit("mean_price").alias("answer"), F.lit(None).cast("bigint").alias("key"), F.col("mean_price").alias("value"))
+    b = top_k(groups.where("level = 1").select(F.col("l_suppkey").alias("key"), F.col("revenue").alias("value")), "value", 10, ["key"])
+    b = b.select(F.lit("top_supplier_revenue").alias("answer"), "key", "value")
+    c = top_k(groups.where("level = 2").select(F.col("l_partkey").alias("key"), F.col("mean_qty").alias("value")), "value", 10, ["key"])
+    c = c.select(F.lit("top_part_mean_qty").alias("answer"), "key", "value")
     return a.unionByName(b).unionByName(c)
 
 

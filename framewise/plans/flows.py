@@ -201,7 +201,8 @@ def tidy_rest(spark, d):
 
 @register("flow_rest_days", sql="WITH" + _GAMES_SQL + """
 SELECT g.l_orderkey, g.l_linenumber, g.l_partkey, g.l_suppkey, g.qty, g.date, g.away_team, g.home_team,
-  max(rest) FILTER (WHERE variable = 'away_team') AS away_rest, max(rest) FILTER (WHERE variable = 'home_team') AS home_rest
+  max(rest) FILTER (WHERE variable = 'away_team') AS away_rest, max(rest) FILTER (WHERE variable = 'home_team') AS home_rest,
+  max(rest) FILTER (WHERE variable = 'home_team') - max(rest) FILTER (WHERE variable = 'away_team') AS rest_diff
 FROM g JOIN r ON g.l_orderkey = r.l_orderkey AND g.l_linenumber = r.l_linenumber AND g.l_partkey = r.l_partkey
   AND g.l_suppkey = r.l_suppkey AND g.qty = r.qty GROUP BY ALL""")
 def flow_rest_days(spark, d):
@@ -209,7 +210,8 @@ def flow_rest_days(spark, d):
     r = tidy_rest(spark, d)
     by_game = Rs.pivot(r, GAME_KEY, "variable", ["away_team", "home_team"], F.first("rest"),
                        fmt="{v}").withColumnsRenamed({"away_team": "away_rest", "home_team": "home_rest"})
-    return games(spark, d).select(*GAME_KEY, "date", "away_team", "home_team").join(by_game, GAME_KEY, "left")
+    out = games(spark, d).select(*GAME_KEY, "date", "away_team", "home_team").join(by_game, GAME_KEY, "left")
+    return out.withColumn("rest_diff", F.col("home_rest") - F.col("away_rest"))
 
 
 @register("flow_win_percent", sql="""
@@ -239,6 +241,22 @@ def flow_win_percent(spark, d):
                       (F.col("home_points") - F.col("away_points")).alias("point_diff"))
 
 
+@register("flow_win_spread", sql="""
+WITH g AS (SELECT s_nationkey::BIGINT AS away_team, c_nationkey::BIGINT AS home_team, l_tax * 500 < l_quantity AS home_win
+      FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey JOIN supplier ON l_suppkey = s_suppkey),
+h AS (SELECT home_team AS team, avg(home_win::INT) AS home FROM g GROUP BY 1),
+a AS (SELECT away_team AS team, avg((NOT home_win)::INT) AS away FROM g GROUP BY 1)
+SELECT team, round((home - away) + 5.123e-13, 9) AS spread, round(((home + away) / 2) + 5.123e-13, 9) AS overall
+FROM h FULL JOIN a USING (team)""")
+def flow_win_spread(spark, d):
+    """Win % at home minus win % away, by team: one partial aggregation per (team, role), then unstacked."""
+    g = games(spark, d).withColumn("home_win", F.col("away_points") < F.col("home_points"))
+    w = Rs.melt(g, ["home_win"], ["home_team", "away_team"], "role", "team")
+    pct = w.groupBy("team").pivot("role", ["home_team", "away_team"]).agg(F.avg((F.col("home_win") == (F.col("role") == "home_team")).cast("int")))
+    return pct.select("team", stable_round(F.col("home_team") - F.col("away_team"), 9).alias("spread"),
+                      stable_round((F.col("home_team") + F.col("away_team")) / 2, 9).alias("overall"))
+
+
 @register("flow_rest_ma", sql="WITH" + _GAMES_SQL + """,
 m AS (SELECT date, avg(rest) FILTER (WHERE variable = 'away_team') AS away_team,
              avg(rest) FILTER (WHERE variable = 'home_team') AS home_team FROM r GROUP BY date),

@@ -130,11 +130,12 @@ def q_timezone_convert(spark, d):
 
 
 @register("holiday_dates", sql="""
-WITH y AS (SELECT DISTINCT year(o_orderdate) AS year FROM orders),
+WITH y AS (SELECT unnest(generate_series(min(year(o_orderdate)), max(year(o_orderdate)))) AS year FROM orders),
 f AS (SELECT year, make_date(year, 10, 1) AS first FROM y)
 SELECT year::BIGINT AS year, CAST(first + to_days(((8 - isodow(first)) % 7)::INT + 7) AS TIMESTAMP) AS columbus_day FROM f""")
 def q_holiday_dates(spark, d):
-    years = table(spark, d, "orders", ["o_orderdate"]).select(F.year("o_orderdate").alias("year")).distinct()
+    ends = table(spark, d, "orders", ["o_orderdate"]).agg(F.year(F.min("o_orderdate")).alias("lo"), F.year(F.max("o_orderdate")).alias("hi"))
+    years = ends.where("lo IS NOT NULL").select(F.explode(F.sequence("lo", "hi")).alias("year"))
     return years.select(F.col("year").cast("bigint").alias("year"),
                         D.nth_weekday_of_month(F.col("year"), 10, "MON", 2).cast("timestamp_ntz").alias("columbus_day"))
 

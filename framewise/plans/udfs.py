@@ -14,8 +14,8 @@ from framewise.sources.tables import table
 @register("udf_rowwise", sql=_GC_SQL)
 def q_udf_rowwise(spark, d):
     c = shipment_coordinates(spark, d)
-    return c.select("l_orderkey", "l_linenumber",
-                    stable_round(G.great_circle_udf("lat_1", "lon_1", "lat_2", "lon_2"), 3).alias("distance_km"))
+    far = G.apply_rows(c, G.great_circle_pandas, ["lat_1", "lon_1", "lat_2", "lon_2"], "km", "double")
+    return far.select("l_orderkey", "l_linenumber", stable_round("km", 3).alias("distance_km"))
 
 
 @register("udf_group_apply", sql="""

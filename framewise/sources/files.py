@@ -8,6 +8,7 @@ below the cluster's shared checkpoint folder (``framewise.session.scratch_path``
 from __future__ import annotations
 
 import io
+import itertools
 import os
 import uuid
 import zipfile
@@ -101,6 +102,18 @@ def write_zipped_csv(df: DataFrame, folder: str, name: str = "part") -> DataFram
     return df.mapInPandas(write, "path string, rows long")
 
 
+def csv_records(lines: Iterator[str]) -> Iterator[str]:
+    """Records of a CSV text: lines, put together where a quoted field goes on in the next one."""
+    record = ""
+    for line in lines:
+        record += line
+        if record.count('"') % 2 == 0:
+            yield record.rstrip("\r\n")
+            record = ""
+    if record:
+        yield record.rstrip("\r\n")
+
+
 def read_zipped_csv(spark: SparkSession, pattern: str, schema: StructType | str, header: bool = True) -> DataFrame:
     """Zip archives each holding one CSV -> rows. An archive is not splittable, so each is
     one task: the task unzips to text lines (Python), and the JVM parses the lines with
@@ -112,10 +125,12 @@ def read_zipped_csv(spark: SparkSession, pattern: str, schema: StructType | str,
             for path, content in zip(b["path"], b["content"]):
                 with zipfile.ZipFile(io.BytesIO(content)) as z:
                     for member in z.namelist():
-                        text = z.read(member).decode("utf-8").splitlines()
-                        if header and text:
-                            text = text[1:]
-                        yield pd.DataFrame({"path": path, "line": text})
+                        with z.open(member) as f:
+                            records = csv_records(io.TextIOWrapper(f, "utf-8", newline="\n"))
+                            if header:
+                                next(records, None)
+                            while some := list(itertools.islice(records, 10_000)):
+                                yield pd.DataFrame({"path": path, "line": some})
 
     ddl = schema if isinstance(schema, str) else schema.simpleString()[len("struct<"):-1].replace(":", " ")
     parsed = raw.mapInPandas(lines, "path string, line string").select(

@@ -2,15 +2,16 @@
 
 ``readStream`` over a folder picks up new files; the streaming aggregation keeps the
 per-key counts as state (checkpointed in the shared folder, so a restart or a lost
-executor resumes from the last committed batch). Each micro-batch publishes the full,
-current counts table with ``foreachBatch``; the top-k is a batch query over it.
+executor resumes from the last committed batch). Each micro-batch writes only the counts
+it changed, into a folder of its own (a repeated batch writes the same folder again); the
+counts of a key only grow, so the largest is the current one.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import LongType, StructField, StructType
 
 
 def running_counts(spark: SparkSession, source_dir: str, schema: StructType, key: str, out_dir: str,
@@ -22,9 +23,10 @@ def running_counts(spark: SparkSession, source_dir: str, schema: StructType, key
     counts = stream.groupBy(key).agg(F.count(F.lit(1)).alias("count"))
 
     def publish(batch: DataFrame, epoch: int) -> None:
-        batch.write.mode("overwrite").parquet(out_dir)
+        batch.write.mode("overwrite").parquet(f"{out_dir}/epoch={epoch}")
 
-    q = (counts.writeStream.outputMode("complete").foreachBatch(publish)
+    q = (counts.writeStream.outputMode("update").foreachBatch(publish)
          .option("checkpointLocation", checkpoint_dir).trigger(availableNow=True).start())
     q.awaitTermination()
-    return spark.read.parquet(out_dir)
+    changed = StructType([schema[key], StructField("count", LongType())])
+    return spark.read.schema(changed).parquet(out_dir).groupBy(key).agg(F.max("count").alias("count"))
