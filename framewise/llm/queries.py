@@ -89,9 +89,9 @@ def tokenizer_file(name: str = TOKENIZER, folder: str | None = None) -> str:
 
 @register("op3_token_counts")
 def token_counts(spark, sf_dir):
-    stored = tokens.token_prefixes(table(spark, sf_dir, "documents", ["doc_id", "text"]), tokenizer_file(), keep=["doc_id"])
+    stored = tokens.token_prefixes(table(spark, sf_dir, "documents", ["doc_id", "text"]), tokenizer_file(), keep=["doc_id"], limits=[TOKEN_LIMIT])
     return stored.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > TOKEN_LIMIT).alias("over_limit"),
-                         tokens.fits(TOKEN_LIMIT)("prefix_tokens").alias("chars_within_limit"))
+                         F.col(f"chars_within_{TOKEN_LIMIT}").alias("chars_within_limit"))
 
 
 @register("op9_language_id")

@@ -20,7 +20,7 @@ import json
 import re
 import unicodedata
 from array import array
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from operator import sub
 
 import numpy as np
@@ -164,20 +164,28 @@ class PrefixCounter:
         return np.concatenate(parts)
 
 
-def token_prefixes(df: DataFrame, tokenizer: str, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
+def longest_prefix(counts: np.ndarray, limit: int) -> int:
+    """The longest prefix of at most ``limit`` tokens. Counts may fall from one prefix to the next, so all are asked."""
+    return int(np.flatnonzero(counts <= limit)[-1])
+
+
+def token_prefixes(df: DataFrame, tokenizer: str, text_col: str = "text", keep: list[str] | None = None,
+                   limits: Sequence[int] = ()) -> DataFrame:
     """The kept columns (default: all), ``n_bytes``, ``n_tokens`` and ``prefix_tokens``: 32-bit little-endian
-    counts at every prefix, from the empty one to the whole text.
+    counts at every prefix, from the empty one to the whole text. Limits that are known beforehand are
+    looked up while the table is at hand: ``chars_within_<limit>``, as ``fits`` gives it later.
 
     ``tokenizer`` is the content of the tokenizer's file (2 MB, sent to the executors once). NULL is the
     empty text. Repeated rows keep their rows; an empty table gives an empty result. A kept column named
     like a result is refused."""
     keep = df.columns if keep is None else keep
     require(df, text_col, *keep)
-    if {"n_bytes", "n_tokens", "prefix_tokens"} & set(keep):
-        raise ValueError("n_bytes, n_tokens and prefix_tokens are results; leave such columns out of keep")
+    results = ["n_bytes", "n_tokens", *[f"chars_within_{n}" for n in limits], "prefix_tokens"]
+    if set(results) & set(keep):
+        raise ValueError(f"{', '.join(results)} are results; leave such columns out of keep")
     shared = df.sparkSession.sparkContext.broadcast(tokenizer)
-    schema = T.StructType([*[df.schema[c] for c in keep], T.StructField("n_bytes", T.LongType()),
-                           T.StructField("n_tokens", T.LongType()), T.StructField("prefix_tokens", T.BinaryType())])
+    schema = T.StructType([*[df.schema[c] for c in keep], *[T.StructField(c, T.LongType()) for c in results[:-1]],
+                           T.StructField("prefix_tokens", T.BinaryType())])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = PrefixCounter(Vocabulary(shared.value))
@@ -189,8 +197,9 @@ def token_prefixes(df: DataFrame, tokenizer: str, text_col: str = "text", keep:
                 yield pa.RecordBatch.from_arrays(
                     [*batch.columns[:-1], pa.array([len(t.encode("utf-8", "surrogatepass")) for t in texts], pa.int64()),
                      pa.array([int(c[-1]) for c in tables], pa.int64()),
+                     *[pa.array([longest_prefix(c, n) for c in tables], pa.int64()) for n in limits],
                      pa.array([c.astype("<i4").tobytes() for c in tables], pa.binary())],
-                    names=[*keep, "n_bytes", "n_tokens", "prefix_tokens"])
+                    names=[*keep, *results])
 
     return df.select(*[F.col(c) for c in keep], F.col(text_col).alias("__text")).mapInArrow(count, schema)
 
@@ -199,7 +208,7 @@ def fits(limit: int):
     """Column function of ``prefix_tokens``: the longest prefix, in code points, of at most ``limit`` tokens."""
     @F.pandas_udf(T.LongType())
     def longest(tables):
-        return tables.map(lambda b: int(np.flatnonzero(np.frombuffer(b, "<i4") <= limit)[-1]))
+        return tables.map(lambda b: longest_prefix(np.frombuffer(b, "<i4"), limit))
     return longest
 
 

@@ -157,7 +157,7 @@ def test_prefix_counts_are_the_librarys(library):
 
 def test_tokens_awkward(spark, library):
     df, rows = awkward(spark)
-    stored = tokens.token_prefixes(df, tokenizer_file(), keep=["doc_id", "text", "size"])
+    stored = tokens.token_prefixes(df, tokenizer_file(), keep=["doc_id", "text", "size"], limits=[5])
     got = stored.select("*", tokens.fits(5)("prefix_tokens").alias("fit"), tokens.tokens_at(F.col("prefix_tokens"), F.lit(3)).alias("at3")).collect()
     assert len(got) == len(rows)
     for r in got:
