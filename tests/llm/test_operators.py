@@ -164,6 +164,7 @@ def test_tokens_awkward(spark, library):
         text = r["text"] or ""
         assert r["n_bytes"] == len(text.encode()) and r["n_tokens"] == len(library.encode(text, add_special_tokens=False).ids)
         assert len(library.encode(text[:r["fit"]], add_special_tokens=False).ids) <= 5
+        assert r["chars_within_5"] == r["fit"]
         assert r["at3"] == (len(library.encode(text[:3], add_special_tokens=False).ids) if len(text) >= 3 else None)
     assert tokens.token_prefixes(empty(spark), tokenizer_file()).count() == 0
 
