@@ -129,6 +129,24 @@ def test_forest_grid_search_learns_a_separable_rule(spark):
     assert max(r["mean_test_score"] for r in got) > 0.85
 
 
+def test_registered_forest_search_runs_the_default_grid(spark, monkeypatch):
+    from types import SimpleNamespace
+
+    from pyspark.ml.tuning import CrossValidator
+
+    from framewise.plans import registry
+    folds = []
+
+    def fit(self, data):
+        folds.append(self.getNumFolds())
+        return SimpleNamespace(avgMetrics=[0.5] * len(self.getEstimatorParamMaps()), stdMetrics=[0.0] * len(self.getEstimatorParamMaps()))
+
+    monkeypatch.setattr(CrossValidator, "fit", fit)
+    got = registry.queries()["forest_grid_search"](spark, "/root/testdata/sf0.001").collect()
+    assert sorted((r["param_max_depth"], r["param_min_samples_leaf"]) for r in got) == [(d, m) for d in (1, 2, 5, 10, 20, 30) for m in (2, 3, 5)]
+    assert folds == [5]
+
+
 def test_one_step_ar2_matches_brute_force(spark):
     y = _series(70, 0.4, 9, season=2.0)
     s = 12
