@@ -1,13 +1,15 @@
 """Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
 
 Words are runs of letters and digits, A-Z lower-cased. Each test item is looked up by its
-rarest word 3-grams in the corpus. How many seeds an item needs follows from the least
-score that is reported: an alignment of that score leaves so many of the item's 3-grams
+rarest word pairs in the corpus. How many seeds an item needs follows from the least
+score that is reported: an alignment of that score leaves so many of the item's pairs
 intact that at least ``NEED`` (or all that are sure) of the seeds must stand in the passage;
-so no copy is missed for being common, in part or as a whole.
+so no copy is missed for being common, in part or as a whole, or for how its edits are
+spread: longer grams would not do, as a word put in after every second one leaves no three
+words together. Where the least score is met by one matched word, single words are the seeds.
 
-1. A filter of fixed size (``SLOTS`` bytes) of the items' 3-grams goes to all tasks; the
-   documents' 3-grams that pass are counted by document, and the counts are summed.
+1. A filter of fixed size (``SLOTS`` bytes) of the items' grams goes to all tasks; the
+   documents' grams that pass are counted by document, and the counts are summed.
 2. A filter of the seeds alone, which holds the items' length classes, cuts the passages
    out of the documents: the words around seeds, as far as the longest item can reach.
 3. Passages and items are joined on seeds; each pair is aligned once, as words.
@@ -15,6 +17,7 @@ so no copy is missed for being common, in part or as a whole.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,7 +29,8 @@ from framewise.llm.arrow_text import Powers, chunks, gram_hashes, is_alnum_byte,
 from framewise.llm.text import require, row_key
 from framewise.session import cut_lineage
 
-GRAM = 3
+GRAM = 2
+LEAST_WORDS = 3
 LEAST_SCORE = 0.5
 NEED = 3
 SLOTS = 1 << 22
@@ -45,22 +49,43 @@ def slot(grams: np.ndarray) -> np.ndarray:
     return (grams & np.uint64(SLOTS - 1)).astype(np.int64)
 
 
-def _items(benchmark: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(``item_id``, ``n_words``, ``words``, ``grams``) of the items of at least ``GRAM`` words."""
+def least_points(n_words: int, least_score: float) -> int:
+    """The least whole score of an item that is reported, or one less where rounding leaves that open."""
+    return math.ceil(n_words * least_score - 1e-9)
+
+
+def gram_sizes(least_score: float) -> list[int]:
+    """The sizes of the grams of items of any length: single words only where one matched word is enough."""
+    return [GRAM] if least_points(LEAST_WORDS, least_score) >= GRAM else [1, GRAM]
+
+
+def _items(benchmark: DataFrame, id_col: str, text_col: str, least_score: float) -> DataFrame:
+    """(``item_id``, ``n_words``, ``sure``, ``words``, ``grams``) of the items of at least ``LEAST_WORDS`` words.
+
+    ``sure``: so many of the item's different grams stand in any copy that is reported. With
+    scores 1, -1, -1 such a copy has p more matched words than edits (words replaced, put in or left out), p the least
+    points. Its matched words lie in at most edits + 1 runs, so at least p - 1 pairs stay intact, wherever the edits are."""
     kind = benchmark.schema[id_col].dataType
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for lo, hi, words, first in hashed_words(b.column("text")):
                 own = [words[first[i]:first[i + 1]] for i in range(hi - lo)]
-                grams = [np.unique(gram_hashes(w, np.array([0, len(w)]), GRAM)[0]).view(np.int64) for w in own]
+                sure, grams = [], []
+                for w in own:
+                    points = least_points(len(w), least_score)
+                    n = GRAM if points >= GRAM else 1
+                    gram = np.unique(gram_hashes(w, np.array([0, len(w)]), n)[0]).view(np.int64)
+                    repeated = len(w) - n + 1 - len(gram)  # places whose gram stands elsewhere in the item too
+                    sure.append(max(points - n + 1 - repeated, 1))
+                    grams.append(gram)
                 yield pa.RecordBatch.from_arrays(
-                    [b.column("item_id").slice(lo, hi - lo), pa.array([len(w) for w in own], pa.int32()),
+                    [b.column("item_id").slice(lo, hi - lo), pa.array([len(w) for w in own], pa.int32()), pa.array(sure, pa.int32()),
                      pa.array([w.tobytes() for w in own], pa.binary()), pa.array(grams, pa.list_(pa.int64()))],
-                    names=["item_id", "n_words", "words", "grams"])
+                    names=["item_id", "n_words", "sure", "words", "grams"])
 
     rows = benchmark.select(F.col(id_col).alias("item_id"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(read, f"item_id {kind.simpleString()}, n_words int, words binary, grams array<long>").where(F.size("grams") > 0)
+    return rows.mapInArrow(read, f"item_id {kind.simpleString()}, n_words int, sure int, words binary, grams array<long>").where(F.col("n_words") >= LEAST_WORDS)
 
 
 def filter_of(grams: DataFrame) -> np.ndarray:
@@ -71,40 +96,35 @@ def filter_of(grams: DataFrame) -> np.ndarray:
     return out
 
 
-def document_counts(docs: DataFrame, text_col: str, marks: np.ndarray) -> DataFrame:
+def document_counts(docs: DataFrame, text_col: str, marks: np.ndarray, sizes: list[int]) -> DataFrame:
     """(``gram``, ``n_docs``) over all documents of the grams that pass the filter."""
     shared = docs.sparkSession.sparkContext.broadcast(marks)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for _, _, words, first in hashed_words(b.column("text")):
-                grams, doc = gram_hashes(words, first, GRAM)
-                hit = shared.value[slot(grams)] > 0
-                seen = np.unique(np.rec.fromarrays([grams[hit], doc[hit]], names="g,d"))["g"]
-                values, n = np.unique(seen, return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(values.view(np.int64)), pa.array(n.astype(np.int64))], names=["gram", "n"])
+                for size in sizes:
+                    grams, doc = gram_hashes(words, first, size)
+                    hit = shared.value[slot(grams)] > 0
+                    seen = np.unique(np.rec.fromarrays([grams[hit], doc[hit]], names="g,d"))["g"]
+                    values, n = np.unique(seen, return_counts=True)
+                    yield pa.RecordBatch.from_arrays([pa.array(values.view(np.int64)), pa.array(n.astype(np.int64))], names=["gram", "n"])
 
     return (docs.select(F.col(text_col).alias("text")).mapInArrow(count, "gram long, n long")
             .groupBy("gram").agg(F.sum("n").alias("n_docs")))
 
 
-def seeds_of(items: DataFrame, counts: DataFrame, least_score: float) -> DataFrame:
-    """(``item_id``, ``gram``, ``n_words``, ``need``): the rarest grams of each item, ties by hash.
-
-    With scores 1, -1, -1 an alignment of ``least_score`` of a perfect one has at least (1 + s) / 2 of the
-    words matched and at most (1 - s) / 2 edits, each of which ends at most ``GRAM - 1`` grams early."""
-    grams = items.select("item_id", "n_words", F.size("grams").alias("m"), F.explode("grams").alias("gram"))
+def seeds_of(items: DataFrame, counts: DataFrame) -> DataFrame:
+    """(``item_id``, ``gram``, ``n_words``, ``need``): the rarest grams of each item, ties by hash; all but ``sure`` -
+    ``need`` of them are seeds, so of the ``sure`` grams in a copy that is reported ``need`` are seeds at least."""
+    grams = items.select("item_id", "n_words", "sure", F.size("grams").alias("m"), F.explode("grams").alias("gram"))
     ranked = grams.join(counts, "gram", "left").withColumn(
         "rank", F.row_number().over(Window.partitionBy("item_id").orderBy(F.coalesce("n_docs", F.lit(0)), "gram")))
-    edits = F.floor(F.col("n_words") * (1 - least_score) / 2)
-    intact = F.col("n_words") - edits - (GRAM - 1) * (edits + 1)
-    repeated = F.col("n_words") - (GRAM - 1) - F.col("m")  # places whose gram stands elsewhere in the item too
-    sure = F.greatest(intact - repeated, F.lit(1))
-    need = F.least(sure, F.lit(NEED))
-    return ranked.withColumn("need", need).where(F.col("rank") <= F.col("m") - sure + need).select("item_id", "gram", "n_words", "need")
+    need = F.least("sure", F.lit(NEED))
+    return ranked.withColumn("need", need).where(F.col("rank") <= F.col("m") - F.col("sure") + need).select("item_id", "gram", "n_words", "need")
 
 
-def _passages(docs: DataFrame, id_col: str, text_col: str, marks: np.ndarray) -> DataFrame:
+def _passages(docs: DataFrame, id_col: str, text_col: str, marks: np.ndarray, sizes: list[int]) -> DataFrame:
     """(``doc_id``, ``rk``, ``start``, ``words``, ``grams``): stretches of words around seeds."""
     shared = docs.sparkSession.sparkContext.broadcast(marks)
     kind = docs.schema[id_col].dataType.simpleString()
@@ -112,16 +132,19 @@ def _passages(docs: DataFrame, id_col: str, text_col: str, marks: np.ndarray) ->
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for lo, _, words, first in hashed_words(b.column("text")):
-                grams, doc = gram_hashes(words, first, GRAM)
-                mark = shared.value[slot(grams)]
-                at = np.flatnonzero(mark)
+                hits = []
+                for size in sizes:
+                    grams, doc = gram_hashes(words, first, size)
+                    mark = shared.value[slot(grams)]
+                    at = np.flatnonzero(mark)
+                    # the n-th gram of a document starts at its n-th word
+                    grams_before = np.concatenate([[0], np.cumsum(np.maximum(np.diff(first) - size + 1, 0))])
+                    hits.append((at - grams_before[doc[at]] + first[doc[at]], doc[at], grams[at], mark[at].astype(np.int64)))
+                at, own, gram, mark = (np.concatenate(x) for x in zip(*hits, strict=True))
                 row, start, text, held = [], [], [], []
                 if len(at):
-                    own, gram = doc[at], grams[at]
-                    # the n-th gram of a document starts at its n-th word
-                    grams_before = np.concatenate([[0], np.cumsum(np.maximum(np.diff(first) - GRAM + 1, 0))])
-                    place = at - grams_before[own] + first[own]
-                    reach = 2 << mark[at].astype(np.int64)
+                    order = np.argsort(at, kind="stable")
+                    place, own, gram, reach = at[order], own[order], gram[order], 2 << mark[order]
                     left, right = np.maximum(place - reach, first[own]), np.minimum(place + reach, first[own + 1])
                     open_end = np.maximum.accumulate(right)  # documents rise, and so do their ends
                     new = np.concatenate([[True], (own[1:] != own[:-1]) | (left[1:] > open_end[:-1])])
@@ -175,20 +198,23 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, least_score: float = LEAST
     """(``doc_id``, ``rk``, ``item_id``, ``score``, ``first_word``, ``end_word``): documents that hold a copy of a test item.
 
     ``score`` is that of the best local alignment over the item's number of words (1: word for word), at
-    least ``least_score``; the words are counted from 0, the end excluded. ``rk`` is the row key of id and
+    least ``least_score`` (above 0); the words are counted from 0, the end excluded. ``rk`` is the row key of id and
     text: rows that agree in both give one answer. NULL and empty texts hold nothing. Items of fewer than
-    ``GRAM`` words are too short to be told from ordinary text and are not looked for; repeated items are
+    ``LEAST_WORDS`` words are too short to be told from ordinary text and are not looked for; repeated items are
     reported under each of their ids. NULL ids stay NULL. Other columns are ignored; empty tables give an
     empty result."""
     require(docs, id_col, text_col)
     require(benchmark, item_col, item_text_col)
-    items = cut_lineage(_items(benchmark, item_col, item_text_col).dropDuplicates(["item_id", "words"])
+    if not least_score > 0:
+        raise ValueError("least_score must be above 0: a score of 0 needs no common word")
+    sizes = gram_sizes(least_score)
+    items = cut_lineage(_items(benchmark, item_col, item_text_col, least_score).dropDuplicates(["item_id", "words"])
                         .withColumn("item", F.xxhash64("item_id", "words")), "leak-items")
     every = items.select(F.explode("grams").alias("gram"), F.lit(1).alias("mark"))
-    counts = document_counts(docs, text_col, filter_of(every))
-    seeds = cut_lineage(seeds_of(items.withColumn("item_id", F.col("item")), counts, least_score), "leak-seeds")
+    counts = document_counts(docs, text_col, filter_of(every), sizes)
+    seeds = cut_lineage(seeds_of(items.withColumn("item_id", F.col("item")), counts), "leak-seeds")
     longest = F.ceil(F.log2(F.col("n_words").cast("double"))) + 1
-    passages = cut_lineage(_passages(docs, id_col, text_col, filter_of(seeds.select("gram", longest.alias("mark"))))
+    passages = cut_lineage(_passages(docs, id_col, text_col, filter_of(seeds.select("gram", longest.alias("mark"))), sizes)
                            .withColumn("pid", F.xxhash64("rk", "start")), "leak-passages")
     pairs = (passages.select("pid", F.explode("grams").alias("gram")).distinct()
              .join(seeds.select("gram", F.col("item_id").alias("item"), "need"), "gram")

@@ -285,6 +285,37 @@ def test_leaks(spark):
     assert sorted(r["doc_id"] for r in decontamination.drop_leaks(df, bench).collect()) == [0, 3, 4, 5]
 
 
+@pytest.mark.parametrize("least", [0.5, 0.55, 0.3])
+def test_leaks_against_full_alignment(spark, least):
+    rng = random.Random(9)
+    noise = lambda n: [f"n{rng.randint(0, 400)}" for _ in range(n)]
+    own = {n: [f"i{n}w{k}" for k in range(n)] for n in (3, 5, 8, 15, 20, 40)}
+    own[100] = ["a", "b"] * 6  # repeated pairs
+    texts = []
+    for item in own.values():
+        n = len(item)
+        for extra in range(1, n):  # words put in at even distances
+            places = {round((k + 1) * n / (extra + 1)) for k in range(extra)}
+            texts.append([x for i, w in enumerate(item) for x in ([f"new{i}"] if i in places else []) + [w]])
+        for _ in range(12):  # words replaced, put in and left out
+            share = rng.uniform(0.1, 0.45)
+            texts.append([x for w in item for x in ([w] if rng.random() > share else rng.choice([["x"], [w, "y"], []]))])
+    texts = [noise(rng.randint(0, 12)) + t + noise(rng.randint(0, 12)) for t in texts]
+    texts += [noise(5) + own[40][a::2] + noise(3) for a in (0, 1)] + [noise(300)]
+    df = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+    bench = spark.createDataFrame([(i, " ".join(t)) for i, t in own.items()], "item_id long, text string")
+    ids = {}
+    code = lambda ws: np.array([ids.setdefault(w, len(ids)) for w in ws])
+    want = {(d, i): p / len(t) for d, x in enumerate(texts) for i, t in own.items() if (p := decontamination.align(code(t), code(x))[0]) / len(t) >= least}
+    assert len(want) > 80
+    assert {(r["doc_id"], r["item_id"]): r["score"] for r in decontamination.find_leaks(df, bench, least).collect()} == want
+
+
+def test_leaks_need_a_score(spark):
+    with pytest.raises(ValueError, match="above 0"):
+        decontamination.find_leaks(empty(spark), empty(spark).select(F.col("doc_id").alias("item_id"), "text"), 0)
+
+
 def test_leaks_awkward(spark):
     df, rows = awkward(spark)
     bench = spark.createDataFrame([(None, rows[5][1])], "item_id long, text string")
