@@ -8,7 +8,9 @@ stops as soon as (projected distance / k-th best distance)**2 passes the chi-squ
 quantile ``SURE``: any vector nearer than the k-th best would have come up by then with
 that probability. There is no cap on candidates.
 
-On Spark: equal vectors are indexed once, with the smallest ids they stand for. A kd-tree
+On Spark: equal vectors are indexed once, with the smallest ids they stand for, and asked
+once; but a query whose id stands on several rows is asked by itself, and what has only its
+own id is left out before anything is cut to the nearest. A kd-tree
 over the projections, split at medians of a bounded sample, cuts the space into cells;
 cells hold shards of about ``SHARD_ROWS`` vectors, each a kd-tree of its own. Queries search
 the cell they fall in first; the distance they find there bounds the radius at which the
@@ -22,7 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from framewise.llm.text import require
@@ -102,14 +104,16 @@ class Shard:
         self.lows = np.minimum.reduceat(self.projected, self.starts, axis=0)
         self.highs = np.maximum.reduceat(self.projected, self.starts, axis=0)
 
-    def search(self, q: np.ndarray, p: np.ndarray, k: int, stop: float, bound: float) -> tuple[np.ndarray, np.ndarray]:
-        """(rows, distances) of the k nearest found; ``bound``: a k-th best distance known from elsewhere."""
+    def search(self, q: np.ndarray, p: np.ndarray, k: int, stop: float, bound: float, barred: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(rows, distances) of the k nearest found, without the ``barred`` rows; ``bound``: a k-th best distance known from elsewhere."""
         reach = box_distance(self.lows, self.highs, p)
         leaves = np.argsort(reach, kind="stable")
         rows, dist = np.zeros(0, np.int64), np.zeros(0)
         waiting, near = np.zeros(0, np.int64), np.zeros(0)
         for i, leaf in enumerate(leaves):
             span = np.arange(self.starts[leaf], self.ends[leaf])
+            if len(barred):
+                span = span[~np.isin(self.order[span], barred)]
             waiting = np.concatenate([waiting, span])
             near = np.concatenate([near, np.sqrt(((self.projected[span] - p) ** 2).sum(axis=1))])
             # what is no farther than every leaf still closed comes next, in order of projected distance
@@ -158,12 +162,17 @@ def nearest(queries: DataFrame, rows: DataFrame, k: int = 10, id_col: str = "vec
     require(rows, id_col, vector_col)
     require(queries, id_col, vector_col)
     spark = rows.sparkSession
-    asked = usable(queries, id_col, vector_col)
+    candidates = usable(rows, id_col, vector_col)
+    # one place more than k is enough for a query's own row; where its id has several, they are left out by ``own``
+    several = candidates.groupBy("id").agg(F.count("*").alias("n")).where("n > 1").select("id", F.col("id").alias("own"))
+    asked = usable(queries, id_col, vector_col).join(several, "id", "left")
     schema = "query_id long, rank int, vec_id long, score double"
-    # equal vectors once: of their ids only the k + 1 smallest can be in an answer
+    # equal vectors once: of their ids only the k + 1 smallest, and of each id k rows, can be in an answer
     by_id = Window.partitionBy("v").orderBy("id")
-    reps = (usable(rows, id_col, vector_col).withColumn("n", F.row_number().over(by_id)).where(F.col("n") <= k + 1)
-            .groupBy("v").agg(F.sort_array(F.collect_list("id")).alias("ids")))
+    reps = (candidates.groupBy("v", "id").agg(F.least(F.count("*"), F.lit(k)).cast("int").alias("times"))
+            .withColumn("n", F.row_number().over(by_id)).where(F.col("n") <= k + 1)
+            .groupBy("v").agg(F.sort_array(F.collect_list(F.struct("id", "times"))).alias("ids"))
+            .withColumn("ids", F.flatten(F.transform("ids", lambda x: F.array_repeat(x["id"], x["times"])))))
     reps = cut_lineage(reps, "ann-vectors")
     shape = reps.agg(F.count("*").alias("n"), F.min(F.size("v")).alias("lo"), F.max(F.size("v")).alias("hi")).first()
     if not shape["n"]:
@@ -194,23 +203,26 @@ def nearest(queries: DataFrame, rows: DataFrame, k: int = 10, id_col: str = "vec
     shard = F.concat_ws("-", "cell", F.pmod(F.xxhash64("v"), F.lit(salts)))
     none = F.lit(None)
     index = (reps.mapInArrow(place, "v array<double>, ids array<long>, cell int")
-             .select(shard.alias("shard"), "v", "ids", none.cast("double").alias("bound")))
-    wants = cut_lineage(asked.select("v").distinct().mapInArrow(place, "v array<double>, cell int"), "ann-queries")
+             .select(shard.alias("shard"), "v", none.cast("long").alias("own"), "ids", none.cast("double").alias("bound")))
+    wants = cut_lineage(asked.select("v", "own").distinct().mapInArrow(place, "v array<double>, own long, cell int"), "ann-queries")
     parts = max(1, shape["n"] // SHARD_ROWS)
-    found_schema = "v array<double>, ids array<long>, d double"
+    found_schema = "v array<double>, own long, ids array<long>, d double"
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Rows come sorted by shard, each shard's vectors before its queries."""
-        now, tree, held, ids = None, None, [], []
+        now, tree, held, ids, alone = None, None, [], [], {}
         for b in batches:
             names, vectors = b.column("shard").to_pylist(), _numbers(b.column("v"))
             indexed = b.column("ids").is_valid().to_numpy(zero_copy_only=False)
             bounds, id_lists = b.column("bound").to_numpy(zero_copy_only=False), b.column("ids").to_pylist()
-            out = [], [], []
+            owns = b.column("own").to_pylist()
+            out = [], [], [], []
             for i, name in enumerate(names):
                 if name != now:
-                    now, tree, held, ids = name, None, [], []
+                    now, tree, held, ids, alone = name, None, [], [], {}
                 if indexed[i]:
+                    if id_lists[i][0] == id_lists[i][-1]:  # sorted: a single id
+                        alone.setdefault(id_lists[i][0], []).append(len(held))
                     held.append(vectors[i])
                     ids.append(id_lists[i])
                     continue
@@ -220,16 +232,19 @@ def nearest(queries: DataFrame, rows: DataFrame, k: int = 10, id_col: str = "vec
                     stacked = np.array(held)
                     tree = Shard(stacked, stacked @ basis.value)
                 bound = bounds[i] if bounds[i] == bounds[i] else np.inf
-                for row, d in zip(*tree.search(vectors[i], vectors[i] @ basis.value, k + 1, stop, bound), strict=True):
+                barred = np.array(alone.get(owns[i], []), np.int64)
+                for row, d in zip(*tree.search(vectors[i], vectors[i] @ basis.value, k + 1, stop, bound, barred), strict=True):
                     out[0].append(vectors[i])
-                    out[1].append(ids[row])
-                    out[2].append(float(d))
+                    out[1].append(owns[i])
+                    out[2].append(ids[row] if owns[i] is None else [x for x in ids[row] if x != owns[i]])
+                    out[3].append(float(d))
             if out[0]:
-                yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.list_(pa.float64())), pa.array(out[1], pa.list_(pa.int64())), pa.array(out[2], pa.float64())],
-                                                 names=["v", "ids", "d"])
+                yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.list_(pa.float64())), pa.array(out[1], pa.int64()),
+                                                  pa.array(out[2], pa.list_(pa.int64())), pa.array(out[3], pa.float64())],
+                                                 names=["v", "own", "ids", "d"])
 
     def run(routed: DataFrame) -> DataFrame:
-        return (index.unionByName(routed.select("shard", "v", none.cast("array<long>").alias("ids"), "bound"))
+        return (index.unionByName(routed.select("shard", "v", "own", none.cast("array<long>").alias("ids"), "bound"))
                 .repartition(parts, "shard").sortWithinPartitions("shard", F.col("ids").isNull())
                 .mapInArrow(search, found_schema))
 
@@ -238,33 +253,40 @@ def nearest(queries: DataFrame, rows: DataFrame, k: int = 10, id_col: str = "vec
         return routed.withColumn("salt", salt).withColumn("shard", F.concat_ws("-", "cell", "salt"))
 
     first = cut_lineage(run(all_shards(wants.withColumn("bound", none.cast("double")))), "ann-own-cell")
-    near = Window.partitionBy("v").orderBy("d")
+    near = Window.partitionBy("v", "own").orderBy("d")
     kth = (first.withColumn("n", F.row_number().over(near)).where(F.col("n") <= k + 1)
-           .groupBy("v").agg(F.when(F.count("*") > k, F.max("d")).alias("bound")))
+           .groupBy("v", "own").agg(F.when(F.count("*") > k, F.max("d")).alias("bound")))
+
+    def same(df: DataFrame, other: DataFrame) -> Column:
+        return (df["v"] == other["v"]) & df["own"].eqNullSafe(other["own"])
 
     def reach(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """The other cells that a query's stopping radius meets."""
         lo, hi = cells.value
         for b in batches:
-            vectors, own = _numbers(b.column("v")), b.column("cell").to_numpy()
+            vectors, home, owns = _numbers(b.column("v")), b.column("cell").to_numpy(), b.column("own").to_pylist()
             bounds = b.column("bound").to_numpy(zero_copy_only=False)
-            out = [], [], []
+            out = [], [], [], []
             for i in range(len(vectors)):
                 bound = bounds[i] if bounds[i] == bounds[i] else np.inf
                 met = np.flatnonzero(box_distance(lo, hi, vectors[i] @ basis.value) <= stop * bound)
-                met = met[met != own[i]]
+                met = met[met != home[i]]
                 out[0].extend([vectors[i]] * len(met))
-                out[1].extend([bounds[i] if bound < np.inf else None] * len(met))
-                out[2].extend(met.tolist())
-            yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.list_(pa.float64())), pa.array(out[1], pa.float64()), pa.array(out[2], pa.int32())],
-                                             names=["v", "bound", "cell"])
-
-    further = wants.join(kth, "v", "left").select("v", "cell", "bound").mapInArrow(reach, "v array<double>, bound double, cell int")
+                out[1].extend([owns[i]] * len(met))
+                out[2].extend([bounds[i] if bound < np.inf else None] * len(met))
+                out[3].extend(met.tolist())
+            yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.list_(pa.float64())), pa.array(out[1], pa.int64()),
+                                              pa.array(out[2], pa.float64()), pa.array(out[3], pa.int32())],
+                                             names=["v", "own", "bound", "cell"])
+
+    further = (wants.join(kth, same(wants, kth), "left").select(wants["v"], wants["own"], "cell", "bound")
+               .mapInArrow(reach, "v array<double>, own long, bound double, cell int"))
     found = first.unionByName(run(all_shards(further)))
-    best = (found.withColumn("n", F.row_number().over(Window.partitionBy("v").orderBy("d", F.element_at("ids", 1))))
-            .where(F.col("n") <= k + 1).select("v", "d", F.explode("ids").alias("vec_id")))
-    short = (best.withColumn("n", F.row_number().over(Window.partitionBy("v").orderBy("d", "vec_id"))).where(F.col("n") <= k + 1)
-             .groupBy("v").agg(F.sort_array(F.collect_list(F.struct("d", "vec_id"))).alias("near")))
+    best = (found.withColumn("n", F.row_number().over(Window.partitionBy("v", "own").orderBy("d", F.element_at("ids", 1))))
+            .where(F.col("n") <= k + 1).select("v", "own", "d", F.explode("ids").alias("vec_id")))
+    short = (best.withColumn("n", F.row_number().over(Window.partitionBy("v", "own").orderBy("d", "vec_id"))).where(F.col("n") <= k + 1)
+             .groupBy("v", "own").agg(F.sort_array(F.collect_list(F.struct("d", "vec_id"))).alias("near")))
+    short = cut_lineage(short, "ann-near")
     mine = F.slice(F.filter("near", lambda x: x["vec_id"] != F.col("id")), 1, k)
-    return (asked.join(cut_lineage(short, "ann-near"), "v").select(F.col("id").alias("query_id"), F.posexplode(mine))
+    return (asked.join(short, same(asked, short)).select(F.col("id").alias("query_id"), F.posexplode(mine))
             .select("query_id", (F.col("pos") + 1).alias("rank"), F.col("col.vec_id"), F.col("col.d").alias("score")))

@@ -371,6 +371,27 @@ def test_neighbours_recall_and_ties(spark, monkeypatch):
     assert found >= 0.9 * len(got)
 
 
+def test_neighbours_of_repeated_ids(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "SHARD_ROWS", 100)
+    rng = np.random.default_rng(3)
+    v = rng.standard_normal((300, 4))
+    v[1:30] = v[0] + rng.standard_normal((29, 4)) * 1e-3
+    v[40:55], v[60:62], v[70:90] = v[40], v[60], v[70]
+    ids = np.arange(300)
+    ids[1:30], ids[40:55], ids[61], ids[70:82] = 0, 40, 60, 70  # near copies, equal rows, one repeat, among other ids
+    df = spark.createDataFrame([(int(i), x.tolist()) for i, x in zip(ids, v, strict=True)], "vec_id long, embedding array<double>")
+    places = [(int(ids[q]), v[q]) for q in (0, 7, 40, 60, 70, 85, 120, 200)] + [(999, v[0])]
+    queries = spark.createDataFrame([(i, x.tolist()) for i, x in places], df.schema)
+    got = neighbours.nearest(queries, df, sure=0.9999999).toPandas()
+    want = []
+    for own, x in places:
+        d = np.sqrt(((v - x) ** 2).sum(axis=1))
+        order = [j for j in np.lexsort((ids, d)) if ids[j] != own][:10]
+        assert len(order) == 10
+        want += [(own, r + 1, int(ids[j]), round(float(d[j]), 9)) for r, j in enumerate(order)]
+    assert sorted((r.query_id, r["rank"], r.vec_id, round(r.score, 9)) for _, r in got.iterrows()) == sorted(want)
+
+
 def test_neighbours_few_and_empty(spark):
     df = spark.createDataFrame([(1, [1.0, 0.0]), (1, [2.0, 0.0]), (2, [3.0, 0.0])], "vec_id long, embedding array<double>")
     assert [tuple(r) for r in neighbours.nearest(df.where("vec_id = 2"), df).collect()] == [(2, 1, 1, 1.0), (2, 2, 1, 2.0)]
