@@ -81,15 +81,18 @@ def fill_buckets(g: DataFrame, name: str, step: str, by: Sequence[str] = (), fil
     return out.fillna(fills) if fills else out
 
 
-def resample_by_keys(df: DataFrame, ts: str, unit: str, key: str, keys: Sequence, value: Column,
+def resample_by_keys(df: DataFrame, ts: str, unit: str, key: str, keys: Sequence | DataFrame, value: Column,
                      name: str = "bucket", value_name: str = "n", fill=0) -> DataFrame:
     """``groupby([key, Grouper(freq)])`` on a *category* key: every bucket x every category
-    in ``keys`` (the small, bounded category list), empty cells filled with ``fill``. The
-    product comes from exploding the category array on the distributed bucket spine, not
-    from a cross join."""
+    in ``keys``, empty cells filled with ``fill``. A given list is exploded on the distributed
+    bucket spine; a table of categories (one column, each once, of any number) is crossed
+    with it, as every pair is in the result."""
     counts = cut_lineage(df.groupBy(key, bucket(ts, unit).alias(name)).agg(value.alias(value_name)), "resampled")
-    grid = bucket_spine(counts, name, unit, name).select(
-        name, F.explode(F.array(*[F.lit(k) for k in keys])).alias(key))
+    spine = bucket_spine(counts, name, unit, name).select(name)
+    if isinstance(keys, DataFrame):
+        grid = spine.crossJoin(keys.toDF(key))
+    else:
+        grid = spine.select(name, F.explode(F.array(*[F.lit(k) for k in keys])).alias(key))
     out = grid.join(counts, [key, name], "left")
     return out.withColumn(value_name, F.coalesce(F.col(value_name), F.lit(fill)))
 

@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from framewise.functions.numeric import stable_round
 from framewise.operators import resample as T
-from framewise.operators.columns import category_values
 from framewise.plans.registry import register
 from framewise.sources.tables import table
 
@@ -30,7 +29,7 @@ SELECT h.hour, k.event_type, coalesce(c.n, 0) AS n FROM h CROSS JOIN k
 LEFT JOIN c ON c.hour = h.hour AND c.event_type = k.event_type""")
 def q_resample_hour_by_key(spark, d):
     ev = table(spark, d, "events", ["ts", "event_type", "value"])
-    cats = category_values(ev, "event_type")  # the category list: every category, used or not
+    cats = ev.select("event_type").where("event_type is not null").distinct()  # every category, used or not
     return T.resample_by_keys(ev.filter(F.col("value") > 300), "ts", "hour", "event_type", cats,
                               F.count(F.lit(1)), name="hour", value_name="n")
 

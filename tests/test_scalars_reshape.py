@@ -99,3 +99,13 @@ def test_kde_matches_numpy(spark):
     grid = np.linspace(xs.min(), xs.max(), 5)
     exp = [np.exp(-0.5 * ((g - xs) / h) ** 2).sum() / (len(xs) * h * np.sqrt(2 * np.pi)) for g in grid]
     np.testing.assert_allclose(got.density.values, exp, rtol=1e-12)
+
+
+def test_hours_by_key_take_any_number_of_categories(spark, tmp_path):
+    from framewise.plans import registry
+    rows = spark.range(10_001).selectExpr("timestamp'2024-01-01 00:30:00' + make_interval(0, 0, 0, 0, cast(id % 2 * 2 as int)) AS ts",
+                                          "concat('k', id) AS event_type", "IF(id < 4, 301.0D, 1.0D) AS value")
+    rows.write.parquet(str(tmp_path / "events.parquet"))
+    got = registry.queries()["resample_hour_by_key"](spark, str(tmp_path)).collect()
+    assert len(got) == 3 * 10_001
+    assert sorted((r["event_type"], r["hour"].hour) for r in got if r["n"]) == [("k0", 0), ("k1", 2), ("k2", 0), ("k3", 2)]
