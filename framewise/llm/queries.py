@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from framewise.llm import chat, decontamination, language, lines, mixing, neighbours, ngram_join, secret_scan, substrings, tokens
+from framewise.llm import chat, decontamination, language, lines, mixing, neighbours, ngram_join, periodic, secret_scan, substrings, tokens
+from framewise.llm.text import WORD
 from framewise.sources.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -124,3 +125,24 @@ def ngram_near_duplicates(spark, sf_dir):
 def drop_repeats(spark, sf_dir):
     done = substrings.drop_repeats(table(spark, sf_dir, "documents", ["doc_id", "text"]))
     return done.select("doc_id", "n_words", "n_removed", _sha(F.col("kept_text")).alias("kept_sha256"))
+
+
+def _planted_period(doc_id, text):
+    """The text, with its words from some place on replaced by a repetition where the id's checksum asks for one."""
+    words = F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(WORD), F.lit(0))
+    h = F.crc32(doc_id.cast("string"))
+    g, n = F.floor(h / 10), F.size(words)
+    a = F.when(n > 0, (g % n).cast("int"))
+    p = F.lit(1) + F.floor((n - a) / (g % 8 + 3)).cast("int")
+    again = F.array_repeat(F.slice(words, a + 1, p), F.ceil((n - a) / p).cast("int"))
+    tail = F.slice(F.flatten(again), F.lit(1), n - a)
+    return F.when((h % 10 == 0) & (n > 0), F.array_join(F.concat(F.slice(words, F.lit(1), a), tail), " ")).otherwise(text)
+
+
+@register("op13_periodic_runs")
+def periodic_runs(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents", ["doc_id", "text"])
+    done = periodic.collapse_runs(docs.select("doc_id", _planted_period(F.col("doc_id"), F.col("text")).alias("text")))
+    listed = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return done.select("doc_id", "n_runs", "start", "length", "period", "exponent_milli",
+                       _sha(F.array_join(listed, "")).alias("runs_sha256"), _sha(F.col("collapsed_text")).alias("collapsed_sha256"))
