@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from framewise.llm import chat, decontamination, language, lines, mixing, neighbours, ngram_join, periodic, secret_scan, substrings, tokens
+from framewise.llm import chat, decontamination, hard_negatives, language, lines, mixing, neighbours, ngram_join, periodic, secret_scan, substrings, tokens
 from framewise.llm.text import WORD
 from framewise.sources.tables import table
 
@@ -146,3 +146,10 @@ def periodic_runs(spark, sf_dir):
     listed = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
     return done.select("doc_id", "n_runs", "start", "length", "period", "exponent_milli",
                        _sha(F.array_join(listed, "")).alias("runs_sha256"), _sha(F.col("collapsed_text")).alias("collapsed_sha256"))
+
+
+@register("op12_hard_negatives", sql=hard_negatives.SQL)
+def mine_hard_negatives(spark, sf_dir):
+    rows = table(spark, sf_dir, "embeddings", ["vec_id", "embedding", "label"])
+    noisy = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(rows.withColumn("label", noisy), F.col("id") % 50 == 0)
