@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from framewise.llm import chat, decontamination, hard_negatives, language, lines, mixing, neighbours, ngram_join, periodic, secret_scan, substrings, tokens
+from framewise.llm import chat, decontamination, hard_negatives, language, lines, mixing, neighbours, ngram_join, periodic, secret_scan, substrings, tokens, winnowing
 from framewise.llm.text import WORD
 from framewise.sources.tables import table
 
@@ -153,3 +153,10 @@ def mine_hard_negatives(spark, sf_dir):
     rows = table(spark, sf_dir, "embeddings", ["vec_id", "embedding", "label"])
     noisy = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
     return hard_negatives.mine(rows.withColumn("label", noisy), F.col("id") % 50 == 0)
+
+
+@register("op11_fingerprints", sql=winnowing.SQL)
+def fingerprints(spark, sf_dir):
+    done = winnowing.edited_likeness(table(spark, sf_dir, "documents", ["doc_id", "text"]))
+    return done.select("doc_id", "n_chars", _sha(F.col("edited")).alias("edited_sha256"), winnowing.fingerprint_text(F.col("picked")).alias("fingerprint"),
+                       winnowing.fingerprint_text(F.col("edited_picked")).alias("edited_fingerprint"), "near_edited", "near_next")
