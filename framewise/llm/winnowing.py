@@ -116,16 +116,18 @@ def edited_likeness(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     Only ids and lengths are ordered. A document then sends its beginning, as long as its predecessor asks for, and its hashes; whole texts
     move once, by their key."""
     require(df, id_col, text_col)
-    docs = df.select(_key(id_col, text_col).alias("k"), F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    sizes = docs.select("k", "id", F.char_length("text").cast("long").alias("n")).distinct()
-    placed = cut_lineage(with_positions(sizes, ["id", "k"], name="pos", size_name="of"), "winnow-order").select("k", "n", "pos", "of")
-    before = placed.select(F.col("k").alias("pk"), F.floor(F.col("n") / 4).cast("int").alias("need"), ((F.col("pos") + 1) % F.col("of")).alias("pos"))
-    asked = placed.join(before, "pos").select("k", "pk", "need")
-    sent = (docs.select("k", "text").join(asked, "k")
-            .select("pk", F.substring("text", F.lit(1), F.col("need")).alias("head"), hashes(fingerprint(F.col("text"), gram, window)).alias("next_hashes"))
+    # both uses of ``texts`` take the same columns dealt by the same key, so that Spark moves them once
+    texts = df.select(_key(id_col, text_col).alias("k"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    sizes = df.select(_key(id_col, text_col).alias("k"), F.col(id_col).alias("id"),
+                      F.char_length(F.coalesce(F.col(text_col), F.lit(""))).cast("long").alias("n")).distinct()
+    placed = cut_lineage(with_positions(sizes, ["id", "k"], name="pos", size_name="of"), "winnow-order")
+    before = placed.select(F.col("k").alias("pk"), "id", F.floor(F.col("n") / 4).cast("int").alias("need"), ((F.col("pos") + 1) % F.col("of")).alias("pos"))
+    asked = placed.select("k", "pos").join(before, "pos").select("k", "pk", "id", "need")
+    sent = (texts.join(asked, "k")
+            .select("pk", "id", F.substring("text", F.lit(1), F.col("need")).alias("head"), hashes(fingerprint(F.col("text"), gram, window)).alias("next_hashes"))
             .dropDuplicates(["pk"]))
     n = F.char_length("text")
-    joined = (docs.join(sent, F.col("k") == F.col("pk"))
+    joined = (texts.join(sent, F.col("k") == F.col("pk"))
               .select("id", n.cast("long").alias("n_chars"), "next_hashes", fingerprint(F.col("text"), gram, window).alias("picked"),
                       F.concat(F.substring("text", F.lit(1), n - F.floor(n / 4).cast("int")), F.col("head")).alias("edited")))
     done = joined.select("*", fingerprint(F.col("edited"), gram, window).alias("edited_picked"))
