@@ -6,7 +6,8 @@ itself), which bounds what a Python worker needs whatever the size of a batch.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -17,6 +18,20 @@ _MUL = np.uint64(0x9E3779B97F4A7C15)  # odd, so it has an inverse modulo 2**64
 _INV = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 
 
+def given_back(read: Callable) -> Callable:
+    """``read`` for ``mapInArrow``, after which the worker gives free memory back: Arrow's pool and the C
+    library's heap otherwise stay with a reused worker at the most that any of its tasks needed."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from read(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc alone has it
+            if trim is not None:
+                trim(0)
+    return run
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit numbers whose every output bit depends on every input bit."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from framewise.llm.arrow_text import Powers, chunks, gram_hashes, is_alnum_byte, lower, text_bytes, word_hashes, word_spans
+from framewise.llm.arrow_text import Powers, chunks, given_back, gram_hashes, is_alnum_byte, lower, text_bytes, word_hashes, word_spans
 from framewise.llm.text import require, row_key
 from framewise.session import cut_lineage
 
@@ -85,7 +85,7 @@ def _items(benchmark: DataFrame, id_col: str, text_col: str, least_score: float)
                     names=["item_id", "n_words", "sure", "words", "grams"])
 
     rows = benchmark.select(F.col(id_col).alias("item_id"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(read, f"item_id {kind.simpleString()}, n_words int, sure int, words binary, grams array<long>").where(F.col("n_words") >= LEAST_WORDS)
+    return rows.mapInArrow(given_back(read), f"item_id {kind.simpleString()}, n_words int, sure int, words binary, grams array<long>").where(F.col("n_words") >= LEAST_WORDS)
 
 
 def filter_of(grams: DataFrame) -> np.ndarray:
@@ -110,7 +110,7 @@ def document_counts(docs: DataFrame, text_col: str, marks: np.ndarray, sizes: li
                     values, n = np.unique(seen, return_counts=True)
                     yield pa.RecordBatch.from_arrays([pa.array(values.view(np.int64)), pa.array(n.astype(np.int64))], names=["gram", "n"])
 
-    return (docs.select(F.col(text_col).alias("text")).mapInArrow(count, "gram long, n long")
+    return (docs.select(F.col(text_col).alias("text")).mapInArrow(given_back(count), "gram long, n long")
             .groupBy("gram").agg(F.sum("n").alias("n_docs")))
 
 
@@ -161,7 +161,7 @@ def _passages(docs: DataFrame, id_col: str, text_col: str, marks: np.ndarray, si
                     names=["doc_id", "rk", "start", "words", "grams"])
 
     rows = docs.select(F.col(id_col).alias("doc_id"), row_key(F.col(id_col), F.col(text_col)).alias("rk"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(cut, f"doc_id {kind}, rk long, start int, words binary, grams array<long>")
+    return rows.mapInArrow(given_back(cut), f"doc_id {kind}, rk long, start int, words binary, grams array<long>")
 
 
 def align(item: np.ndarray, passage: np.ndarray) -> tuple[int, int, int]:
@@ -239,7 +239,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, least_score: float = LEAST
             yield out.filter(pa.array(np.array(share) >= least_score, pa.bool_()))
 
     kinds = f"doc_id {docs.schema[id_col].dataType.simpleString()}, rk long, item_id {benchmark.schema[item_col].dataType.simpleString()}"
-    scored = both.mapInArrow(score, f"{kinds}, score double, first_word long, end_word long")
+    scored = both.mapInArrow(given_back(score), f"{kinds}, score double, first_word long, end_word long")
     best = Window.partitionBy("rk", "item_id").orderBy(F.desc("score"), "first_word")
     return scored.withColumn("__n", F.row_number().over(best)).where("__n = 1").drop("__n")
 

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from framewise.llm.arrow_text import mix64
+from framewise.llm.arrow_text import given_back, mix64
 from framewise.llm.text import require
 
 BUCKETS = 1 << 15
@@ -45,11 +45,11 @@ class Letters:
         return self.symbol[codes]
 
 
-def text_chunks(texts: list[str | None], limit: int = CHUNK_CHARS) -> Iterator[tuple[int, list[str]]]:
-    """(index of the first text, lower-cased texts) of runs of whole texts."""
+def text_chunks(texts: pa.Array, limit: int = CHUNK_CHARS) -> Iterator[tuple[int, list[str]]]:
+    """(index of the first text, lower-cased texts) of runs of whole texts; only one run's are Python strings."""
     run, size, first = [], 0, 0
     for i, t in enumerate(texts):
-        t = (t or "").lower()
+        t = (t.as_py() or "").lower()
         if run and size + len(t) > limit:
             yield first, run
             run, size, first = [], 0, i
@@ -102,7 +102,7 @@ def train(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", b
         letters, counts = Letters(), np.zeros((len(languages), buckets), np.int64)
         for batch in batches:
             lang = np.array([row_of[x] for x in batch.column("lang").to_pylist()], np.int64)
-            for first, run in text_chunks(batch.column("text").to_pylist()):
+            for first, run in text_chunks(batch.column("text")):
                 order = lang[first:first + len(run)]
                 for bucket, at in grams(run, letters, buckets):
                     owner = np.repeat(order, np.diff(at))
@@ -112,7 +112,7 @@ def train(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", b
         yield pa.RecordBatch.from_arrays([pa.array(at_lang, pa.int32()), pa.array(at_bucket, pa.int32()), pa.array(counts[at_lang, at_bucket])],
                                          names=["l", "b", "n"])
 
-    summed = rows.mapInArrow(count, "l int, b int, n long").groupBy("l", "b").agg(F.sum("n").alias("n")).toArrow()  # at most MAX_ENTRIES
+    summed = rows.mapInArrow(given_back(count), "l int, b int, n long").groupBy("l", "b").agg(F.sum("n").alias("n")).toArrow()  # at most MAX_ENTRIES
     matrix = np.ones((len(languages), buckets))
     matrix[summed["l"].to_numpy(), summed["b"].to_numpy()] += summed["n"].to_numpy()
     total = sum(priors.values())
@@ -142,7 +142,7 @@ def predict(df: DataFrame, model: Model, text_col: str = "text", keep: list[str]
         for batch in batches:
             best, sure = np.zeros(batch.num_rows, np.int64), np.zeros(batch.num_rows)
             best[:] = len(languages)
-            for first, run in text_chunks(batch.column("__text").to_pylist()) if languages else ():
+            for first, run in text_chunks(batch.column("__text")) if languages else ():
                 sums, seen = np.tile(log_prior, (len(run), 1)), np.zeros(len(run), np.int64)
                 for bucket, at in grams(run, letters, buckets):
                     has = np.flatnonzero(np.diff(at) > 0)
@@ -160,7 +160,7 @@ def predict(df: DataFrame, model: Model, text_col: str = "text", keep: list[str]
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:-1], pa.array(names[best], pa.string()), pa.array(sure)], names=[*keep, "lang_pred", "score"])
 
-    return df.select(*carried, F.col(text_col).alias("__text")).mapInArrow(score, schema)
+    return df.select(*carried, F.col(text_col).alias("__text")).mapInArrow(given_back(score), schema)
 
 
 FOLDS = 5

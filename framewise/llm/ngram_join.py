@@ -33,7 +33,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from framewise.llm.arrow_text import Powers, chunks, gram_hashes, is_word_byte, lower, mix64, text_bytes, word_hashes, word_spans
+from framewise.llm.arrow_text import Powers, chunks, given_back, gram_hashes, is_word_byte, lower, mix64, text_bytes, word_hashes, word_spans
 from framewise.llm.components import components
 from framewise.llm.text import require, row_key
 from framewise.session import cut_lineage
@@ -141,7 +141,7 @@ def _packed(docs: DataFrame, id_col: str, text_col: str, n: int, parts: int) ->
                     yield pa.RecordBatch.from_pylist(rows, schema=schema)
 
     rows = docs.select(F.col(id_col).alias("doc_id"), row_key(F.col(id_col), F.col(text_col)).alias("rk"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(read, PACKED.format(id=kind))
+    return rows.mapInArrow(given_back(read), PACKED.format(id=kind))
 
 
 def _count_part(part: pa.Table) -> pa.Table:
@@ -234,7 +234,7 @@ def _entries(sets: DataFrame, percent: int) -> DataFrame:
             pos = np.concatenate([a + np.arange(s) for a, s in zip(alone, size, strict=True)]) if len(held) else np.zeros(0, np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([*held, np.zeros(0, np.uint64)]).astype(np.int64)), pa.array(np.repeat(rep, size)),
                                               pa.array(np.repeat(n, size).astype(np.int32)), pa.array(pos.astype(np.int32))], names=["token", "rep", "n", "pos"])
-    return sets.select("rep", "n", "tokens").mapInArrow(read, "token long, rep long, n int, pos int")
+    return sets.select("rep", "n", "tokens").mapInArrow(given_back(read), "token long, rep long, n int, pos int")
 
 
 def _may_link(a: str, b: str, percent: int):
@@ -274,7 +274,7 @@ def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], names=["u", "v"])
 
     return (own.unionByName(there).repartition("rep").sortWithinPartitions("rep", F.col("v").isNotNull())
-            .mapInArrow(check, "u long, v long"))
+            .mapInArrow(given_back(check), "u long, v long"))
 
 
 def _spread(tokens: np.ndarray) -> np.ndarray:
@@ -301,7 +301,7 @@ def _pairs_of_many(now: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                  pa.array([pack(x[:p]) for x, p in zip(held, longest, strict=True)], pa.binary())], names=["rep", "spread", "prefix"])
 
     wanted = sets.join(now.select("rep").distinct(), "rep", "left_semi").select("rep", "n", "tokens")
-    spreads = cut_lineage(wanted.mapInArrow(spread, "rep long, spread binary, prefix binary"), "spreads")
+    spreads = cut_lineage(wanted.mapInArrow(given_back(spread), "rep long, spread binary, prefix binary"), "spreads")
     blocks = F.ceil(F.col("size") / MEMBER_BLOCK).cast("int")
     own = F.pmod(F.xxhash64("rep"), blocks).cast("int")
     met = (now.join(spreads, "rep").withColumn("own", own)
