@@ -12,7 +12,7 @@ runs on bounded pieces instead:
    and only home rows are kept.
 
 Running (unbounded-preceding) aggregates add a per-block carry taken from a small table
-of block totals. Time-range frames use time blocks as wide as the frame instead.
+of block totals. Time-range frames are cut into slices of time instead (``rolling_time``).
 """
 
 from __future__ import annotations
@@ -25,6 +25,8 @@ from pyspark.sql import functions as F
 from framewise.operators.ordering import with_positions
 
 DEFAULT_BLOCK_ROWS = 100_000
+#: Slices of a time frame, at most: over so many tasks is a key spread.
+MOST_SLICES = 256
 
 
 def _blocks(p: DataFrame, pos: str, block_rows: int, lookback: int, lookahead: int) -> DataFrame:
@@ -125,24 +127,85 @@ def fill_forward(df: DataFrame, by: Sequence[str], order: Sequence, value: str,
     return p.join(carry, cond, "inner").select(*df.columns, F.coalesce("_fw_last", "_fw_before").alias(name))
 
 
+def _slices(length: int, most: int = MOST_SLICES) -> int:
+    """Into how many equal slices a frame is cut: the largest divisor of its length up to ``most``."""
+    return max(n for n in range(1, most + 1) if length % n == 0)
+
+
 def rolling_time(df: DataFrame, by: Sequence[str], ts: str, value: str | Sequence[str], length_micros: int,
-                 aggs: Sequence[str] = ("mean",), fmt: str = "{value}_{agg}_t") -> DataFrame:
-    """``rolling("30D").agg()``: frame (t - L, t], at least one value. Time blocks of width L;
-    each row is copied once into the next block as halo, so a frame never leaves its
-    (key, block) partition. Several value columns share one pass (one shuffle)."""
+                 aggs: Sequence[str] = ("mean",), fmt: str = "{value}_{agg}_t", slices: int | None = None) -> DataFrame:
+    """``rolling("30D").agg()``: frame (t - L, t], at least one value; rows of one time see each other.
+
+    Time is cut into slices, S to a frame. A frame is then S - 1 whole slices and two parts that together
+    are as long as one slice: its own slice up to t, and slice b - S after t - L. Slices of one residue modulo
+    S are put end to end on a time of their own, where slice b - S stands right before slice b, so that
+    both parts are one range frame of a slice's length over (key, residue): a key is spread over S tasks, no row
+    is copied, and a frame holds 1 / S of the rows. Whole slices are aggregated once, to one row each, and the S - 1
+    before each are merged by window. Means and deviations merge as (count, mean, sum of squares about
+    the mean), so values far from zero lose no digits.
+
+    NULL values are skipped; a NULL key is a key; a row without time gets NULLs. ``count`` is 0 in a frame without values,
+    the others are NULL. Several value columns share the passes."""
     values = [value] if isinstance(value, str) else list(value)
-    fns = {"sum": F.sum, "mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max, "count": F.count}
-    us = F.unix_micros(F.col(ts).cast("timestamp"))
-    blk = F.floor(us / length_micros)
-    x = df.withColumn("_fw_us", us).withColumn("_fw_e", F.explode(F.array(
-        F.struct(blk.alias("blk"), F.lit(True).alias("home")), F.struct((blk + 1).alias("blk"), F.lit(False).alias("home")))))
-    x = x.withColumn("_fw_blk", F.col("_fw_e.blk")).withColumn("_fw_home", F.col("_fw_e.home")).drop("_fw_e")
-    w = Window.partitionBy(*by, "_fw_blk").orderBy("_fw_us").rangeBetween(-(length_micros - 1), 0)
-    # count is 0 over an all-NULL frame; the other aggregates need at least one value
-    cols = {fmt.format(value=v, agg=a): (F.count(F.col(v)).over(w) if a == "count" else
-                                         F.when(F.count(F.col(v)).over(w) >= 1, fns[a](F.col(v)).over(w)))
-            for v in values for a in aggs}
-    return x.withColumns(cols).filter(F.col("_fw_home")).select(*df.columns, *cols)
+    by, S = list(by), slices or _slices(length_micros)
+    if length_micros < 1 or length_micros % S:
+        raise ValueError("slices must divide the length of the frame")
+    unknown = set(aggs) - {"sum", "mean", "std", "min", "max", "count"}
+    if unknown:
+        raise ValueError(f"unknown aggregates {sorted(unknown)}")
+    width = length_micros // S
+    squares = "std" in aggs
+    x = df.withColumn("_fw_us", F.unix_micros(F.col(ts).cast("timestamp")))
+    x = x.withColumn("_fw_in", F.pmod("_fw_us", F.lit(width))).withColumn("_fw_sl", F.expr(f"(_fw_us - _fw_in) div {width}"))
+    x = x.withColumn("_fw_r", F.pmod("_fw_sl", F.lit(S))).withColumn("_fw_u", F.expr(f"((_fw_sl - _fw_r) div {S}) * {width} + _fw_in"))
+
+    def parts(v: str, over: Callable[[Column], Column]) -> Column:
+        """What is known of a set of values and can be merged."""
+        c = F.col(v)
+        fields = [over(F.count(c)).alias("n")]
+        if {"mean", "std"} & set(aggs):
+            fields.append(over(F.avg(c.cast("double"))).alias("mean"))
+        if squares:
+            fields.append((over(F.var_pop(c.cast("double"))) * over(F.count(c))).alias("m2"))
+        return F.struct(*fields, *[over(f(c)).alias(a) for a, f in (("sum", F.sum), ("min", F.min), ("max", F.max)) if a in aggs])
+
+    def merged(a: Column, b: Column) -> Column:
+        """Of two sets, either of them without values."""
+        n = a["n"] + b["n"]
+        fields = [n.alias("n")]
+        if {"mean", "std"} & set(aggs):
+            gap = b["mean"] - a["mean"]
+            fields.append(F.when(a["n"] == 0, b["mean"]).when(b["n"] == 0, a["mean"]).otherwise(a["mean"] + gap * b["n"] / n).alias("mean"))
+            if squares:
+                fields.append(F.when(a["n"] == 0, b["m2"]).when(b["n"] == 0, a["m2"])
+                              .otherwise(a["m2"] + b["m2"] + gap * gap * a["n"] * b["n"] / n).alias("m2"))
+        if "sum" in aggs:
+            fields.append(F.when(a["n"] == 0, b["sum"]).when(b["n"] == 0, a["sum"]).otherwise(a["sum"] + b["sum"]).alias("sum"))
+        return F.struct(*fields, *[f(a[c], b[c]).alias(c) for c, f in (("min", F.least), ("max", F.greatest)) if c in aggs])
+
+    edge = Window.partitionBy(*by, "_fw_r").orderBy("_fw_u").rangeBetween(-(width - 1), 0)
+    x = x.withColumns({f"_fw_p{i}": parts(v, lambda agg: agg.over(edge)) for i, v in enumerate(values)})
+    if S > 1:
+        whole = (df.withColumn("_fw_us", F.unix_micros(F.col(ts).cast("timestamp"))).where(F.col("_fw_us").isNotNull())
+                 .withColumn("_fw_sl", F.expr(f"(_fw_us - pmod(_fw_us, {width})) div {width}"))
+                 .groupBy(*by, "_fw_sl").agg(*[parts(v, lambda agg: agg).alias(f"_fw_w{i}") for i, v in enumerate(values)]))
+        before = Window.partitionBy(*by).orderBy("_fw_sl").rangeBetween(-(S - 1), -1)
+        none = lambda i: F.from_json(F.lit('{"n":0}'), whole.schema[f"_fw_w{i}"].dataType)
+        whole = whole.select(*[F.col(b).alias(f"_fw_k{j}") for j, b in enumerate(by)], F.col("_fw_sl").alias("_fw_ws"), *[
+            F.aggregate(F.collect_list(f"_fw_w{i}").over(before), none(i), merged).alias(f"_fw_w{i}") for i in range(len(values))])
+        on = F.col("_fw_sl") == F.col("_fw_ws")
+        for j, b in enumerate(by):
+            on = on & F.col(b).eqNullSafe(F.col(f"_fw_k{j}"))
+        x = x.join(whole, on, "left")
+        x = x.withColumns({f"_fw_p{i}": merged(F.col(f"_fw_p{i}"), F.col(f"_fw_w{i}")) for i in range(len(values))})
+    timed = F.col("_fw_us").isNotNull()
+
+    def result(i: int, a: str) -> Column:
+        p = F.col(f"_fw_p{i}")
+        if a == "std":
+            return F.when(timed & (p["n"] > 1), F.sqrt(p["m2"] / (p["n"] - 1)))
+        return F.when(timed, p["n"]) if a == "count" else F.when(timed & (p["n"] > 0), p[a])
+    return x.select(*df.columns, *[result(i, a).alias(fmt.format(value=v, agg=a)) for i, v in enumerate(values) for a in aggs])
 
 
 def rank_average(df: DataFrame, by: Sequence[str], value: str, tie_break: Sequence[str], name: str = "rank") -> DataFrame:

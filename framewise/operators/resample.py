@@ -1,20 +1,22 @@
 """Time-bucket resampling on a timestamp column.
 
 A bucket is a pure expression of the row (``date_trunc``), so grouping on it is a normal
-partial+final aggregation. Empty buckets come from a spine: only the bounds go to the
-driver; the spine itself is ``spark.range`` (distributed) mapped to timestamps.
+partial+final aggregation. Empty buckets come from a spine, which the plan makes from the
+bounds; nothing goes to the driver.
 """
 
 from __future__ import annotations
 
-import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from framewise.session import cut_lineage
 
+#: Timestamps of a spine that one task makes at a time.
+SPINE_ROWS = 65_536
 _UNIT_MICROS = {"second": 1_000_000, "minute": 60_000_000, "hour": 3_600_000_000, "day": 86_400_000_000}
 
 
@@ -34,25 +36,28 @@ def month_start(ts: str | Column) -> Column:
     return F.trunc(c, "MM")
 
 
-def spine(spark: SparkSession, start: dt.datetime, stop: dt.datetime, step_micros: int, name: str) -> DataFrame:
-    """Every timestamp start, start+step, ... <= stop, as a distributed range."""
-    start_us = int((start.replace(tzinfo=dt.timezone.utc) if start.tzinfo is None else start).timestamp() * 1_000_000)
-    stop_us = int((stop.replace(tzinfo=dt.timezone.utc) if stop.tzinfo is None else stop).timestamp() * 1_000_000)
-    n = (stop_us - start_us) // step_micros + 1
-    return spark.range(0, max(n, 0)).select(F.timestamp_micros(F.lit(start_us) + F.col("id") * step_micros).alias(name))
+def spine(ends: DataFrame, unit: str, name: str, every: int = 1) -> DataFrame:
+    """Every timestamp ``lo``, ``lo`` + ``every`` units, ... <= ``hi`` of a table of one row (or a few) with these columns.
 
+    It never leaves the plan, so no driver's time zone matters: steps of days and longer follow the calendar of the
+    session's zone (of no zone for TIMESTAMP_NTZ), shorter ones are exact. The steps are dealt to tasks in chunks. NULL
+    bounds give no row."""
+    unit = unit.upper()
+    steps = ends.select(F.col("lo").alias("_fw_lo"), F.expr(f"timestampdiff({unit}, lo, hi) div {every}").alias("_fw_n"))
+    chunks = (steps.where("_fw_n >= 0").select("*", F.explode(F.expr(f"sequence(0L, _fw_n div {SPINE_ROWS})")).alias("_fw_chunk"))
+              .repartition("_fw_chunk"))
+    last = F.least(F.col("_fw_n"), F.col("_fw_chunk") * SPINE_ROWS + (SPINE_ROWS - 1))
+    return (chunks.select("_fw_lo", F.explode(F.sequence(F.col("_fw_chunk") * SPINE_ROWS, last)).alias("_fw_i"))
+            .select(F.expr(f"timestampadd({unit}, cast(_fw_i * {every} as int), _fw_lo)").alias(name)))
 
-def bounds(df: DataFrame, ts: str, unit: str):
-    """(first, last) bucket of a column: one row to the driver."""
-    r = df.agg(F.min(bucket(ts, unit)).alias("lo"), F.max(bucket(ts, unit)).alias("hi")).first()
-    return r["lo"], r["hi"]
 
-
-def bucket_spine(df: DataFrame, ts: str, unit: str, name: str) -> DataFrame:
-    lo, hi = bounds(df, ts, unit)
-    if lo is None:
-        return df.sparkSession.range(0).select(F.lit(None).cast("timestamp").alias(name))
-    return spine(df.sparkSession, lo, hi, _UNIT_MICROS[unit], name)
+def bucket_spine(df: DataFrame, ts: str, unit: str, name: str, step: str | None = None, every: int = 1) -> DataFrame:
+    """Every bucket of ``unit`` (second to year, week and month too) between a column's first and last; with ``step``
+    every ``every`` steps between those two buckets. The bounds are aggregated in the plan."""
+    b = bucket(ts, unit)
+    if isinstance(df.schema[ts].dataType, T.TimestampNTZType):
+        b = b.cast("timestamp_ntz")
+    return spine(df.agg(F.min(b).alias("lo"), F.max(b).alias("hi")), step or unit, name, every)
 
 
 def resample_agg(df: DataFrame, ts: str, unit: str, aggs: Sequence[Column], name: str = "bucket",
@@ -88,7 +93,7 @@ def resample_by_keys(df: DataFrame, ts: str, unit: str, key: str, keys: Sequence
     bucket spine; a table of categories (one column, each once, of any number) is crossed
     with it, as every pair is in the result."""
     counts = cut_lineage(df.groupBy(key, bucket(ts, unit).alias(name)).agg(value.alias(value_name)), "resampled")
-    spine = bucket_spine(counts, name, unit, name).select(name)
+    spine = bucket_spine(counts, name, unit, name)
     if isinstance(keys, DataFrame):
         grid = spine.crossJoin(keys.toDF(key))
     else:

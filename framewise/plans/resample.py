@@ -81,8 +81,7 @@ SELECT s.slot, round((f.revenue) + 5.123e-06, 2) AS revenue FROM s LEFT JOIN f O
 def q_resample_up_6h(spark, d):
     o = table(spark, d, "orders", ["o_orderdate", "o_orderstatus", "o_totalprice"]).filter(F.col("o_orderstatus") == "P")
     daily = o.groupBy(F.col("o_orderdate").alias("slot")).agg(stable_round(F.sum("o_totalprice"), 2).alias("revenue"))
-    lo, hi = T.bounds(daily, "slot", "day")
-    spine = T.spine(spark, lo, hi, 6 * 3_600_000_000, "slot").withColumn("slot", F.col("slot").cast("timestamp_ntz"))
+    spine = T.bucket_spine(daily, "slot", "day", "slot", step="hour", every=6).withColumn("slot", F.col("slot").cast("timestamp_ntz"))
     return spine.join(daily, "slot", "left")
 
 

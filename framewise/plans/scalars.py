@@ -140,6 +140,19 @@ def q_holiday_dates(spark, d):
                         D.nth_weekday_of_month(F.col("year"), 10, "MON", 2).cast("timestamp_ntz").alias("columbus_day"))
 
 
+@register("date_spine_periods", sql="""
+WITH b AS (SELECT min(l_shipdate) AS lo, max(l_shipdate) AS hi FROM lineitem)
+SELECT 'month' AS period, unnest(generate_series(date_trunc('month', lo), date_trunc('month', hi), INTERVAL 1 MONTH)) AS start FROM b
+UNION ALL
+SELECT 'week', unnest(generate_series(date_trunc('week', lo), date_trunc('week', hi), INTERVAL 7 DAY)) FROM b""")
+def q_date_spine_periods(spark, d):
+    from framewise.operators.resample import bucket_spine
+    li = table(spark, d, "lineitem", ["l_shipdate"])
+    month, week = (bucket_spine(li, "l_shipdate", unit, "start").select(F.lit(unit).alias("period"), F.col("start").cast("timestamp_ntz").alias("start"))
+                   for unit in ("month", "week"))
+    return month.unionByName(week)
+
+
 @register("date_spine", sql="""
 SELECT unnest(generate_series(min(l_shipdate), max(l_shipdate), INTERVAL 1 DAY)) AS day FROM lineitem""")
 def q_date_spine(spark, d):
