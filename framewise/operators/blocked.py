@@ -29,7 +29,8 @@ DEFAULT_BLOCK_ROWS = 100_000
 MOST_SLICES = 256
 
 
-def _blocks(p: DataFrame, pos: str, block_rows: int, lookback: int, lookahead: int) -> DataFrame:
+def with_halo(p: DataFrame, pos: str, block_rows: int, lookback: int, lookahead: int) -> DataFrame:
+    """Rows with their block ``_fw_blk`` of positions, and copies (``_fw_home`` false) of those that a neighbouring block looks at."""
     b = F.floor(F.col(pos) / block_rows)
     off = F.col(pos) - b * block_rows
     entries = [F.struct(b.alias("blk"), F.lit(True).alias("home"))]
@@ -50,7 +51,7 @@ def ordered_window(df: DataFrame, by: Sequence[str], order: Sequence, lookback:
     block_rows = max(block_rows, lookback + 1, lookahead + 1)  # a frame reaches into the next block at most
     by = list(by)
     p = with_positions(df, order, by, name="_fw_pos")
-    blk = _blocks(p, "_fw_pos", block_rows, lookback, lookahead)
+    blk = with_halo(p, "_fw_pos", block_rows, lookback, lookahead)
     w = Window.partitionBy(*by, "_fw_blk").orderBy("_fw_pos")
     out = blk.withColumns(build(w)).filter(F.col("_fw_home"))
     drop = ["_fw_blk", "_fw_home"] + ([] if keep_position else ["_fw_pos"])

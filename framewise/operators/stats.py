@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from framewise.operators import blocked as B
+from framewise.operators.ordering import with_positions
 from framewise.session import cut_lineage
 
 
@@ -239,80 +240,175 @@ def adf_critical(nobs: int) -> dict[str, float]:
     return {k: b[0] + b[1] / nobs + b[2] / nobs ** 2 + b[3] / nobs ** 3 for k, b in ADF_CRIT}
 
 
-def _sub_fit(row: pd.Series, k: int):
-    """Least squares on the leading k regressors of a Gram row: (coef, std err, rss, n)."""
-    xtx = np.empty((k, k))
-    for i in range(k):
-        for j in range(i, k):
-            xtx[i, j] = xtx[j, i] = row[f"_xx{i}_{j}"]
-    xty = np.array([row[f"_xy{i}"] for i in range(k)])
-    n, yy = float(row["_n"]), float(row["_yy"])
-    b = np.linalg.solve(xtx, xty)
-    rss = max(yy - 2 * b @ xty + b @ xtx @ b, 0.0)
-    se = np.sqrt(np.clip(np.diag(np.linalg.inv(xtx)) * rss / (n - k), 0, None))
-    return b, se, rss, n
+class AdfSums:
+    """Gram sums of the test's regressions on any leading lags and any first row, from sums over a whole series and its ends.
+
+    With l the centred levels, numbered from 0, and e_t = l_t - l_(t-1): ``c[k]`` = sum e_t e_(t-k) and ``b[k]`` = sum l_(t-1) e_(t-k)
+    over all t > k, ``s1`` and ``s2`` the sums of l_(t-1) and its square over t > 0. A regression on the rows t > p with L <= p lags needs
+    sums over fewer rows; the rest lies within p rows of either end, given by ``head`` (l_0, l_1, ...) and ``tail`` (l_(n-1), l_(n-2), ...)."""
+
+    def __init__(self, n: int, c: np.ndarray, b: np.ndarray, s1: float, s2: float, head: np.ndarray, tail: np.ndarray):
+        self.n, self.c, self.b, self.s1, self.s2, self.head, self.tail = n, c, b, s1, s2, head, tail
+        m = len(c)
+        e = np.zeros(m + 1)
+        have = np.diff(head)[:m]
+        e[1:len(have) + 1] = have
+        back = np.zeros(2 * m)
+        have = (tail[:-1] - tail[1:])[:m]
+        back[:len(have)] = have
+        # at [k, x]: what the first x rows, or the last x, add to c[k] and b[k]
+        self.first, self.last, self.first_b = (np.zeros((m, m + 1)) for _ in range(3))
+        for k in range(m):
+            if k + 1 <= m:
+                self.first[k, k + 1:] = np.cumsum(e[k + 1:] * e[1:m + 1 - k])
+                self.first_b[k, k + 1:] = np.cumsum(self._padded(head, m)[k:m] * e[1:m + 1 - k])
+            self.last[k, 1:] = np.cumsum(back[:m] * back[k:k + m])
+
+    @staticmethod
+    def _padded(x: np.ndarray, size: int) -> np.ndarray:
+        return np.concatenate([x[:size], np.zeros(max(0, size - len(x)))])
+
+    def gram(self, p: int, lags: int) -> tuple[np.ndarray, np.ndarray, float, int]:
+        """(X'X, X'y, y'y, rows) for the regressors 1, l_(t-1), e_(t-1), ..., e_(t-lags) of e_t, rows t = p + 1, ..., n - 1."""
+        rows = self.n - 1 - p
+        i, j = np.triu_indices(lags + 1)
+        k = j - i
+        a = np.zeros((lags + 1, lags + 1))
+        a[i, j] = self.c[k] - self.first[k, p - i] - self.last[k, i]
+        a = np.triu(a) + np.triu(a, 1).T
+        at = np.arange(lags + 1)
+        cross = self.b[at] - self.first_b[at, p]
+        total = self.tail[at] - self.head[p - at]
+        x = np.zeros((lags + 2, lags + 2))
+        x[0, 0], x[0, 1], x[1, 1] = rows, self.s1 - self.head[:p].sum(), self.s2 - (self.head[:p] ** 2).sum()
+        x[0, 2:], x[1, 2:] = total[1:], cross[1:]
+        x[2:, 2:] = a[1:, 1:]
+        x = np.triu(x) + np.triu(x, 1).T
+        return x, np.concatenate([[total[0], cross[0]], a[0, 1:]]), a[0, 0], rows
+
+
+#: A pivot below this share of its regressor's square sum says that the regressor depends on those before it; a residual below this
+#: share of the target's variation is a perfect fit.
+ADF_RANK, ADF_FIT = 1e-11, 1e-13
+
+
+def nested_fits(xtx: np.ndarray, xty: np.ndarray, yy: float) -> list[float]:
+    """Residual sum of squares on the first 1, 2, ... regressors, from one Cholesky factor; ends before the first that
+    depends on those before it."""
+    size = len(xtx)
+    r, z, left, out = np.zeros((size, size)), np.zeros(size), yy, []
+    for i in range(size):
+        pivot = xtx[i, i] - r[:i, i] @ r[:i, i]
+        if not pivot > ADF_RANK * xtx[i, i]:
+            break
+        r[i, i] = math.sqrt(pivot)
+        r[i, i + 1:] = (xtx[i, i + 1:] - r[:i, i] @ r[:i, i + 1:]) / r[i, i]
+        z[i] = (xty[i] - r[:i, i] @ z[:i]) / r[i, i]
+        left -= z[i] ** 2
+        out.append(left)
+    return out
 
 
-def adf_test(df: DataFrame, value: str, order: Sequence, by: Sequence[str] = (), maxlag: int | None = None) -> DataFrame:
+def adf_of(sums: AdfSums, maxlag: int) -> tuple[float, int, int, float] | None:
+    """(statistic, lags, rows, AIC), the lags by AIC on common rows; None where no regression has an answer: a series that is
+    constant, that a constant step or its own lags explain without a residual, or that is too short."""
+    if maxlag < 0:
+        return None
+    xtx, xty, yy, n = sums.gram(maxlag, maxlag)
+    rss = nested_fits(xtx, xty, yy)
+    if len(rss) < 2 or not rss[0] > ADF_FIT * yy:
+        return None
+    best = None
+    for lags, left in enumerate(rss[1:]):
+        if not left > ADF_FIT * rss[0]:
+            return None
+        aic = n * (math.log(2 * math.pi) + math.log(left / n) + 1) + 2 * (lags + 2)
+        if best is None or aic < best[0]:
+            best = (aic, lags)
+    aic, lags = best
+    xtx, xty, yy, n = sums.gram(lags, lags)
+    rss = nested_fits(xtx, xty, yy)
+    if len(rss) < lags + 2 or n <= lags + 2 or not rss[-1] > ADF_FIT * rss[0]:
+        return None
+    inverse = np.linalg.inv(xtx)
+    se = math.sqrt(max(inverse[1, 1], 0.0) * rss[-1] / (n - lags - 2))
+    return (float(inverse[1] @ xty) / se, lags, n, aic) if se > 0 else None
+
+
+def _adf_block(lags: int, by: list[str]):
+    """Sums of one block of a series, whose first rows repeat the block before (``home`` false)."""
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("_pos")
+        level = pdf["_lvl"].to_numpy(np.float64)
+        start = int((~pdf["_fw_home"].to_numpy(bool)).sum())
+        e = np.diff(level, prepend=level[:1])
+        c, b = np.zeros(lags + 1), np.zeros(lags + 1)
+        for k in range(min(lags + 1, len(level) - 1)):
+            lo = max(start, k + 1)
+            c[k] = e[lo:] @ e[lo - k:len(e) - k]
+            b[k] = level[lo - 1:-1] @ e[lo - k:len(e) - k]
+        before = level[max(start, 1) - 1:-1]
+        return pd.DataFrame({**{x: [pdf[x].iloc[0]] for x in by}, "_c": [c], "_b": [b], "_s1": [before.sum()], "_s2": [before @ before]})
+    return run
+
+
+def adf_test(df: DataFrame, value: str, order: Sequence, by: Sequence[str] = (), maxlag: int | None = None,
+             block_rows: int = B.DEFAULT_BLOCK_ROWS) -> DataFrame:
     """Augmented Dickey-Fuller test with a constant, lag chosen by AIC, per series:
     (by..., adf, pvalue, usedlag, nobs, crit_1pct, crit_5pct, crit_10pct, icbest).
 
-    ``dy_t = a + g y_(t-1) + sum_{j<=L} d_j dy_(t-j)``. The default largest lag is
-    ``ceil(12 (n/100)^(1/4))``, at most ``n//2 - 2``. Every candidate L is fitted on the
-    same rows (those with all largest-lag terms) from ONE aggregation of Gram sums -- the
-    model with L lags is the leading (L+2) x (L+2) block; the chosen L is refitted on its
-    own rows by a second aggregation, and ``adf`` is the t statistic of ``g``."""
-    by = list(by)
-    sizes = (df.groupBy(*by) if by else df.groupBy()).agg(F.count(F.col(value)).alias("_n_all"), F.avg(value).alias("_mu"))
-    ml = F.ceil(12.0 * F.pow(F.col("_n_all") / 100.0, 0.25)) if maxlag is None else F.lit(maxlag)
-    sizes = sizes.withColumn("_ml", F.least(ml, F.floor(F.col("_n_all") / 2) - 2).cast("int")).drop("_n_all")
-    K = max(int(sizes.agg(F.max("_ml")).first()[0] or 0), 0)  # one number: plans the lag columns
+    ``dy_t = a + g y_(t-1) + sum_{j<=L} d_j dy_(t-j)``; ``adf`` is the t statistic of ``g``. The default largest lag is
+    ``ceil(12 (n/100)^(1/4))``, at most ``n//2 - 2``; all candidates L are compared on the rows that have all largest-lag terms, the chosen
+    one is fitted on all rows it has. NULL values are left out, a NULL key is a series.
 
-    def build(w):
-        lag = lambda k: F.lag(value, k).over(w)
-        return {"_dy": F.col(value) - lag(1), "_lvl": lag(1), **{f"_d{j}": lag(j) - lag(j + 1) for j in range(1, K + 1)}}
-    x = B.ordered_window(df.filter(F.col(value).isNotNull()), by, order, K + 1, 0, build, keep_position="_pos")
+    All Gram matrices follow from K + 1 lagged products of the series with itself and the values at its ends (``AdfSums``), so rows are read once:
+    blocks of ``block_rows`` rows, with the K + 1 rows before each, give K + 1 sums to add up. A series that is constant, a straight line
+    or otherwise explained without a residual, or too short, gets NULL for ``adf``, ``pvalue``, ``usedlag`` and ``icbest``, and nobs
+    and critical values of a regression without lags."""
+    by = list(by)
+    known = df.filter(F.col(value).isNotNull())
+    sizes = (known.groupBy(*by) if by else known.groupBy()).agg(F.count(F.col(value)).alias("_n"), F.avg(value).alias("_mu"))
+    ml = F.ceil(12.0 * F.pow(F.col("_n") / 100.0, 0.25)) if maxlag is None else F.lit(maxlag)
+    sizes = cut_lineage(sizes.withColumn("_ml", F.least(ml, F.floor(F.col("_n") / 2) - 2).cast("int")).where("_n > 0"), "adf-sizes")
+    K = max(int(sizes.agg(F.max("_ml")).first()[0] or 0), 0)  # one number
+
+    named = sizes.select(*[F.col(k).alias(f"_fw_s{i}") for i, k in enumerate(by)], "_n", "_mu", "_ml")
+    on = F.lit(True)
+    for i, k in enumerate(by):
+        on = on & F.col(k).eqNullSafe(F.col(f"_fw_s{i}"))
+    x = with_positions(known.select(*by, *order, value), order, by, name="_pos")
+    x = x.join(named, on) if by else x.join(F.broadcast(named))
     # with a constant in the model the level may be centred: sums of squares far from zero lose digits
-    x = (x.join(sizes, by, "inner") if by else x.join(F.broadcast(sizes), how="inner")).withColumn("_lvl", F.col("_lvl") - F.col("_mu"))
-    x = cut_lineage(x, "adf-lags")
-    xs = ["_lvl", *[f"_d{j}" for j in range(1, K + 1)]]
-
-    def regressors(d: DataFrame, used: str) -> DataFrame:
-        d = d.filter((F.col("_pos") >= F.col(used) + 1) & (F.col(used) >= 0))
-        return d.withColumns({f"_d{j}": F.when(F.col(used) >= j, F.col(f"_d{j}")).otherwise(0.0) for j in range(1, K + 1)})
-
-    g1, _ = gram(regressors(x, "_ml"), "_dy", xs, [*by, "_ml"])
-    keys = _kschema(g1, by)
-
-    def choose(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for bt in batches:
-            out = []
-            for _, row in bt.iterrows():
-                best = None
-                for L in range(int(row["_ml"]) + 1):
-                    _, _, rss, n = _sub_fit(row, L + 2)
-                    aic = n * (math.log(2 * math.pi) + math.log(rss / n) + 1) + 2 * (L + 2)
-                    if best is None or aic < best[0]:
-                        best = (aic, L)
-                out.append({**{b: row[b] for b in by}, "_used": best[1], "_ic": best[0]})
-            yield pd.DataFrame(out, columns=[*by, "_used", "_ic"])
-
-    lagsel = g1.mapInPandas(choose, keys + "_used int, _ic double")
-    x2 = x.join(lagsel, by, "inner") if by else x.join(F.broadcast(lagsel), how="inner")
-    g2, _ = gram(regressors(x2, "_used"), "_dy", xs, [*by, "_used", "_ic"])
+    x = cut_lineage(x.select(*by, "_pos", "_n", "_ml", (F.col(value) - F.col("_mu")).alias("_lvl")), "adf-levels")
+    rows = max(block_rows, K + 2)
+    blocks = B.with_halo(x.select(*by, "_pos", "_lvl"), "_pos", rows, K + 1, 0)
+    kept = ", ".join(f"`{k}` {x.schema[k].dataType.simpleString()}" for k in by)
+    kept = kept + ", " if kept else ""
+    summed = blocks.groupBy(*by, "_fw_blk").applyInPandas(_adf_block(K, by), kept + "_c array<double>, _b array<double>, _s1 double, _s2 double")
+    per_lag = (summed.select(*by, "_s1", "_s2", F.posexplode(F.arrays_zip("_c", "_b")).alias("_lag", "_x"))
+               .groupBy(*by, "_lag").agg(F.sum("_x._c").alias("_c"), F.sum("_x._b").alias("_b"), F.sum("_s1").alias("_s1"), F.sum("_s2").alias("_s2")))
+    sums = per_lag.groupBy(*by).agg(F.sort_array(F.collect_list(F.struct("_lag", "_c", "_b"))).alias("_lagged"), F.max("_s1").alias("_s1"), F.max("_s2").alias("_s2"))
+    near = (F.col("_pos") <= K + 1) | (F.col("_pos") >= F.col("_n") - K - 2)
+    ends = x.where(near).groupBy(*by).agg(F.first("_n").alias("_n"), F.first("_ml").alias("_ml"),
+                                          F.sort_array(F.collect_list(F.struct("_pos", "_lvl"))).alias("_ends"))
+    sums = sums.select(*[F.col(k).alias(f"_fw_s{i}") for i, k in enumerate(by)], "_lagged", "_s1", "_s2")
+    ready = ends.join(sums, on) if by else ends.join(F.broadcast(sums))
+    out = ["adf", "pvalue", "usedlag", "nobs", "crit_1pct", "crit_5pct", "crit_10pct", "icbest"]
 
     def finish(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for bt in batches:
-            out = []
+            done = []
             for _, row in bt.iterrows():
-                b, se, _, n = _sub_fit(row, int(row["_used"]) + 2)
-                stat = float(b[1] / se[1]) if se[1] > 0 else float("nan")
-                crit = adf_critical(int(n))
-                out.append({**{k: row[k] for k in by}, "adf": stat, "pvalue": adf_pvalue(stat), "usedlag": int(row["_used"]),
-                            "nobs": int(n), "crit_1pct": crit["1%"], "crit_5pct": crit["5%"], "crit_10pct": crit["10%"],
-                            "icbest": float(row["_ic"])})
-            yield pd.DataFrame(out, columns=[*by, "adf", "pvalue", "usedlag", "nobs", "crit_1pct", "crit_5pct",
-                                             "crit_10pct", "icbest"])
-
-    return g2.mapInPandas(finish, keys + "adf double, pvalue double, usedlag long, nobs long, crit_1pct double, "
-                                         "crit_5pct double, crit_10pct double, icbest double")
+                n, at = int(row["_n"]), {int(s["_pos"]): float(s["_lvl"]) for s in row["_ends"]}
+                head = np.array([at[i] for i in range(min(n, K + 2))])
+                tail = np.array([at[n - 1 - i] for i in range(min(n, K + 2))])
+                c, b = (np.array([float(s[f]) for s in row["_lagged"]]) for f in ("_c", "_b"))
+                fit = adf_of(AdfSums(n, c, b, float(row["_s1"]), float(row["_s2"]), head, tail), int(row["_ml"]))
+                stat, used, nobs, aic = fit or (None, None, max(n - 1, 0), None)
+                crit = adf_critical(nobs) if nobs else dict.fromkeys(("1%", "5%", "10%"))
+                done.append({**{k: row[k] for k in by}, "adf": stat, "pvalue": None if stat is None else adf_pvalue(stat), "usedlag": used, "nobs": nobs,
+                             "crit_1pct": crit["1%"], "crit_5pct": crit["5%"], "crit_10pct": crit["10%"], "icbest": aic})
+            yield pd.DataFrame(done, columns=[*by, *out], dtype=object)
+
+    return ready.where("_n IS NOT NULL").select(*by, "_n", "_ml", "_ends", "_lagged", "_s1", "_s2").mapInPandas(
+        finish, kept + "adf double, pvalue double, usedlag long, nobs long, crit_1pct double, crit_5pct double, crit_10pct double, icbest double")
