@@ -412,3 +412,24 @@ def flow_nearest_pairs(spark, d):
     j = li.join(o, li["l_orderkey"] == o["o_orderkey"])
     dist = great_circle(key_lat(F.col("l_suppkey")), key_lon(F.col("l_suppkey")), key_lat(F.col("o_custkey")), key_lon(F.col("o_custkey")))
     return j.select("l_orderkey", "l_linenumber", stable_round(dist, 3).alias("distance_km"))
+
+
+@register("nearest_customers", sql="""
+WITH s AS (SELECT s_suppkey, (((s_suppkey * 53) % 180) - 90 + 0.25)::DOUBLE AS lat, (((s_suppkey * 17) % 360) - 180 + 0.125)::DOUBLE AS lon FROM supplier),
+c AS (SELECT c_custkey, (((c_custkey * 37) % 180) - 90)::DOUBLE AS lat, (((c_custkey * 91) % 360) - 180)::DOUBLE AS lon FROM customer),
+v AS (SELECT s_suppkey, c_custkey,
+  cos(radians(c.lat)) * sin(radians(c.lon - s.lon)) AS east,
+  cos(radians(s.lat)) * sin(radians(c.lat)) - sin(radians(s.lat)) * cos(radians(c.lat)) * cos(radians(c.lon - s.lon)) AS north,
+  sin(radians(s.lat)) * sin(radians(c.lat)) + cos(radians(s.lat)) * cos(radians(c.lat)) * cos(radians(c.lon - s.lon)) AS dot FROM s, c),
+k AS (SELECT s_suppkey, c_custkey, round(atan2(sqrt(east * east + north * north), dot) * 6373.0, 6) AS distance_km FROM v)
+SELECT s_suppkey, row_number() OVER (PARTITION BY s_suppkey ORDER BY distance_km, c_custkey)::INTEGER AS rank, c_custkey, distance_km
+FROM k QUALIFY row_number() OVER (PARTITION BY s_suppkey ORDER BY distance_km, c_custkey) <= 3""")
+def nearest_customers(spark, d):
+    """The three nearest customers of every supplier, over all rows of both."""
+    from framewise.operators.spatial import nearest_places
+    s = table(spark, d, "supplier", ["s_suppkey"])
+    s = s.select("s_suppkey", ((F.col("s_suppkey") * 53) % 180 - 90 + 0.25).alias("lat"), ((F.col("s_suppkey") * 17) % 360 - 180 + 0.125).alias("lon"))
+    c = table(spark, d, "customer", ["c_custkey"])
+    c = c.select("c_custkey", ((F.col("c_custkey") * 37) % 180 - 90).alias("lat"), ((F.col("c_custkey") * 91) % 360 - 180).alias("lon"))
+    near = nearest_places(s, c, 3, ("s_suppkey", "lat", "lon"), ("c_custkey", "lat", "lon"))
+    return near.select(F.col("query_id").alias("s_suppkey"), "rank", F.col("point_id").alias("c_custkey"), F.col("distance").alias("distance_km"))
