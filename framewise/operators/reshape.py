@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DataType, StructType
 
 
 def melt(df: DataFrame, ids: Sequence[str], values: Sequence[str], var_name: str = "variable",
@@ -80,6 +81,69 @@ def json_normalize(df: DataFrame, column: str, schema: StructType | str, sep: st
     return flatten_struct(parsed, column, sep)
 
 
+# The types of variants that have another name, or no use, as the type of a column.
+_VARIANT_TYPE = re.compile(r"`(?:[^`]|``)*`|OBJECT<|\bVOID\b|DECIMAL\(\d+, ?\d+\)")
+_COLUMN_TYPE = {"OBJECT<": "STRUCT<", "VOID": "STRING"}
+
+
+def variant_column_type(variant_type: str) -> DataType:
+    """The column type for a type as ``schema_of_variant_agg`` names it: objects are structs, numbers with a
+    point are doubles, a field that is always null is text, and fields of mixed types stay variants."""
+    def rename(m: re.Match) -> str:
+        if m[0].startswith("`"):
+            return m[0]
+        return _COLUMN_TYPE.get(m[0], "DOUBLE")
+    return DataType.fromDDL(_VARIANT_TYPE.sub(rename, variant_type))
+
+
+def _variant_step(name: str) -> str:
+    if '"' not in name:
+        return f'["{name}"]'
+    if "'" not in name:
+        return f"['{name}']"
+    raise ValueError(f"a field whose name holds both kinds of quotes has no path: {name}")
+
+
+def json_normalize_variant(df: DataFrame, column: str, sep: str = ".", max_fields: int = 10_000) -> DataFrame:
+    """``json_normalize`` of JSON text whose fields nobody declared: one aggregation merges the types of all
+    records, then each leaf field is read by its path into a column ``a.b.c``, in the order of names.
+
+    Fields that a record lacks are NULL, and so are all fields of text that is NULL, not JSON or not an object.
+    Integers of different sizes widen, integers with fractions make doubles; a field of other mixed types comes as
+    its JSON text. Arrays stay arrays. An object that is empty in all records makes no column. The merged type is the
+    only thing that reaches the driver; more than ``max_fields`` leaf fields, or two that would share a
+    column name, raise (declare them: ``json_normalize``)."""
+    taken = {c.lower() for c in df.columns if c != column}
+    parsed = df.withColumn(column, F.try_parse_json(F.col(f"`{column}`")))
+    record = F.col(f"`{column}`")
+    is_object = F.schema_of_variant(record).startswith("OBJECT<")
+    merged = parsed.agg(F.schema_of_variant_agg(F.when(is_object, record))).first()[0]
+    if not merged.startswith("OBJECT<"):   # no record is an object
+        return df.drop(column)
+
+    def leaves(kind: DataType, name: str, path: str) -> list[tuple[str, str, DataType]]:
+        if not isinstance(kind, StructType):
+            return [(name, path, kind)]
+        return [leaf for f in kind.fields
+                for leaf in leaves(f.dataType, f"{name}{sep}{f.name}" if name else f.name, path + _variant_step(f.name))]
+
+    found = leaves(variant_column_type(merged), "", "$")
+    if len(found) > max_fields:
+        raise ValueError(f"{len(found)} fields, more than {max_fields}: declare the schema")
+    columns = []
+    for name, path, kind in found:
+        if name.lower() in taken:
+            raise ValueError(f"two columns would be called {name}: choose another separator or rename")
+        taken.add(name.lower())
+        if kind.simpleString() == "variant":
+            value = F.to_json(F.try_variant_get(record, path, "variant"))
+        else:
+            value = F.try_variant_get(record, path, kind.simpleString())
+        columns.append(value.alias(name))
+    rest = [F.col(f"`{c}`") for c in df.columns if c != column]
+    return parsed.select(*rest, *columns)
+
+
 def bin_cut(x: str | Column, edges: Sequence[float], labels: Sequence[str] | None = None) -> Column:
     """``cut(x, bins, labels)``: right-closed bins (lo, hi]; a value equal to the lowest
     edge, or outside all bins, is NULL. One label for each bin."""

@@ -69,6 +69,23 @@ def q_json_normalize(spark, d):
     return Rs.json_normalize(ev, "props", "k BIGINT", sep="_")
 
 
+@register("json_normalize_variant", sql="""
+SELECT event_id, CASE WHEN event_type = 'purchase' THEN value END AS amount,
+       CASE WHEN event_type = 'click' THEN event_type WHEN event_type = 'purchase' THEN user_id::VARCHAR END AS note,
+       json_extract(props, '$.k')::BIGINT AS props_k, CASE WHEN event_type <> 'view' THEN user_id END AS user_id FROM events""")
+def q_json_normalize_variant(spark, d):
+    """Records whose fields differ by the type of the event, and one of mixed types."""
+    ev = table(spark, d, "events", ["event_id", "user_id", "event_type", "value", "props"])
+    kind = F.col("event_type")
+    record = F.concat(
+        F.lit('{"props":'), F.coalesce("props", F.lit("null")),
+        F.when(kind != "view", F.concat(F.lit(',"user":{"id":'), F.col("user_id"), F.lit("}"))).otherwise(""),
+        F.when(kind == "purchase", F.concat(F.lit(',"amount":'), F.col("value"), F.lit(',"note":'), F.col("user_id")))
+        .when(kind == "click", F.lit(',"note":"click"')).otherwise(""), F.lit("}"))
+    out = Rs.json_normalize_variant(ev.select("event_id", record.alias("record")), "record", sep="_")
+    return out.withColumn("note", F.regexp_replace("note", '^"|"$', ""))
+
+
 _EDGES = [-1000.0, 0.0, 2500.0, 5000.0, 10000.0]
 _LABELS = ["negative", "low", "mid", "high"]
 

@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from framewise.functions.numeric import stable_round
+from framewise.operators import joins as J
 from framewise.plans.registry import register
 from framewise.session import scratch_path
 from framewise.sources import files as S
@@ -89,6 +90,30 @@ def q_html_records(spark, d):
     return S.html_links(table(spark, d, "pages", ["page_id", "html"]), "html", ["page_id"])
 
 
+@register("html_table_rows", sql="""
+SELECT c_custkey // 50 AS page, c_custkey, c_name, c_mktsegment, n_name, n_name || ' ' || n_regionkey AS place
+FROM customer JOIN nation ON c_nationkey = n_nationkey""")
+def q_html_table_rows(spark, d):
+    """Pages with a table of customers are made, at most 50 rows each, with a table in a cell, a wide heading and cells
+    without ends, and read back."""
+    c = table(spark, d, "customer", ["c_custkey", "c_name", "c_nationkey", "c_mktsegment"])
+    n = table(spark, d, "nation", ["n_nationkey", "n_name", "n_regionkey"])
+    rows = J.join_small(c, n, c["c_nationkey"] == n["n_nationkey"]).select(
+        "c_custkey", F.concat(F.lit("<tr><td>"), "c_custkey", F.lit("</td><td>"), "c_name", F.lit("<td>"), "c_mktsegment",
+                              F.lit("<td><table><tr><td>"), "n_name", F.lit("<td>&#32;"), "n_regionkey", F.lit("</table>")).alias("tr"))
+    body = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("c_custkey", "tr"))), lambda r: r["tr"]), "")
+    pages = rows.groupBy(F.floor(F.col("c_custkey") / 50).alias("page")).agg(F.concat(
+        F.lit("<html><script>'<table><tr><td>no'</script><table><thead><tr><th>key<th colspan=2>customer<th>place</thead>"),
+        body, F.lit("</table></html>")).alias("html"))
+    got = S.html_table_rows(pages, "html", ["page"])
+    # the page's own table is the first; the tables in its cells follow, one for each of its rows after the heading
+    own = got.where((F.col("table") == 0) & (F.col("row") > 0))
+    inner = got.where(F.col("table") > 0).select("page", F.col("table").alias("row"), F.col("cells")[0].alias("n_name"))
+    return own.join(inner, ["page", "row"]).select(
+        "page", F.col("cells")[0].cast("bigint").alias("c_custkey"), F.col("cells")[1].alias("c_name"),
+        F.col("cells")[2].alias("c_mktsegment"), "n_name", F.col("cells")[3].alias("place"))
+
+
 @register("sink_csv_partitioned", sql="""
 SELECT c_mktsegment, count(*) AS n, round((sum(c_acctbal)) + 5.123e-06, 2) AS acctbal FROM customer GROUP BY 1""")
 def q_sink_csv_partitioned(spark, d):

@@ -7,17 +7,20 @@ below the cluster's shared checkpoint folder (``framewise.session.scratch_path``
 
 from __future__ import annotations
 
+import html
 import io
 import itertools
 import os
+import re
 import uuid
 import zipfile
 from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
 from framewise.session import local_fs_path
 
@@ -144,8 +147,6 @@ def read_zipped_csv(spark: SparkSession, pattern: str, schema: StructType | str,
 HTML_ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " "), ("&amp;", "&")]
 
 LIST_LINK = r'<li><a href="([^"]*)">([^<]*)</a></li>'
-TABLE_ROW = r"<tr>(.*?)</tr>"
-TABLE_CELL = r"<t[dh][^>]*>(.*?)</t[dh]>"
 
 
 def unescape(c: Column) -> Column:
@@ -164,13 +165,117 @@ def html_links(df: DataFrame, html: str, keys: Sequence[str]) -> DataFrame:
                     unescape(F.col("r.text")).alias("text"))
 
 
-def html_table_rows(df: DataFrame, html: str, keys: Sequence[str]) -> DataFrame:
-    """``read_html``: each ``<tr>`` of each page -> (keys, row, cells array)."""
-    rows = F.regexp_extract_all(F.col(html), F.lit("(?s)" + TABLE_ROW), 1)
-    r = df.select(*keys, F.posexplode(rows).alias("row", "tr"))
-    cells = F.transform(F.regexp_extract_all(F.col("tr"), F.lit("(?s)" + TABLE_CELL), 1),
-                        lambda c: unescape(F.trim(F.regexp_replace(c, "<[^>]+>", ""))))
-    return r.select(*keys, "row", cells.alias("cells")).filter(F.size("cells") > 0)
+# Fixed values of the HTML standard: the most columns and rows that one cell may span.
+MAX_COLSPAN, MAX_ROWSPAN = 1000, 65534
+
+_HTML_TOKEN = re.compile(r"(?s)<!--.*?(?:-->|\Z)|<(script|style)\b.*?(?:</\1\s*>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9]*)([^>]*)>|<[^>]*>|[^<]+|<",
+                         re.IGNORECASE)
+_SPAN = re.compile(r"\b(colspan|rowspan)\s*=\s*[\"']?\s*(\d+)", re.IGNORECASE)
+
+
+class _OpenTable:
+    """A table whose end has not come: its number, its rows so far, and the cell that is open."""
+
+    def __init__(self, number: int):
+        self.number, self.rows = number, -1
+        self.cells: list[str] | None = None          # of the open row
+        self.below: dict[int, tuple[int, str]] = {}  # column -> (rows still to fill, text) of cells that span rows
+        self.cell: tuple[int, int, int] | None = None  # (first piece of text, columns, rows) of the open cell
+
+    def fill(self) -> None:
+        """Cells of earlier rows that reach into the next columns of the open row."""
+        while (at := len(self.cells)) in self.below:
+            left, text = self.below.pop(at)
+            self.cells.append(text)
+            if left > 1:
+                self.below[at] = (left - 1, text)
+
+    def end_cell(self, pieces: list[str]) -> None:
+        if self.cell is None:
+            return
+        first, columns, rows = self.cell
+        self.cell = None
+        text = " ".join(html.unescape("".join(pieces[first:])).split())
+        self.fill()
+        for _ in range(columns):
+            if rows > 1:
+                self.below[len(self.cells)] = (rows - 1, text)
+            self.cells.append(text)
+
+    def end_row(self, pieces: list[str]) -> Iterator[tuple[int, int, list[str]]]:
+        self.end_cell(pieces)
+        if self.cells is None:
+            return
+        self.fill()
+        cells, self.cells = self.cells, None
+        if cells:
+            self.rows += 1
+            yield self.number, self.rows, cells
+
+
+def table_rows(page: str) -> Iterator[tuple[int, int, list[str]]]:
+    """(table, row, cells) of a page, in one pass over its tags. A tag ends what it can't stand in: a cell the
+    cell before it, a row the row before it, a table's end all that is open in it."""
+    open_tables: list[_OpenTable] = []
+    pieces: list[str] = []   # texts since the outermost table began
+    n_tables = 0
+    for m in _HTML_TOKEN.finditer(page):
+        name = (m[3] or "").lower()
+        top = open_tables[-1] if open_tables else None
+        if name == "table" and not m[2]:
+            open_tables.append(_OpenTable(n_tables))
+            n_tables += 1
+        elif top is None:
+            continue
+        elif name == "table":
+            yield from top.end_row(pieces)
+            open_tables.pop()
+            if not open_tables:
+                pieces.clear()
+        elif name in ("tr", "thead", "tbody", "tfoot"):
+            yield from top.end_row(pieces)
+            if name == "tr" and not m[2]:
+                top.cells = []
+        elif name in ("td", "th"):
+            top.end_cell(pieces)
+            if not m[2]:
+                if top.cells is None:
+                    top.cells = []
+                spans = {k.lower(): int(v) for k, v in _SPAN.findall(m[4])}
+                top.cell = (len(pieces), min(max(spans.get("colspan", 1), 1), MAX_COLSPAN),
+                            min(max(spans.get("rowspan", 1), 1), MAX_ROWSPAN))
+        elif name in ("br", "p", "div", "li"):
+            pieces.append(" ")
+        elif m[0][0] != "<" or m[0] == "<":
+            pieces.append(m[0])
+    for t in reversed(open_tables):   # unclosed at the end of the page
+        yield from t.end_row(pieces)
+
+
+def html_table_rows(df: DataFrame, page: str, keys: Sequence[str]) -> DataFrame:
+    """``read_html``: the rows of all tables of each page -> (keys, ``table``, ``row``, ``cells``).
+
+    Tables are numbered from 0 by where they begin in their page, a table within a cell too; a cell's text holds the
+    texts of the tables within it. Texts are unescaped and runs of white space become one space. ``colspan`` and
+    ``rowspan`` repeat a cell's text; cells and rows may lack their end tags. Scripts, styles and comments are left
+    out, as are rows without cells. A page that is NULL, empty or without tables has no rows. Pages are independent: no
+    shuffle, and a task holds one batch of pages and one page's open tables."""
+    cut = [df.schema[k] for k in keys]
+    schema = StructType([*cut, StructField("table", IntegerType()), StructField("row", IntegerType()),
+                         StructField("cells", ArrayType(StringType()))])
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for i, text in enumerate(b.column(b.num_columns - 1)):
+                rows = table_rows(text.as_py() or "")
+                while some := list(itertools.islice(rows, 10_000)):
+                    own = [b.column(k).take(pa.array([i] * len(some), pa.int64())) for k in range(len(cut))]
+                    number, row, cells = zip(*some)
+                    yield pa.RecordBatch.from_arrays(
+                        [*own, pa.array(number, pa.int32()), pa.array(row, pa.int32()), pa.array(cells, pa.list_(pa.string()))],
+                        names=schema.names)
+
+    return df.select(*[F.col(f"`{k}`") for k in keys], F.col(f"`{page}`").alias("_fw_page")).mapInArrow(read, schema)
 
 
 # ---------------------------------------------------------------- materialised tables

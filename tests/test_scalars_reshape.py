@@ -4,6 +4,7 @@ import datetime as dt
 
 import numpy as np
 import pandas as pd
+import pytest
 from pyspark.sql import functions as F
 
 from framewise.functions import dates as D
@@ -70,11 +71,35 @@ def test_date_labels():
     assert date_label_range("2012-02") == (dt.datetime(2012, 2, 1), dt.datetime(2012, 3, 1))
 
 
+def html_rows(spark, pages):
+    df = spark.createDataFrame(list(enumerate(pages)), "row_id long, html string")
+    got = html_table_rows(df, "html", ["row_id"])
+    assert got.columns == ["row_id", "table", "row", "cells"]
+    return sorted(tuple(r) for r in got.collect())
+
+
 def test_html_table_rows(spark):
     html = "<table><tr><th>Date</th><th>Pts</th></tr><tr><td>Tue, Oct 27</td><td>97 &amp; up</td></tr></table>"
-    df = spark.createDataFrame([(1, html)], "page_id long, html string")
-    rows = [(r.row, r.cells) for r in html_table_rows(df, "html", ["page_id"]).orderBy("row").collect()]
-    assert rows == [(0, ["Date", "Pts"]), (1, ["Tue, Oct 27", "97 & up"])]
+    assert html_rows(spark, [html]) == [(0, 0, 0, ["Date", "Pts"]), (0, 0, 1, ["Tue, Oct 27", "97 & up"])]
+
+
+def test_html_tables_nested_spanning_and_unclosed(spark):
+    nested = "<TABLE class='a>b'><tr><td>x<table><tr><td>in<td>ner</tr></table>y</td><td>z</td></tr></table><table><tr><td>2</table>"
+    spans = ("<table><tr><th rowspan=2>k<th colspan='2'>v</tr><tr><td>a<td>b<tr><td rowspan=\"9\">c<td colspan=0>d"
+             "<tr><td>e</td></tr><tr></tr></table>")
+    unclosed = "text <td>outside</td><!-- <table><tr><td>no --><table><tbody><td>a <b>b</b><br>c<tr><td>&lt;d&gt;<script>'<td>'</script> 1 < 2"
+    assert html_rows(spark, [nested, spans, unclosed, None, "", "<p>none</p>"]) == [
+        (0, 0, 0, ["xinnery", "z"]), (0, 1, 0, ["in", "ner"]), (0, 2, 0, ["2"]),
+        (1, 0, 0, ["k", "v", "v"]), (1, 0, 1, ["k", "a", "b"]), (1, 0, 2, ["c", "d"]), (1, 0, 3, ["c", "e"]), (1, 0, 4, ["c"]),
+        (2, 0, 0, ["a b c"]), (2, 0, 1, ["<d> 1 < 2"])]
+
+
+def test_html_tables_of_long_pages_and_deep_nesting(spark):
+    long = "<table>" + "".join(f"<tr><td>{i}<td>x" for i in range(30_000))
+    deep = "<table><tr><td>a" * 200
+    got = html_rows(spark, [long, deep])
+    assert [r[3] for r in got if r[0] == 0] == [[str(i), "x"] for i in range(30_000)]
+    assert [(r[1], len(r[3][0])) for r in got if r[0] == 1] == [(i, 200 - i) for i in range(200)]
 
 
 def test_json_normalize_nested(spark):
@@ -85,6 +110,33 @@ def test_json_normalize_nested(spark):
     assert [tuple(r) for r in out.orderBy("n").collect()] == [(1, "a", "Point", [1.5, 2.5]), (2, "b", None, None)]
 
 
+def test_json_normalize_without_a_schema(spark):
+    df = spark.createDataFrame([
+        (1, '{"id": 1, "geo": {"type": "Point", "at": [1.5, 2]}, "mixed": 1, "none": null, "empty": {}}'),
+        (2, '{"id": 2.5, "geo": {"odd `name": "x", "a.b": true}, "mixed": {"y": [2]}}'),
+        (3, "not json"), (4, None), (5, "[1]"), (6, '{"id": null, "geo": 7}'), (7, "{}"), (1, '{"id": 3000000000}')], "n long, j string")
+    with_geo = Rs.json_normalize_variant(df.where("n != 6"), "j")
+    assert with_geo.columns == ["n", "geo.a.b", "geo.at", "geo.odd `name", "geo.type", "id", "mixed", "none"]
+    nothing = (None,) * 7
+    assert sorted(map(tuple, with_geo.collect()), key=str) == sorted([
+        (1, None, [1.5, 2.0], None, "Point", 1.0, "1", None), (2, True, None, "x", None, 2.5, '{"y":[2]}', None),
+        (3,) + nothing, (4,) + nothing, (5,) + nothing, (7,) + nothing, (1, None, None, None, None, 3e9, None, None)], key=str)
+    whole = Rs.json_normalize_variant(df.where("n in (2, 6)"), "j")   # geo is an object once and a number once
+    assert [tuple(r) for r in whole.orderBy("n").collect()] == [
+        (2, '{"a.b":true,"odd `name":"x"}', 2.5, [2]), (6, "7", None, None)]
+
+
+def test_json_normalize_without_records_or_with_clashes(spark):
+    df = spark.createDataFrame([(1, "[1]"), (2, None)], "n long, j string")
+    assert Rs.json_normalize_variant(df, "j").columns == ["n"]
+    assert Rs.json_normalize_variant(df.limit(0), "j").count() == 0
+    clash = spark.createDataFrame([(1, '{"N": 1}')], "n long, j string")
+    with pytest.raises(ValueError, match="two columns"):
+        Rs.json_normalize_variant(clash, "j")
+    with pytest.raises(ValueError, match="declare"):
+        Rs.json_normalize_variant(spark.createDataFrame([('{"a": 1, "b": 2}',)], "j string"), "j", max_fields=1)
+
+
 def test_great_circle_identical_points(spark):
     df = spark.createDataFrame([(41.9, -87.6, 41.9, -87.6), (0.0, 0.0, 0.0, 90.0)], "a double, b double, c double, d double")
     got = [r.x for r in df.select(great_circle("a", "b", "c", "d").alias("x")).collect()]
