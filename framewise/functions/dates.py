@@ -35,6 +35,51 @@ def to_number(x) -> Column:
     return _c(x).try_cast("double")
 
 
+# The units of a duration and their microseconds.
+DURATION_UNITS = [
+    (("weeks", "week", "w"), 604_800_000_000), (("days", "day", "d"), 86_400_000_000),
+    (("hours", "hour", "hrs", "hr", "h"), 3_600_000_000), (("minutes", "minute", "mins", "min", "m"), 60_000_000),
+    (("seconds", "second", "secs", "sec", "s"), 1_000_000),
+    (("milliseconds", "millisecond", "millis", "milli", "ms"), 1_000), (("microseconds", "microsecond", "micros", "micro", "us"), 1)]
+
+
+def to_timedelta(text) -> Column:
+    """``to_timedelta(errors="coerce")`` of text: numbers with units (``1 day 2.5 hours``, ``3d4h``, ``-2 weeks``), a clock
+    (``6:05``, ``30:00:01.5``), or days and a clock (``1 days 06:00:00``), as a day-time interval.
+
+    A sign in front counts for the whole, unless the clock has its own (``-1 days +06:00:00``). Case and white space don't
+    matter. NULL for NULL, anything else (a number without a unit too), and durations beyond 10^12 seconds. Below a
+    microsecond digits are rounded."""
+    names = sorted((n for unit, _ in DURATION_UNITS for n in unit), key=len, reverse=True)
+    either = "|".join(names)
+    part = rf"(\d+(?:\.\d+)?)\s*({either})(?![a-z])"
+    clock = r"([+-]?)\s*(\d+):([0-5]?\d)(?::([0-5]?\d(?:\.\d+)?))?"
+    t = F.lower(F.trim(F.regexp_replace(_c(text), r"\s+", " ")))
+    valid = t.rlike(rf"^[+-]?\s*(?:\d+(?:\.\d+)?\s*(?:{either})(?![a-z])[ ,]*)*(?:{clock})?$") & t.rlike(r"\d")
+    micros = F.create_map(*[F.lit(x) for unit, us in DURATION_UNITS for n in unit for x in (n, us)])
+    amounts = F.regexp_extract_all(t, F.lit(part), 1), F.regexp_extract_all(t, F.lit(part), 2)
+    units = F.aggregate(F.arrays_zip(amounts[0].alias("n"), amounts[1].alias("u")), F.lit(0).cast("decimal(38,6)"),
+                        lambda acc, p: (acc + p["n"].try_cast("decimal(24,9)") * micros[p["u"]]).cast("decimal(38,6)"))
+
+    def group(i: int) -> Column:
+        return F.coalesce(F.regexp_extract(t, clock + "$", i).try_cast("decimal(20,9)"), F.lit(0))
+    has_clock = t.rlike(clock + "$")
+    of_clock = F.when(has_clock, group(2) * 3_600_000_000 + group(3) * 60_000_000 + group(4) * 1_000_000).otherwise(F.lit(0))
+    lead, own = F.regexp_extract(t, "^[+-]?", 0), F.regexp_extract(t, clock + "$", 1)
+    sign = F.when(lead == "-", -1).otherwise(1)
+    clock_sign = F.when(own == "", sign).otherwise(F.when(own == "-", -1).otherwise(1))
+    seconds = ((sign * units + clock_sign * of_clock) / 1_000_000).try_cast("decimal(18,6)")
+    return F.when(valid, F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), seconds))
+
+
+def micros_of(interval) -> Column:
+    """A day-time interval as whole microseconds."""
+    c = _c(interval)
+    day, hour, minute = (F.extract(F.lit(u), c).cast("bigint") for u in ("DAY", "HOUR", "MINUTE"))
+    seconds = (F.extract(F.lit("SECOND"), c) * 1_000_000).cast("bigint")
+    return ((day * 24 + hour) * 60 + minute) * 60_000_000 + seconds
+
+
 def add_offset(ts, months: int = 0, days: int = 0) -> Column:
     """``+ DateOffset(months=m, days=d)``: months first (day clamped to month end), then days."""
     c = _c(ts)

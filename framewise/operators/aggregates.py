@@ -133,6 +133,32 @@ def quantiles(df: DataFrame, cols: Sequence[str], qs: Sequence[float], by: Seque
     return per_var.agg(*out)
 
 
+def quantile_sketches(df: DataFrame, cols: Sequence[str], by: Sequence[str] = (), k: int = 400) -> DataFrame:
+    """One mergeable sketch of some kilobytes per group and column, in place of its values: (by..., ``<col>_sketch``).
+
+    KLL sketches, made with one partial aggregation; a group of any size shuffles one sketch a task. Store them (they are
+    binary columns) and merge them with those of later batches: ``merge_quantile_sketches``. NULL and NaN are left out; a
+    group without values has an empty sketch. The rank of an answer is off by about 1.33 % of the values at ``k`` = 200 and
+    by half of that at 400 (99 % of the time). ``quantiles`` is the exact way."""
+    return df.groupBy(*by).agg(*[F.kll_sketch_agg_double(F.col(f"`{c}`").cast("double"), k).alias(f"{c}_sketch") for c in cols])
+
+
+def merge_quantile_sketches(sketches: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+    """The sketches of coarser groups (or of more batches), from those of finer ones: no value is read again."""
+    return sketches.groupBy(*by).agg(*[F.kll_merge_agg_double(f"{c}_sketch").alias(f"{c}_sketch") for c in cols])
+
+
+def sketched_quantiles(sketches: DataFrame, cols: Sequence[str], qs: Sequence[float], by: Sequence[str] = ()) -> DataFrame:
+    """(by..., ``<col>_p<percent>``, ``<col>_n``): a value of the column near each quantile's rank, not interpolated, and
+    the number of values. NULL for an empty sketch."""
+    out = []
+    for c in cols:
+        sketch, n = F.col(f"{c}_sketch"), F.kll_sketch_get_n_double(f"{c}_sketch")
+        out += [F.when(n > 0, F.kll_sketch_get_quantile_double(sketch, F.lit(float(q)))).alias(qname(c, q)) for q in qs]
+        out.append(n.alias(f"{c}_n"))
+    return sketches.select(*by, *out)
+
+
 def qname(column: str, q: float) -> str:
     """Default quantile column name: ``<col>_p<percent>`` (``x_p99``, ``x_p99_5``)."""
     return f"{column}_p{q * 100:g}".replace(".", "_")

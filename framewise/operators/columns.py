@@ -8,6 +8,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
+from framewise.operators.ordering import with_positions
+from framewise.session import cut_lineage
+
 
 def select_columns(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return df.select(*cols)
@@ -102,6 +105,22 @@ def one_hot(df: DataFrame, cols: Sequence[str], values: Mapping[str, Sequence] |
     return df
 
 
+def one_hot_sparse(df: DataFrame, column: str, name: str) -> tuple[DataFrame, DataFrame]:
+    """``get_dummies`` for any number of categories: ``df`` with a sparse vector ``name`` (``size``, ``indices``, ``values``)
+    in place of a column for each value, and the dictionary (``column``, ``code``) that says what the places mean.
+
+    The distinct values are numbered in range chunks, in sorted order, and stay distributed; only their number reaches the
+    driver. A NULL cell has no place set."""
+    cats = df.select(F.col(f"`{column}`")).where(F.col(f"`{column}`").isNotNull()).distinct()
+    dictionary = cut_lineage(with_positions(cats, [column], name="code").select(column, F.col("code").cast("int").alias("code")), "categories")
+    look_up = dictionary.select(F.col(column).alias("_fw_value"), F.col("code").alias("_fw_code"))
+    out = df.join(look_up, F.col(f"`{column}`") == F.col("_fw_value"), "left")
+    places = F.array_compact(F.array("_fw_code"))
+    vector = F.struct(F.lit(dictionary.count()).cast("int").alias("size"), places.alias("indices"),
+                      F.transform(places, lambda _: F.lit(1.0)).alias("values"))
+    return out.withColumn(name, vector).drop("_fw_value", "_fw_code"), dictionary
+
+
 def drop_empty_columns(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Keep only those of ``cols`` whose sum is > 0 (a data-dependent projection): one
     aggregate row decides, then a plain select."""

@@ -112,6 +112,31 @@ def q_quantiles(spark, d):
     return out.select(*[_r(F.col(c)).alias(c) for c in out.columns])
 
 
+_RANK_SLACK = 0.03
+
+
+@register("quantiles_sketched", sql=f"""
+SELECT l_linenumber, q::DOUBLE AS q, count(*) AS n, TRUE AS near FROM lineitem, (SELECT unnest({_QS}) AS q) GROUP BY 1, 2""")
+def q_quantiles_sketched(spark, d):
+    """Sketches by line number and month are stored, merged to line numbers and asked. Which value answers may differ from
+    run to run, so the result says whether its true rank lies within ``_RANK_SLACK`` of the one asked for."""
+    li = table(spark, d, "lineitem", ["l_linenumber", "l_shipdate", "l_extendedprice"])
+    by_month = A.quantile_sketches(li.withColumn("month", F.trunc("l_shipdate", "month")), ["l_extendedprice"], ["l_linenumber", "month"])
+    stored = cut_lineage(by_month, "sketches")
+    asked = A.sketched_quantiles(A.merge_quantile_sketches(stored, ["l_extendedprice"], ["l_linenumber"]), ["l_extendedprice"],
+                                 _QS, ["l_linenumber"])
+    # one row a group, written so that the answers compared are those of one run
+    answers = cut_lineage(asked, "answers")
+    j = li.join(answers, "l_linenumber")
+    x = F.col("l_extendedprice")
+    ranks = [F.avg((op(x, F.col(A.qname("l_extendedprice", q)))).cast("double")).alias(f"{side}{i}")
+             for i, q in enumerate(_QS) for side, op in (("lo", lambda a, b: a < b), ("hi", lambda a, b: a <= b))]
+    got = j.groupBy("l_linenumber").agg(F.max("l_extendedprice_n").alias("n"), *ranks)
+    near = [F.struct(F.lit(q).alias("q"), ((F.col(f"lo{i}") <= q + _RANK_SLACK) & (F.col(f"hi{i}") >= q - _RANK_SLACK)).alias("near"))
+            for i, q in enumerate(_QS)]
+    return got.select("l_linenumber", "n", F.explode(F.array(*near)).alias("s")).select("l_linenumber", "s.q", "n", "s.near")
+
+
 @register("group_std", sql="""
 SELECT l_linenumber, round((stddev_samp(l_extendedprice)) + 5.123e-10, 6) AS price_std FROM lineitem GROUP BY 1""")
 def q_group_std(spark, d):

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from framewise.operators import filters, resample, windows
@@ -206,12 +206,23 @@ SELECT g.l_orderkey, g.l_linenumber, g.l_partkey, g.l_suppkey, g.qty, g.date, g.
 FROM g JOIN r ON g.l_orderkey = r.l_orderkey AND g.l_linenumber = r.l_linenumber AND g.l_partkey = r.l_partkey
   AND g.l_suppkey = r.l_suppkey AND g.qty = r.qty GROUP BY ALL""")
 def flow_rest_days(spark, d):
-    """Rest days per team -> pivot the two roles back to one row per game."""
-    r = tidy_rest(spark, d)
-    by_game = Rs.pivot(r, GAME_KEY, "variable", ["away_team", "home_team"], F.first("rest"),
-                       fmt="{v}").withColumnsRenamed({"away_team": "away_rest", "home_team": "home_rest"})
-    out = games(spark, d).select(*GAME_KEY, "date", "away_team", "home_team").join(by_game, GAME_KEY, "left")
-    return out.withColumn("rest_diff", F.col("home_rest") - F.col("away_rest"))
+    """Rest days of both teams of every game. The games are put together and written once. Only the first game of a team's
+    day looks back to the team's previous day, so one row per (team, day) is enough, and both teams of a game look it up."""
+    g = cut_lineage(games(spark, d), "games")
+    tidy = Rs.melt(g, [*GAME_KEY, "date"], ["away_team", "home_team"], "variable", "team")
+    days = tidy.groupBy("team", "date").agg(F.min(F.struct(*GAME_KEY, "variable")).alias("_first"))
+    previous = F.lag("date", 1).over(Window.partitionBy("team").orderBy("date"))   # at most the calendar's days a team
+    rest = (F.datediff(F.col("date").cast("date"), previous.cast("date")) - 1).cast("bigint")
+    days = cut_lineage(days.select("team", "date", "_first", rest.alias("_rest")), "team-days")
+    out = g.select(*GAME_KEY, "date", "away_team", "home_team")
+    for role in ("away", "home"):
+        side = days.select(F.col("team").alias(f"{role}_team"), "date", F.col("_first").alias(f"_{role}_first"),
+                           F.col("_rest").alias(f"_{role}"))
+        own = F.struct(*GAME_KEY, F.lit(f"{role}_team").alias("variable"))
+        out = out.join(side, [f"{role}_team", "date"], "left").withColumn(
+            f"{role}_rest", F.when(own == F.col(f"_{role}_first"), F.col(f"_{role}")).when(F.col(f"{role}_team").isNotNull(), F.lit(-1).cast("bigint")))
+    return out.select(*GAME_KEY, "date", "away_team", "home_team", "away_rest", "home_rest",
+                      (F.col("home_rest") - F.col("away_rest")).alias("rest_diff"))
 
 
 @register("flow_win_percent", sql="""
@@ -229,11 +240,12 @@ FROM g LEFT JOIN tp a ON g.away_team = a.team LEFT JOIN tp h ON g.home_team = h.
 def flow_win_percent(spark, d):
     """melt -> win flag -> wins per (team, role) -> win % as a ratio of sums -> strength
     looked up for both teams of every game."""
-    g = games(spark, d).withColumn("home_win", F.col("away_points") < F.col("home_points"))
-    w = Rs.melt(g, [*GAME_KEY, "home_win"], ["home_team", "away_team"], "is_home", "team")
+    g = cut_lineage(games(spark, d), "games").withColumn("home_win", F.col("away_points") < F.col("home_points"))
+    w = Rs.melt(g, ["home_win"], ["home_team", "away_team"], "is_home", "team")
     w = w.withColumn("win", (F.col("home_win") == (F.col("is_home") == "home_team")).cast("int"))
     wins = w.groupBy("team", "is_home").agg(F.sum("win").alias("n_wins"), F.count(F.lit(1)).alias("n_games"))
-    pct = wins.groupBy("team").agg(ratio_of_sums("n_wins", "n_games").alias("pct"))
+    # one row a team, used by both look-ups
+    pct = cut_lineage(wins.groupBy("team").agg(ratio_of_sums("n_wins", "n_games").alias("pct")), "win-percent")
     out = J.lookup_map(g, "away_team", pct, "team", "pct", "away_strength")
     out = J.lookup_map(out, "home_team", pct, "team", "pct", "home_strength")
     return out.select("l_orderkey", "l_linenumber", stable_round("away_strength", 9).alias("away_strength"),

@@ -133,6 +133,16 @@ def q_one_hot(spark, d):
     return C.one_hot(df, ["c_mktsegment"], drop_first=True)
 
 
+@register("one_hot_sparse", sql="""
+WITH c AS (SELECT p_name, row_number() OVER (ORDER BY p_name) - 1 AS code FROM (SELECT DISTINCT p_name FROM part WHERE p_name IS NOT NULL))
+SELECT p_partkey, p_name, (SELECT count(*) FROM c) AS size, code AS place, CASE WHEN code IS NULL THEN 0 ELSE 1 END AS total
+FROM part LEFT JOIN c USING (p_name)""")
+def q_one_hot_sparse(spark, d):
+    vectors, _ = C.one_hot_sparse(table(spark, d, "part", ["p_partkey", "p_name"]), "p_name", "v")
+    return vectors.select("p_partkey", "p_name", F.col("v.size").cast("bigint").alias("size"), F.get("v.indices", F.lit(0)).cast("bigint").alias("place"),
+                          F.size("v.values").alias("total"))
+
+
 @register("drop_empty_columns", sql="""
 SELECT date_trunc('hour', ts) AS hour,
   count(*) FILTER (WHERE event_type = 'click') AS click,

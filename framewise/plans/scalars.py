@@ -98,6 +98,23 @@ def q_parse_number_coerce(spark, d):
                     F.extract(F.lit("DAY"), td).cast("bigint").alias("lead_days"))
 
 
+@register("parse_interval", sql="""
+SELECT l_orderkey, l_linenumber, CASE l_linenumber
+    WHEN 1 THEN l_quantity::BIGINT * 86400000000 + 21600000000
+    WHEN 2 THEN -(l_quantity::BIGINT * 3600000000 + 1500000)
+    WHEN 3 THEN l_partkey * 60000000 + 7000000
+    WHEN 4 THEN -l_quantity::BIGINT * 86400000000 + 3600000000
+    WHEN 5 THEN l_quantity::BIGINT * 604800000000 + 250000 END AS micros FROM lineitem""")
+def q_parse_interval(spark, d):
+    """Durations written in five ways (and not at all) -> intervals, as microseconds."""
+    li = table(spark, d, "lineitem", ["l_orderkey", "l_linenumber", "l_quantity", "l_partkey"])
+    n, qty = F.col("l_linenumber"), F.col("l_quantity").cast("bigint")
+    text = (F.when(n == 1, F.concat(qty, F.lit(" days 06:00:00"))).when(n == 2, F.concat(F.lit("-"), qty, F.lit("h 1.5 s")))
+            .when(n == 3, F.concat("l_partkey", F.lit(" min, 7 seconds"))).when(n == 4, F.concat(F.lit("-"), qty, F.lit(" Days +1:00")))
+            .when(n == 5, F.concat(qty, F.lit("  weeks 250 ms"))).otherwise(F.lit("n/a")))
+    return li.select("l_orderkey", "l_linenumber", D.micros_of(D.to_timedelta(text)).alias("micros"))
+
+
 @register("date_parts", sql="""
 SELECT event_id, hour(ts)::BIGINT AS hour, dayofweek(ts)::BIGINT AS dow,
        (date_diff('microsecond', (SELECT min(ts) FROM events), ts) // 86400000000)::BIGINT AS days FROM events""")
