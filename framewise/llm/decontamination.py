@@ -30,7 +30,7 @@ from framewise.llm.text import require, row_key
 from framewise.session import cut_lineage
 
 GRAM = 2
-LEAST_WORDS = 3
+LEAST_WORDS = 1
 LEAST_SCORE = 0.5
 NEED = 3
 SLOTS = 1 << 22
@@ -54,13 +54,14 @@ def least_points(n_words: int, least_score: float) -> int:
     return math.ceil(n_words * least_score - 1e-9)
 
 
-def gram_sizes(least_score: float) -> list[int]:
-    """The sizes of the grams of items of any length: single words only where one matched word is enough."""
-    return [GRAM] if least_points(LEAST_WORDS, least_score) >= GRAM else [1, GRAM]
+def gram_sizes(items: DataFrame, least_score: float) -> list[int]:
+    """The sizes of the grams of the items at hand: single words only if there is an item of which one matched word is enough."""
+    shortest = items.agg(F.min("n_words")).first()[0]
+    return [GRAM] if shortest is None or least_points(shortest, least_score) >= GRAM else [1, GRAM]
 
 
-def _items(benchmark: DataFrame, id_col: str, text_col: str, least_score: float) -> DataFrame:
-    """(``item_id``, ``n_words``, ``sure``, ``words``, ``grams``) of the items of at least ``LEAST_WORDS`` words.
+def _items(benchmark: DataFrame, id_col: str, text_col: str, least_score: float, least_words: int) -> DataFrame:
+    """(``item_id``, ``n_words``, ``sure``, ``words``, ``grams``) of the items of at least ``least_words`` words.
 
     ``sure``: so many of the item's different grams stand in any copy that is reported. With
     scores 1, -1, -1 such a copy has p more matched words than edits (words replaced, put in or left out), p the least
@@ -85,7 +86,7 @@ def _items(benchmark: DataFrame, id_col: str, text_col: str, least_score: float)
                     names=["item_id", "n_words", "sure", "words", "grams"])
 
     rows = benchmark.select(F.col(id_col).alias("item_id"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(given_back(read), f"item_id {kind.simpleString()}, n_words int, sure int, words binary, grams array<long>").where(F.col("n_words") >= LEAST_WORDS)
+    return rows.mapInArrow(given_back(read), f"item_id {kind.simpleString()}, n_words int, sure int, words binary, grams array<long>").where(F.col("n_words") >= least_words)
 
 
 def filter_of(grams: DataFrame) -> np.ndarray:
@@ -194,23 +195,26 @@ def align(item: np.ndarray, passage: np.ndarray) -> tuple[int, int, int]:
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, least_score: float = LEAST_SCORE, id_col: str = "doc_id", text_col: str = "text",
-               item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
+               item_col: str = "item_id", item_text_col: str = "text", least_words: int = LEAST_WORDS) -> DataFrame:
     """(``doc_id``, ``rk``, ``item_id``, ``score``, ``first_word``, ``end_word``): documents that hold a copy of a test item.
 
     ``score`` is that of the best local alignment over the item's number of words (1: word for word), at
     least ``least_score`` (above 0); the words are counted from 0, the end excluded. ``rk`` is the row key of id and
-    text: rows that agree in both give one answer. NULL and empty texts hold nothing. Items of fewer than
-    ``LEAST_WORDS`` words are too short to be told from ordinary text and are not looked for; repeated items are
+    text: rows that agree in both give one answer. NULL and empty texts hold nothing. Items of any length
+    are looked for, as long as they hold a word; a caller whose short items can't be told from ordinary text leaves out those of
+    fewer than ``least_words`` words. An item of two words is found at 0.5 where one of them stands. Repeated items are
     reported under each of their ids. NULL ids stay NULL. Other columns are ignored; empty tables give an
     empty result."""
     require(docs, id_col, text_col)
     require(benchmark, item_col, item_text_col)
     if not least_score > 0:
         raise ValueError("least_score must be above 0: a score of 0 needs no common word")
-    sizes = gram_sizes(least_score)
-    items = cut_lineage(_items(benchmark, item_col, item_text_col, least_score).dropDuplicates(["item_id", "words"])
+    if least_words < 1:
+        raise ValueError("an item without words has no copies: least_words must be 1 or more")
+    items = cut_lineage(_items(benchmark, item_col, item_text_col, least_score, least_words).dropDuplicates(["item_id", "words"])
                         .withColumn("item", F.xxhash64("item_id", "words")), "leak-items")
     every = items.select(F.explode("grams").alias("gram"), F.lit(1).alias("mark"))
+    sizes = gram_sizes(items, least_score)
     counts = document_counts(docs, text_col, filter_of(every), sizes)
     seeds = cut_lineage(seeds_of(items.withColumn("item_id", F.col("item")), counts), "leak-seeds")
     longest = F.ceil(F.log2(F.col("n_words").cast("double"))) + 1
@@ -244,7 +248,8 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, least_score: float = LEAST
     return scored.withColumn("__n", F.row_number().over(best)).where("__n = 1").drop("__n")
 
 
-def drop_leaks(docs: DataFrame, benchmark: DataFrame, least_score: float = LEAST_SCORE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def drop_leaks(docs: DataFrame, benchmark: DataFrame, least_score: float = LEAST_SCORE, id_col: str = "doc_id", text_col: str = "text",
+               least_words: int = LEAST_WORDS) -> DataFrame:
     """The documents, all their columns, without those that hold a copy of a test item."""
-    leaks = cut_lineage(find_leaks(docs, benchmark, least_score, id_col, text_col).select(F.col("rk").alias("__rk")).distinct(), "leaks")
+    leaks = cut_lineage(find_leaks(docs, benchmark, least_score, id_col, text_col, least_words=least_words).select(F.col("rk").alias("__rk")).distinct(), "leaks")
     return docs.join(leaks, row_key(docs[id_col], docs[text_col]) == leaks["__rk"], "left_anti")

@@ -155,29 +155,42 @@ def vocabulary(rules: tuple[Rule, ...]) -> list[str]:
 def postings(docs: DataFrame, id_col: str, text_col: str, trigrams: list[str]) -> DataFrame:
     """(``trigram``, ``rk``): the documents whose text in lower case holds each of the given trigrams."""
     low = F.lower(F.col(text_col))
-    held = F.filter(F.array(*[F.when(F.contains(F.col("__low"), F.lit(t)), F.lit(i)) for i, t in enumerate(trigrams)]),
+    held = F.filter(F.array(*[F.when(F.contains(F.col("__low"), F.lit(t)), F.lit(i)) for i, t in enumerate(trigrams)]).cast("array<int>"),
                     lambda x: x.isNotNull())
     return (docs.select(row_key(F.col(id_col), F.col(text_col)).alias("rk"), low.alias("__low"))
             .select("rk", F.explode(held).alias("trigram")))
 
 
+MASK_BITS = 63
+
+
 def candidates(docs: DataFrame, rules: tuple[Rule, ...], id_col: str, text_col: str) -> DataFrame:
-    """(``rk``, ``__rules``): documents that satisfy the query of at least one rule, as a bit mask of rules."""
+    """(``rk``, ``__rules``): documents that satisfy the query of at least one rule, with the numbers of those rules.
+
+    Any number of trigrams: they are bits of as many longs as it takes, put together in one partial aggregation."""
     words = vocabulary(rules)
-    if len(words) > 63:
-        raise ValueError("the rules ask for more than 63 trigrams; scan them in several sets")
-    bit = {t: 1 << i for i, t in enumerate(words)}
-    bits = F.expr("shiftleft(1L, trigram)")
-    have = postings(docs, id_col, text_col, words).groupBy("rk").agg(F.bit_or(bits).alias("__have"))
-    mask = F.lit(0)
+    place = {t: divmod(i, MASK_BITS) for i, t in enumerate(words)}
+    n_masks = -(-len(words) // MASK_BITS)
+    here = [F.when(F.floor(F.col("trigram") / MASK_BITS) == m, F.expr(f"shiftleft(1L, trigram % {MASK_BITS})")).otherwise(F.lit(0).cast("long"))
+            for m in range(n_masks)]
+    have = (postings(docs, id_col, text_col, words).groupBy("rk")
+            .agg(F.count("*").alias("__n"), *[F.bit_or(bits).alias(f"__have{m}") for m, bits in enumerate(here)]))
+    held = []
     for n, r in enumerate(rules):
         if r.query != ANY:
             holds = F.lit(False)
             for clause in r.query:
-                want = F.lit(sum(bit[t] for t in clause))
-                holds = holds | (F.col("__have").bitwiseAND(want) == want)
-            mask = mask + F.when(holds, F.lit(1 << n)).otherwise(F.lit(0))
-    return have.select("rk", mask.alias("__rules")).where("__rules > 0")
+                masks: dict[int, int] = {}
+                for t in clause:
+                    m, bit = place[t]
+                    masks[m] = masks.get(m, 0) | 1 << bit
+                every = F.lit(True)
+                for m, mask in sorted(masks.items()):
+                    every = every & (F.col(f"__have{m}").bitwiseAND(F.lit(mask)) == F.lit(mask))
+                holds = holds | every
+            held.append(F.when(holds, F.lit(n)))
+    kept = F.array_compact(F.array(*held)) if held else F.array().cast("array<int>")
+    return have.select("rk", kept.alias("__rules")).where(F.size("__rules") > 0)
 
 
 def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -188,7 +201,7 @@ def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES, id_col: str = "doc_id
     require(docs, id_col, text_col)
     found = candidates(docs.select(id_col, text_col), rules, id_col, text_col)
     text = F.coalesce(F.col("__text"), F.lit(""))
-    spans = [F.when(F.lit(True) if r.query == ANY else F.coalesce(F.col("__rules").bitwiseAND(F.lit(1 << n)) > 0, F.lit(False)),
+    spans = [F.when(F.lit(True) if r.query == ANY else F.coalesce(F.array_contains("__rules", n), F.lit(False)),
                     _spans(text, r, n)).otherwise(F.array().cast("array<struct<start:int,kind:int,end:int>>"))
              for n, r in enumerate(rules)]
     return (docs.select(F.col(id_col), F.col(text_col).alias("__text"), row_key(F.col(id_col), F.col(text_col)).alias("rk"))

@@ -1,6 +1,7 @@
 """Each operator against brute force, on small, awkward and empty tables."""
 
 import random
+import re
 from collections import Counter
 
 import numpy as np
@@ -69,6 +70,19 @@ def test_line_runs_compact_and_find_new(spark):
 
 # secrets
 
+def test_many_rules_ask_for_any_number_of_trigrams(spark):
+    rng = random.Random(3)
+    names = ["".join(rng.choices("bcdfghjklmnpqrstvwxz", k=12)) for _ in range(100)]
+    rules = tuple(secret_scan.rule(f"r{i}", f"{n}_?[0-9]+") for i, n in enumerate(names))
+    assert len(secret_scan.vocabulary(rules)) > 400
+    texts = [f"{'text ' * (i % 7)}{names[i]}_{i}, {names[-1 - i]}7 {names[i].upper()}9 {names[i][:8]}5" for i in range(100)] + ["nothing"]
+    got = secret_scan.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), rules).collect()
+    for r in got:
+        text = texts[r["doc_id"]]
+        want = sorted((m.start(), i, m.end()) for i, n in enumerate(names) for m in re.finditer(f"{n}_?[0-9]+", text))
+        assert [tuple(x) for x in r["spans"]] == want
+
+
 def test_trigram_queries_are_sound():
     for r in secret_scan.RULES:
         assert (r.query == secret_scan.ANY) == (r.kind == "hex")
@@ -78,7 +92,6 @@ def test_trigram_queries_are_sound():
 
 
 def test_secrets_against_python(spark):
-    import re
     base = re.compile(r"""(?a:((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+))""")
     rng = random.Random(3)
     bits = ["password", " = ", "Api_KEY", ": '", "token=", "abcdefgh12", "short", "AKIA", "ABCDEF0123456789", "0123456789abcdef" * 2, "é", "漢", "\n",
@@ -311,6 +324,28 @@ def test_leaks_against_full_alignment(spark, least):
     assert {(r["doc_id"], r["item_id"]): r["score"] for r in decontamination.find_leaks(df, bench, least).collect()} == want
 
 
+def test_leaks_of_short_items(spark):
+    """Items of one and two words against full alignment, and left out where the caller says so."""
+    texts = ["a b c d", "x alpha y", "x alpha beta y", "beta, alpha", "ALPHA beta", "gamma", "", "omega " * 50 + "gamma"]
+    items = {1: "alpha beta", 2: "Gamma", 3: "no such words here", 4: "", 5: "- -"}
+    df = spark.createDataFrame([*enumerate(texts), (99, None)], "doc_id long, text string")
+    bench = spark.createDataFrame(list(items.items()), "item_id long, text string")
+    for least in (0.5, 1.0):
+        want = {}
+        for i, item in items.items():
+            t = re.findall("[a-z]+", item.lower())
+            for d, x in enumerate(texts):
+                p = re.findall("[a-z]+", x.lower())
+                if t and p and _slow_alignment(t, p) / len(t) >= least:
+                    want[d, i] = _slow_alignment(t, p) / len(t)
+        assert (2, 1) in want and (7, 2) in want
+        assert {(r["doc_id"], r["item_id"]): r["score"] for r in decontamination.find_leaks(df, bench, least).collect()} == want
+    assert {r["item_id"] for r in decontamination.find_leaks(df, bench, least_words=2).collect()} == {1}
+    assert decontamination.drop_leaks(df, bench, least_words=3).count() == len(texts) + 1
+    with pytest.raises(ValueError, match="1 or more"):
+        decontamination.find_leaks(df, bench, least_words=0)
+
+
 def test_leaks_need_a_score(spark):
     with pytest.raises(ValueError, match="above 0"):
         decontamination.find_leaks(empty(spark), empty(spark).select(F.col("doc_id").alias("item_id"), "text"), 0)
