@@ -47,17 +47,10 @@ def format_chats(spark, sf_dir):
                        F.char_length("formatted").cast("long").alias("formatted_chars"))
 
 
-#: Batches in which the query adds the documents to the runs, by their files.
-LINE_BATCHES = 4
-
-
 @register("op7_drop_common_lines", sql=lines.SQL)
 def drop_common_lines(spark, sf_dir):
     docs = table(spark, sf_dir, "documents", ["doc_id", "text"])
-    files = sorted(docs.inputFiles())
-    step = -(-len(files) // LINE_BATCHES)
-    batches = [spark.read.schema(docs.schema).parquet(*files[i:i + step]) for i in range(0, len(files), step)] or [docs]
-    done = lines.drop_common_lines(batches, docs)
+    done = lines.drop_common_lines(None, docs)
     return done.select("doc_id", F.size("lines").cast("long").alias("n_lines"),
                        (F.size("lines") - F.size("kept")).cast("long").alias("n_dropped"),
                        _sha(F.array_join("kept", "\n")).alias("kept_sha256"))

@@ -58,14 +58,38 @@ def test_lines_awkward(spark):
     assert lines.drop_common_lines([empty(spark)], empty(spark)).count() == 0
 
 
-def test_line_runs_compact_and_find_new(spark):
+def test_line_runs_compact_and_write_known_keys_once(spark):
     batch = lambda *texts: spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
     runs = lines.LineRuns(spark, fanout=2)
+    held = lambda: spark.read.parquet(*runs.runs())
     for i in range(5):
         runs.add(batch(f"common\nbatch {i}", "Common ", "ÉCOLE\nécole"))
     assert [len(x) for x in runs.levels] == [1, 0, 1]
     assert runs.frequent(10).count() == 1  # upper case outside A-Z is another key
-    assert runs.new_lines(batch("common\nnew\nbatch 3")).count() == 1
+    assert held().where("fresh").groupBy("h").count().where("count > 1").count() == 0
+    assert held().where("fresh").count() == 3 + 5
+    newest = spark.read.parquet(runs.levels[0][0])
+    assert newest.where("fresh").count() == 1  # "batch 4" alone: the three known keys only add their counts
+    assert sorted(r["n_docs"] for r in newest.where("not fresh").collect()) == [1, 1, 2]
+    merged = runs._merged(runs.runs())
+    assert sorted(r["n_docs"] for r in merged.collect()) == [1] * 5 + [5, 5, 10] and merged.where("not fresh").count() == 0
+
+
+def test_batches_of_files(spark, tmp_path):
+    path = str(tmp_path / "a table")
+    rows = [(i, f"line {i % 5}\nown {i}" if i % 9 else None) for i in range(300)]
+    spark.createDataFrame(rows, "doc_id long, text string").repartition(10).write.parquet(path)
+    docs = spark.read.parquet(path)
+    for batches in (lines.batches_of(docs), lines.batches_of(docs, most_bytes=1), lines.batches_of(docs, least_batches=1)):
+        assert sorted(r["doc_id"] for b in batches for r in b.collect()) == list(range(300))
+    assert len(lines.batches_of(docs)) == 4 and len(lines.batches_of(docs, most_bytes=1)) == 10 and len(lines.batches_of(docs, least_batches=1)) == 1
+    some = docs.where("doc_id < 40").select("doc_id", "text", F.lit("x").alias("_metadata"))
+    assert sorted(r["doc_id"] for b in lines.batches_of(some) for r in b.collect()) == list(range(40))
+    assert len(lines.batches_of(spark.createDataFrame(rows, "doc_id long, text string"))) == 1
+    with pytest.raises(ValueError):
+        lines.batches_of(docs, most_bytes=0)
+    whole = lambda batches: {(r["doc_id"], tuple(r["kept"])) for r in lines.drop_common_lines(batches, docs).collect()}
+    assert whole(None) == whole([docs]) == whole(lines.batches_of(docs, most_bytes=1))
 
 
 # secrets
