@@ -35,7 +35,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def drop_common_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts that lose no line stay as they are; the others get their new length. A text that loses all
     its lines is empty, but its document stays."""
-    done = lines.drop_common_lines([docs], docs, min_docs=LINE_DOCUMENTS, keep=COLUMNS)
+    done = lines.drop_common_lines(None, docs, min_docs=LINE_DOCUMENTS, keep=COLUMNS)
     lost = F.size("kept") < F.size("lines")
     text = F.when(lost, F.array_join("kept", "\n")).otherwise(F.col("text"))
     return (done.withColumns({"text": text, "n_chars": F.when(lost, F.char_length(F.array_join("kept", "\n")).cast("long")).otherwise(F.col("n_chars"))})
