@@ -10,7 +10,6 @@ from __future__ import annotations
 import html
 import io
 import itertools
-import os
 import re
 import uuid
 import zipfile
@@ -18,6 +17,8 @@ from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
 import pyarrow as pa
+from pyarrow import fs as pafs
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
@@ -78,29 +79,42 @@ def read_json_records(spark: SparkSession, path: str, schema: StructType | str,
 
 # ---------------------------------------------------------------- zipped CSV
 
+def file_system(path: str) -> tuple[pafs.FileSystem, str]:
+    """The file system of a path or URI as Spark writes it (``file:/a b``, ``hdfs://h/a``, ``s3a://b/a``; nothing is escaped) and the path on it.
+    Tasks open archives through it; ``hdfs`` needs Hadoop's client library on the executors."""
+    local = local_fs_path(path)
+    if local is not None:
+        return pafs.LocalFileSystem(), local
+    root, rest = re.fullmatch(r"(\w+://[^/]*)(.*)", re.sub(r"^s3[an]://", "s3://", path), re.DOTALL).groups()
+    fs, base = pafs.FileSystem.from_uri(root + "/")
+    return fs, base.rstrip("/") + rest
+
+
 def write_zipped_csv(df: DataFrame, folder: str, name: str = "part") -> DataFrame:
     """Write each partition as one zip archive holding one CSV (with header). Lazy like any
     DataFrame: run one action on the result (one row per archive) to write the files.
-    Needs a folder every executor can write with plain file I/O."""
-    local = local_fs_path(folder)
-    if local is None:
-        raise ValueError("zip archives are written with file I/O: give a mounted (file:) folder")
+
+    The folder is any that the executors reach, by path or URI. An archive is streamed to a name that starts
+    with an underscore, which readers skip, and moved when it is whole, to a name made of the partition's number: a task that
+    dies leaves nothing to read, and one that runs again takes its own archive's place. Empty partitions write none."""
     cols = df.columns
 
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        # Stream the partition batch by batch into the archive (never the whole partition in memory).
-        os.makedirs(local, exist_ok=True)
-        target = os.path.join(local, f"{name}-{uuid.uuid4().hex}.csv.zip")
+        fs, base = file_system(folder)
+        fs.create_dir(base, recursive=True)
+        part = TaskContext.get().partitionId()
+        target, growing = f"{base}/{name}-{part:06d}.csv.zip", f"{base}/_{name}-{uuid.uuid4().hex}"
         rows = 0
-        with zipfile.ZipFile(target, "w", compression=zipfile.ZIP_DEFLATED) as z:
-            with z.open(f"{name}.csv", "w") as out:
-                for i, b in enumerate(batches):
-                    out.write(b[cols].to_csv(index=False, header=(i == 0)).encode("utf-8"))
-                    rows += len(b)
-        if rows == 0:
-            os.remove(target)
-            return
-        yield pd.DataFrame({"path": [target], "rows": [rows]})
+        for first in batches:
+            if len(first):
+                with fs.open_output_stream(growing) as to, zipfile.ZipFile(to, "w", compression=zipfile.ZIP_DEFLATED) as z:
+                    with z.open(f"{name}.csv", "w", force_zip64=True) as out:
+                        for b in itertools.chain([first], batches):
+                            out.write(b[cols].to_csv(index=False, header=rows == 0).encode("utf-8"))
+                            rows += len(b)
+        if rows:
+            fs.move(growing, target)
+            yield pd.DataFrame({"path": [target], "rows": [rows]})
 
     return df.mapInPandas(write, "path string, rows long")
 
@@ -118,26 +132,37 @@ def csv_records(lines: Iterator[str]) -> Iterator[str]:
 
 
 def read_zipped_csv(spark: SparkSession, pattern: str, schema: StructType | str, header: bool = True) -> DataFrame:
-    """Zip archives each holding one CSV -> rows. An archive is not splittable, so each is
-    one task: the task unzips to text lines (Python), and the JVM parses the lines with
-    ``from_csv`` against the declared schema."""
-    raw = spark.read.format("binaryFile").load(pattern).select("path", "content")
+    """Zip archives of CSV files -> rows, with their archive's ``path``.
+
+    Spark lists the archives, without their content; a first pass reads their central directories, at the
+    end of each, and deals the members found there to tasks of their own. A task seeks to its member and streams it in blocks
+    of 10,000 records, whatever its size; the JVM parses them with ``from_csv`` against the declared schema.
+    A single member is not splittable. Folders and empty members give no rows."""
+    archives = spark.read.format("binaryFile").load(pattern).select("path")
+
+    def directory(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            for path in b["path"]:
+                fs, at = file_system(path)
+                with fs.open_input_file(at) as f, zipfile.ZipFile(f) as z:
+                    yield pd.DataFrame({"path": path, "member": [i for i, m in enumerate(z.infolist()) if not m.is_dir() and m.file_size]})
 
     def lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            for path, content in zip(b["path"], b["content"]):
-                with zipfile.ZipFile(io.BytesIO(content)) as z:
-                    for member in z.namelist():
-                        with z.open(member) as f:
-                            records = csv_records(io.TextIOWrapper(f, "utf-8", newline="\n"))
-                            if header:
-                                next(records, None)
-                            while some := list(itertools.islice(records, 10_000)):
-                                yield pd.DataFrame({"path": path, "line": some})
+            for path, member in zip(b["path"], b["member"], strict=True):
+                fs, at = file_system(path)
+                with fs.open_input_file(at) as f, zipfile.ZipFile(f) as z, z.open(z.infolist()[member]) as m:
+                    records = csv_records(io.TextIOWrapper(m, "utf-8", newline="\n"))
+                    if header:
+                        next(records, None)
+                    while some := list(itertools.islice(records, 10_000)):
+                        yield pd.DataFrame({"path": path, "line": some})
 
     ddl = schema if isinstance(schema, str) else schema.simpleString()[len("struct<"):-1].replace(":", " ")
-    parsed = raw.mapInPandas(lines, "path string, line string").select(
-        "path", F.from_csv(F.col("line"), ddl).alias("r"))
+    # a given number of partitions, as these few bytes would be coalesced into one task
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    members = archives.mapInPandas(directory, "path string, member int").repartition(tasks, "path", "member")
+    parsed = members.mapInPandas(lines, "path string, line string").select("path", F.from_csv(F.col("line"), ddl).alias("r"))
     return parsed.select("r.*", "path")
 
 

@@ -1,6 +1,7 @@
 """User functions in Arrow batches, step logs, zipped records, forward fill, published counts."""
 
 import io
+import zipfile
 
 import numpy as np
 import pandas as pd
@@ -65,6 +66,33 @@ def test_zipped_records_keep_quoted_newlines(spark, tmp_path):
     assert sorted(got)[1] == rows[1] and sorted(got)[0].i == 1 and "two\nlines" in sorted(got)[0].s
 
 
+def test_zip_members_are_tasks_of_their_own(spark, tmp_path):
+    folder = tmp_path / "in é a%20b"
+    folder.mkdir()
+    for a in range(2):
+        with zipfile.ZipFile(folder / f"{a}.zip", "w", zipfile.ZIP_DEFLATED) as z:
+            z.mkdir("sub")
+            z.writestr("empty.csv", "")
+            z.writestr("header.csv", "i,s\n")
+            for m in range(30):
+                z.writestr(f"sub/{m}.csv", "i,s\n" + "".join(f"{a * 100_000 + m * 1000 + i},é{i}\n" for i in range(1000)))
+    got = read_zipped_csv(spark, str(folder).replace("%", "[%]"), "i INT, s STRING").withColumn("task", F.spark_partition_id())
+    assert sorted(r["i"] for r in got.collect()) == [a * 100_000 + i for a in range(2) for i in range(30_000)]
+    assert got.where("path like '%0.zip'").select("task").distinct().count() > 1
+
+
+def test_zip_archives_of_a_task_that_ran_before(spark, tmp_path):
+    """A task's second run takes its archive's place; what a dead task left is not read."""
+    folder = f"file://{tmp_path}/out"
+    df = spark.range(0, 1000, 1, 4).where("id >= 250").withColumn("s", F.lit("x"))
+    for _ in range(2):
+        done = write_zipped_csv(df, folder).collect()
+        assert sum(r["rows"] for r in done) == 750 and len(done) == 3
+    (tmp_path / "out" / "_part-dead").write_bytes(b"PK half an archive")
+    assert len(list((tmp_path / "out").glob("*.csv.zip"))) == 3
+    assert sorted(r["id"] for r in read_zipped_csv(spark, folder, "id BIGINT, s STRING").collect()) == list(range(250, 1000))
+
+
 def test_trees_deeper_than_sparks_are_refused(spark):
     with pytest.raises(ValueError, match="30"):
         forest_grid_search(spark.createDataFrame([(0, "a", 1.0)], "y int, g string, x double"), "y", ["g"], ["x"], max_depth=[40])
