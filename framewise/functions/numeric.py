@@ -47,3 +47,20 @@ def stable_round(x, digits: int = 6) -> Column:
 def stable_round_sql(expr: str, digits: int = 6) -> str:
     """The same normalisation written as SQL text (for the oracle queries)."""
     return f"round(({expr}) + {tie_offset(digits)!r}, {digits})"
+
+
+def random_bits(seed: str, *keys) -> Column:
+    """32 random bits for each row, by the digest of its keys and ``seed``: the same on every run, for any partitioning
+    of the table and after a task runs again, unlike ``rand``. NULL keys are empty text; equal keys draw equal bits."""
+    text = F.concat_ws("|", *[F.coalesce(_c(k).cast("string"), F.lit("")) for k in keys], F.lit(seed))
+    return F.conv(F.substring(F.md5(text.cast("binary")), 1, 8), 16, 10).cast("long")
+
+
+def random_uniform(seed: str, *keys) -> Column:
+    """Uniform in the open interval from 0 to 1, by ``random_bits``."""
+    return (random_bits(seed, *keys) + 0.5) / 2.0 ** 32
+
+
+def random_normal(seed: str, *keys) -> Column:
+    """Standard normal: the radius from one uniform value, the angle from another."""
+    return F.sqrt(-2 * F.log(random_uniform(f"{seed}-radius", *keys))) * F.cos(2 * F.pi() * random_uniform(f"{seed}-angle", *keys))

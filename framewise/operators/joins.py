@@ -11,6 +11,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from framewise.session import cut_lineage
+
+#: A key is hot only above so many rows: below, splitting it gains nothing.
+HOT_ROWS = 100_000
+
 
 def join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner",
          null_safe: bool = False) -> DataFrame:
@@ -36,11 +41,65 @@ def join_small(fact: DataFrame, dim: DataFrame, on: Sequence[str] | Column, how:
     return fact.join(dim, on, how)
 
 
+def hot_keys(left: DataFrame, right: DataFrame, on: Sequence[str], partitions: int, least: int = HOT_ROWS) -> DataFrame:
+    """Keys that hold more rows of a side than an even share of it, and more than ``least``:
+    (keys, ``_fw_a``, ``_fw_b``, ``_fw_met``): into how many parts each side's rows are dealt, and whether both sides
+    hold the key (NULL keys never meet). A side has fewer than ``partitions`` such keys, so the table is small."""
+    on = list(on)
+    sides = [df.select(*on, F.lit(x).alias("_fw_l"), F.lit(1 - x).alias("_fw_r")) for df, x in ((left, 1), (right, 0))]
+    counts = cut_lineage(sides[0].unionByName(sides[1]).groupBy(*on).agg(
+        F.sum("_fw_l").alias("_fw_l"), F.sum("_fw_r").alias("_fw_r")), "join-keys")
+    all_l, all_r = counts.agg(F.sum("_fw_l"), F.sum("_fw_r")).first()
+    share_l, share_r = (max(least, -(-(n or 0) // partitions)) for n in (all_l, all_r))
+    known = F.lit(True)
+    for k in on:
+        known = known & F.col(k).isNotNull()
+    return (counts.where((F.col("_fw_l") > share_l) | (F.col("_fw_r") > share_r))
+            .select(*on, F.greatest(F.lit(1), F.ceil(F.col("_fw_l") / share_l)).cast("int").alias("_fw_a"),
+                    F.greatest(F.lit(1), F.ceil(F.col("_fw_r") / share_r)).cast("int").alias("_fw_b"),
+                    (known & (F.col("_fw_l") > 0) & (F.col("_fw_r") > 0)).alias("_fw_met")))
+
+
+def _dealt(df: DataFrame, hot: DataFrame, on: Sequence[str], own: str, other: str, side: str) -> DataFrame:
+    """Each row with its cell (``_fw_i``, ``_fw_j``): ``own`` by a hash of the row and of its input partition, which a
+    task that runs again finds unchanged; rows of a key that both sides hold are copied along ``other``."""
+    cond = None
+    for k in on:
+        c = F.col(f"l.{k}").eqNullSafe(F.col(f"h.{k}"))
+        cond = c if cond is None else cond & c
+    size, copies = ("_fw_a", "_fw_b") if side == "left" else ("_fw_b", "_fw_a")
+    row = df.withColumn("_fw_h", F.xxhash64(*df.columns, F.spark_partition_id()))
+    place = F.pmod("_fw_h", F.coalesce(F.col(f"h.{size}"), F.lit(1))).cast("int")
+    met = F.coalesce(F.col("h._fw_met"), F.lit(False))
+    last = F.when(met, F.col(f"h.{copies}") - 1).otherwise(F.lit(0))
+    return (row.alias("l").join(F.broadcast(hot).alias("h"), cond, "left")
+            .select(*[F.col(f"l.{c}") for c in df.columns], met.alias(f"_fw_met_{side}"), F.lit(True).alias(f"_fw_{side}"),
+                    place.alias(own), F.explode(F.sequence(F.lit(0), last)).alias(other)))
+
+
 def join_repartitioned(left: DataFrame, right: DataFrame, on: Sequence[str], partitions: int,
-                       how: str = "inner") -> DataFrame:
+                       how: str = "inner", least: int = HOT_ROWS) -> DataFrame:
     """Hash-partition both sides on the key once; the join then reuses that partitioning
-    (no further exchange) -- the layout to keep when several joins/aggregations share a key."""
-    return left.repartition(partitions, *on).join(right.repartition(partitions, *on), list(on), how)
+    (no further exchange) -- the layout to keep when several joins/aggregations share a key.
+
+    A partitioning asked for by number is not re-planned at run time, so hot keys are found first, by exact counts of
+    the keys alone. If there are any, their left rows are dealt to ``a`` rows of a grid and copied to its ``b`` columns,
+    their right rows the other way round: each pair of rows meets in one cell, and no cell holds more than about an
+    even share of either side. Rows that the key has on one side alone are dealt without copies, so outer joins keep
+    each once; NULL keys match nothing. ``how``: inner, left, right or full."""
+    on = list(on)
+    if how not in ("inner", "left", "right", "full"):
+        raise ValueError(f"how={how!r}: inner, left, right or full")
+    hot = hot_keys(left, right, on, partitions, least)
+    if hot.isEmpty():
+        return left.repartition(partitions, *on).join(right.repartition(partitions, *on), on, how)
+    cell = [*on, "_fw_i", "_fw_j"]
+    a = _dealt(left, hot, on, "_fw_i", "_fw_j", "left").repartition(partitions, *cell)
+    b = _dealt(right, hot, on, "_fw_j", "_fw_i", "right").repartition(partitions, *cell)
+    both = F.col("_fw_left").isNotNull() & F.col("_fw_right").isNotNull()
+    spare = F.coalesce("_fw_met_left", "_fw_met_right")  # a copy in a cell where the other side has no row
+    return (a.join(b, cell, how).where(both | ~spare)
+            .drop("_fw_i", "_fw_j", "_fw_left", "_fw_right", "_fw_met_left", "_fw_met_right"))
 
 
 def assert_unique(df: DataFrame, key: Sequence[str]) -> DataFrame:

@@ -2,8 +2,10 @@
 
 Preparation mirrors ``get_dummies(drop_first)`` + ``fillna(median)``: string columns are
 indexed and one-hot encoded (one level dropped), numeric columns get their median
-(``Imputer``). Every model is trained by Spark on the whole table; ``CrossValidator``
-fits several settings at once (``parallelism``). sklearn's ``min_samples_leaf`` maps to
+(``Imputer``), once for the whole table and outside the folds, like a frame prepared before the
+search; the vectors are written and all fits read them. Every model is trained by Spark on the whole
+table; ``CrossValidator`` fits several settings at once (``parallelism``) and keeps none of them: the driver
+holds ``parallelism`` forests at a time. sklearn's ``min_samples_leaf`` maps to
 ``minInstancesPerNode``; ``min_samples_split`` has no counterpart. Spark trees stop at
 depth 30; deeper settings are refused.
 """
@@ -15,12 +17,14 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from framewise.session import cut_lineage
+
 MAX_SPARK_DEPTH = 30
 
 
 def forest_grid_search(df: DataFrame, label: str, categorical: Sequence[str], numeric: Sequence[str],
                        max_depth: Sequence[int] = (1, 2, 5, 10, 20, 30), min_leaf: Sequence[int] = (2, 3, 5),
-                       folds: int = 5, num_trees: int = 20, seed: int = 42, parallelism: int = 4) -> DataFrame:
+                       folds: int = 5, num_trees: int = 20, seed: int = 42, parallelism: int = 2) -> DataFrame:
     """Mean and std of the cross-validated accuracy per setting:
     (param_max_depth, param_min_samples_leaf, mean_test_score, std_test_score, rank_test_score)."""
     from pyspark.ml import Pipeline
@@ -40,10 +44,12 @@ def forest_grid_search(df: DataFrame, label: str, categorical: Sequence[str], nu
     if max(max_depth) > MAX_SPARK_DEPTH:
         raise ValueError(f"Spark trees stop at depth {MAX_SPARK_DEPTH}")
     grid = ParamGridBuilder().addGrid(rf.maxDepth, list(max_depth)).addGrid(rf.minInstancesPerNode, list(min_leaf)).build()
-    cv = CrossValidator(estimator=Pipeline(stages=[idx, ohe, imp, vec, rf]), estimatorParamMaps=grid,
+    prepared = Pipeline(stages=[idx, ohe, imp, vec]).fit(data).transform(data)
+    ready = cut_lineage(prepared.select("_label", "_features"), "forest-features")
+    cv = CrossValidator(estimator=rf, estimatorParamMaps=grid,
                         evaluator=MulticlassClassificationEvaluator(labelCol="_label", metricName="accuracy"),
                         numFolds=folds, seed=seed, parallelism=parallelism)
-    model = cv.fit(data)
+    model = cv.fit(ready)
     rows = [(int(pm[rf.maxDepth]), int(pm[rf.minInstancesPerNode]), float(m), float(s))
             for pm, m, s in zip(grid, model.avgMetrics, model.stdMetrics)]
     out = df.sparkSession.createDataFrame(rows, "param_max_depth long, param_min_samples_leaf long, "

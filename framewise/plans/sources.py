@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from framewise.functions.numeric import stable_round
+from framewise.functions.numeric import random_bits, random_normal, stable_round
 from framewise.operators import joins as J
 from framewise.plans.registry import register
 from framewise.session import scratch_path
@@ -145,17 +145,28 @@ def q_literal_table(spark, d):
     return o.join(F.broadcast(names), "o_orderstatus").groupBy("o_orderstatus", "status_name").agg(F.count(F.lit(1)).alias("n"))
 
 
-@register("synthetic_table")
+def _bits_sql(seed: str) -> str:
+    return f"('0x' || substr(md5(l_orderkey || '|' || l_linenumber || '|{seed}'), 1, 8))::BIGINT"
+
+
+@register("synthetic_table", sql=f"""
+SELECT {_bits_sql('42-name')} % 1000 AS name,
+  TIMESTAMP '2001-01-01' + to_milliseconds({_bits_sql('42-stamp')} % 86400000) AS stamp,
+  {_bits_sql('42-value')} % 1000000 AS value,
+  round(sqrt(-2 * ln(({_bits_sql('42-value2-radius')} + 0.5::DOUBLE) / 4294967296)) *
+    cos(2 * pi() * ({_bits_sql('42-value2-angle')} + 0.5::DOUBLE) / 4294967296) + 5.123e-10, 6) AS value2
+FROM lineitem""")
 def q_synthetic_table(spark, d, groups: int = 1000, seed: int = 42):
-    """Random frame shaped like the reference's benchmark input, one row per lineitem:
-    group id, millisecond timestamps, integer and normal values. Random -> rows-only check."""
+    """Random frame, one row per lineitem: group id, millisecond timestamps, integer and normal values, all drawn by
+    the digest of the row's key, so that reruns and other partitionings give the same table."""
     li = table(spark, d, "lineitem", ["l_orderkey", "l_linenumber"])
-    key = F.xxhash64("l_orderkey", "l_linenumber")
-    return li.select(F.pmod(key, F.lit(groups)).alias("name"),
-                     (F.lit("2001-01-01").cast("timestamp") + F.make_dt_interval(
-                         F.lit(0), F.lit(0), F.lit(0), (F.pmod(key, F.lit(86_400_000)) / 1000).cast("decimal(18,6)"))).alias("stamp"),
-                     F.pmod(F.xxhash64(F.lit(seed), key), F.lit(1_000_000)).alias("value"),
-                     F.randn(seed).alias("value2"))
+    bits = lambda column: random_bits(f"{seed}-{column}", "l_orderkey", "l_linenumber")
+    day = F.lit("2001-01-01").cast("timestamp_ntz")
+    second = (bits("stamp") % 86_400_000 / 1000).cast("decimal(18,6)")
+    return li.select((bits("name") % groups).alias("name"),
+                     (day + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), second)).alias("stamp"),
+                     (bits("value") % 1_000_000).alias("value"),
+                     stable_round(random_normal(f"{seed}-value2", "l_orderkey", "l_linenumber")).alias("value2"))
 
 
 @register("table_profile", sql=" UNION ALL ".join(
