@@ -47,6 +47,7 @@ BLOCK_ROWS = 1 << 15
 BLOCK_BYTES = 1 << 20
 SMALL_GROUP = 64
 MEMBER_BLOCK = 512
+PARTNERS = 512
 RANGES = 64
 
 
@@ -132,12 +133,12 @@ def _packed(docs: DataFrame, id_col: str, text_col: str, n: int, parts: int) ->
                     told = h[at][count >= COMMON]  # these are sent on as one count each
                     rest, rest_doc = h[~common], d[~common]
                     owner = lambda x: ((x >> np.uint64(16)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
-                    cut, cut_told = (np.searchsorted(owner(x), np.arange(parts + 1)) for x in (rest, told))
-                    for p in range(parts):
-                        a, b, x, y = cut[p], cut[p + 1], cut_told[p], cut_told[p + 1]
-                        if b > a or y > x:
-                            rows.append({"part": p, "block": block, "n_common": int(y - x), "tokens": pack(np.concatenate([told[x:y], rest[a:b]])),
-                                         "docs": rest_doc[a:b].tobytes()})
+                    in_rest, in_told = owner(rest), owner(told)
+                    here = np.union1d(in_rest, in_told)  # only the parts that occur, however many there are
+                    spans = [np.searchsorted(x, here, side) for x in (in_rest, in_told) for side in ("left", "right")]
+                    for p, a, b, x, y in zip(here.tolist(), *(e.tolist() for e in spans), strict=True):
+                        rows.append({"part": p, "block": block, "n_common": y - x, "tokens": pack(np.concatenate([told[x:y], rest[a:b]])),
+                                     "docs": rest_doc[a:b].tobytes()})
                     yield pa.RecordBatch.from_pylist(rows, schema=schema)
 
     rows = docs.select(F.col(id_col).alias("doc_id"), row_key(F.col(id_col), F.col(text_col)).alias("rk"), F.col(text_col).alias("text"))
@@ -246,12 +247,17 @@ def _may_link(a: str, b: str, percent: int):
 
 
 def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (``u``, ``v``) that link. Sets travel to the pairs' first members once for each pair."""
-    there = pairs.join(sets.select(F.col("rep").alias("v"), "n", "tokens"), "v").select(F.col("u").alias("rep"), "v", "n", "tokens")
-    own = sets.join(pairs.select(F.col("u").alias("rep")).distinct(), "rep", "left_semi").select("rep", F.lit(None).cast("long").alias("v"), "n", "tokens")
+    """The pairs (``u``, ``v``) that link. Sets travel to the pairs' first members once for each pair; the partners of
+    a first member are dealt to cells of about ``PARTNERS``, each with a copy of its set."""
+    cells = pairs.groupBy(F.col("u").alias("rep")).agg(F.ceil(F.count("*") / PARTNERS).cast("int").alias("cells"))
+    many = cells.where("cells > 1").withColumnRenamed("rep", "u")
+    dealt = pairs.join(many, "u", "left").withColumn("cell", F.pmod(F.xxhash64("v"), F.coalesce("cells", F.lit(1))).cast("int")).drop("cells")
+    there = dealt.join(sets.select(F.col("rep").alias("v"), "n", "tokens"), "v").select(F.col("u").alias("rep"), "cell", "v", "n", "tokens")
+    own = (sets.join(cells, "rep").withColumn("cell", F.explode(F.sequence(F.lit(0), F.col("cells") - 1)))
+           .select("rep", "cell", F.lit(None).cast("long").alias("v"), "n", "tokens"))
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows come sorted by first member, its own set before those it is compared with."""
+        """Rows come sorted by first member and cell, its own set before those it is compared with."""
         now, n_now, mine, spread = None, 0, np.zeros(0, np.uint64), np.zeros(0, np.int64)
         for b in batches:
             u, v = [], []
@@ -273,8 +279,8 @@ def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                     v.append(other)
             yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], names=["u", "v"])
 
-    return (own.unionByName(there).repartition("rep").sortWithinPartitions("rep", F.col("v").isNotNull())
-            .mapInArrow(given_back(check), "u long, v long"))
+    return (own.unionByName(there).repartition("rep", "cell").sortWithinPartitions("rep", "cell", F.col("v").isNotNull())
+            .select("rep", "v", "n", "tokens").mapInArrow(given_back(check), "u long, v long"))
 
 
 def _spread(tokens: np.ndarray) -> np.ndarray:
