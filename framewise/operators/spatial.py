@@ -5,7 +5,8 @@ poles nor the date line are special. A query meets the places of its cell and th
 lies outside that ring is farther than a cell's side as the crow flies through the sphere; so a query whose k-th
 best is nearer is done, and the others go on with cells of twice the side, until a ring holds the whole sphere.
 Crowded regions set the first level: no cell holds more than ``CELL_PLACES`` places there, if places differ enough. Points at
-one place are one place, with the ids that can be in an answer.
+one place are one place, with the ids that can be in an answer. The queries of a round are dealt to so many tasks that each
+meets some ``MET_ROWS`` places, counted by cells beforehand: a small file of queries can meet many.
 """
 
 from __future__ import annotations
@@ -19,6 +20,7 @@ from framewise.functions.numeric import EARTH_RADIUS_KM, great_circle
 from framewise.session import cut_lineage
 
 CELL_PLACES = 256
+MET_ROWS = 500_000   # pairs of query and place that a task compares
 FINEST = 24   # cells of some 0.4 m on the earth
 WHOLE = -1    # cells of side 2: a ring is everything
 
@@ -35,6 +37,20 @@ def _cell(level: int) -> list[Column]:
     return [F.floor((F.col(c) + 1) * 2.0 ** level).cast("int").alias(f"c{c}") for c in "xyz"]
 
 
+def _ring(df: DataFrame) -> DataFrame:
+    """Each row once for its cell and the 26 around it."""
+    for c in "xyz":
+        df = df.withColumn("step", F.explode(F.array(*[F.lit(i) for i in (-1, 0, 1)]))).withColumn(f"c{c}", F.col(f"c{c}") + F.col("step")).drop("step")
+    return df
+
+
+def _met_rows(asking: DataFrame, places: DataFrame, level: int) -> int:
+    """Pairs of query and place that a round at ``level`` compares, from counts by cell."""
+    ask = _ring(asking.groupBy(*_cell(level)).agg(F.count("*").alias("asking"))).groupBy("cx", "cy", "cz").agg(F.sum("asking").alias("asking"))
+    there = places.groupBy(*_cell(level)).agg(F.count("*").alias("there"))
+    return int(ask.join(there, ["cx", "cy", "cz"]).agg(F.sum(F.col("asking") * F.col("there").cast("double"))).first()[0] or 0)
+
+
 def nearest_places(queries: DataFrame, points: DataFrame, k: int = 1, query: tuple[str, str, str] = ("id", "lat", "lon"),
                    point: tuple[str, str, str] = ("id", "lat", "lon"), radius: float = EARTH_RADIUS_KM, digits: int = 6,
                    cell_places: int = CELL_PLACES) -> DataFrame:
@@ -56,12 +72,10 @@ def nearest_places(queries: DataFrame, points: DataFrame, k: int = 1, query: tup
     pending = cut_lineage(_located(queries, *query).dropDuplicates(["id", "lat", "lon"]).withColumnsRenamed(
         {c: f"q_{c}" for c in ("id", "lat", "lon")}), "asking")
     who = ["q_id", "q_lat", "q_lon"]
-    ring = F.array(*[F.lit(i) for i in (-1, 0, 1)])
     done = None
     while True:
-        asked = pending.select(*who, "x", "y", "z", *_cell(level))
-        for c in "xyz":
-            asked = asked.withColumn("step", F.explode(ring)).withColumn(f"c{c}", F.col(f"c{c}") + F.col("step")).drop("step")
+        tasks = max(1, math.ceil(_met_rows(pending, places, level) / MET_ROWS))
+        asked = _ring(pending.repartition(tasks, *who).select(*who, *_cell(level)))
         distance = F.round(great_circle("q_lat", "q_lon", "lat", "lon", radius), digits)
         met = (asked.select(*who, "cx", "cy", "cz").join(places.select("lat", "lon", "ids", *_cell(level)), ["cx", "cy", "cz"])
                .select(*who, "ids", distance.alias("distance")))

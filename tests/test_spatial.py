@@ -1,6 +1,7 @@
 """Nearest places against all distances."""
 
 import math
+import re
 
 import numpy as np
 import pytest
@@ -51,3 +52,20 @@ def test_ties_repeats_nulls_and_few_points(spark):
     same(run(spark, [*queries, (3, None, 1.0)], points, 3), brute(queries[1:], fit, 3))
     same(run(spark, queries, points, 50), brute(queries[1:], fit, 50))
     assert run(spark, queries, [], 2) == [] and run(spark, [], points, 2) == []
+
+
+def test_queries_of_one_file_are_dealt_to_tasks(spark, monkeypatch):
+    tasks, cut = [], spatial.cut_lineage
+
+    def kept(df, name="cut"):
+        if name == "nearest":
+            plan = df._jdf.queryExecution().executedPlan().toString()
+            tasks.append(max(map(int, re.findall(r"hashpartitioning\(q_id.*?, (\d+)\), REPARTITION_BY_NUM", plan)), default=1))
+        return cut(df, name)
+
+    monkeypatch.setattr(spatial, "cut_lineage", kept)
+    monkeypatch.setattr(spatial, "MET_ROWS", 1000, raising=False)
+    rng = np.random.default_rng(4)
+    points, queries = ([(i, float(a), float(b)) for i, (a, b) in enumerate(np.column_stack([rng.uniform(-90, 90, n), rng.uniform(-180, 180, n)]))] for n in (100, 400))
+    same(run(spark, queries, points, 3), brute(queries, points, 3))
+    assert tasks[0] >= 5  # a query meets 20 to 30 places there: some 10 rounds of MET_ROWS
