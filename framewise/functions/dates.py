@@ -43,6 +43,9 @@ DURATION_UNITS = [
     (("milliseconds", "millisecond", "millis", "milli", "ms"), 1_000), (("microseconds", "microsecond", "micros", "micro", "us"), 1)]
 
 
+MARK = "\x01"   # between the fields of a duration; a text that has it is none
+
+
 def to_timedelta(text) -> Column:
     """``to_timedelta(errors="coerce")`` of text: numbers with units (``1 day 2.5 hours``, ``3d4h``, ``-2 weeks``), a clock
     (``6:05``, ``30:00:01.5``), or days and a clock (``1 days 06:00:00``), as a day-time interval.
@@ -51,33 +54,32 @@ def to_timedelta(text) -> Column:
     matter. NULL for NULL, anything else (a number without a unit too), and durations beyond 10^12 seconds. Below a
     microsecond digits are rounded."""
     names = sorted((n for unit, _ in DURATION_UNITS for n in unit), key=len, reverse=True)
-    either = "|".join(names)
-    part = rf"(\d+(?:\.\d+)?)\s*({either})(?![a-z])"
-    clock = r"([+-]?)\s*(\d+):([0-5]?\d)(?::([0-5]?\d(?:\.\d+)?))?"
-    t = F.lower(F.trim(F.regexp_replace(_c(text), r"\s+", " ")))
-    valid = t.rlike(rf"^[+-]?\s*(?:\d+(?:\.\d+)?\s*(?:{either})(?![a-z])[ ,]*)*(?:{clock})?$") & t.rlike(r"\d")
+    part = rf"\d++(?:\.\d++)?\s*+(?:{'|'.join(names)})(?![a-z])[\s,]*+"
+    clock = r"([+-]?)\s*+(\d++):([0-5]?\d)(?::([0-5]?\d(?:\.\d++)?))?"
+    # One match takes the text apart, into fields between marks; what doesn't match stays as it is and has one field at most.
+    whole = rf"^(?=\D*+\d)\s*+([+-]?)\s*+((?:{part})*+)(?:{clock})?[\x85\u2028\u2029]?+\s*+\z"
+    text = F.lower(_c(text))
+    fields = F.split(F.when(~F.contains(text, F.lit(MARK)), F.regexp_replace(text, whole, MARK.join(["", *[f"${i}" for i in range(1, 7)], ""]))), MARK)
     micros = F.create_map(*[F.lit(x) for unit, us in DURATION_UNITS for n in unit for x in (n, us)])
-    amounts = F.regexp_extract_all(t, F.lit(part), 1), F.regexp_extract_all(t, F.lit(part), 2)
-    units = F.aggregate(F.arrays_zip(amounts[0].alias("n"), amounts[1].alias("u")), F.lit(0).cast("decimal(38,6)"),
-                        lambda acc, p: (acc + p["n"].try_cast("decimal(24,9)") * micros[p["u"]]).cast("decimal(38,6)"))
 
-    def group(i: int) -> Column:
-        return F.coalesce(F.regexp_extract(t, clock + "$", i).try_cast("decimal(20,9)"), F.lit(0))
-    has_clock = t.rlike(clock + "$")
-    of_clock = F.when(has_clock, group(2) * 3_600_000_000 + group(3) * 60_000_000 + group(4) * 1_000_000).otherwise(F.lit(0))
-    lead, own = F.regexp_extract(t, "^[+-]?", 0), F.regexp_extract(t, clock + "$", 1)
-    sign = F.when(lead == "-", -1).otherwise(1)
-    clock_sign = F.when(own == "", sign).otherwise(F.when(own == "-", -1).otherwise(1))
-    seconds = ((sign * units + clock_sign * of_clock) / 1_000_000).try_cast("decimal(18,6)")
-    return F.when(valid, F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), seconds))
+    def interval(found: Column) -> Column:
+        lead, units, own, *times = [F.get(found, F.lit(i)) for i in range(1, 7)]
+        amounts = F.regexp_extract_all(units, F.lit(r"[0-9.]+"), F.lit(0)), F.regexp_extract_all(units, F.lit("[a-z]+"), F.lit(0))
+        of_units = F.aggregate(F.arrays_zip(amounts[0].alias("n"), amounts[1].alias("u")), F.lit(0).cast("decimal(38,6)"),
+                               lambda acc, p: (acc + p["n"].try_cast("decimal(24,9)") * micros[p["u"]]).cast("decimal(38,6)"))
+        hour, minute, second = [F.coalesce(t.try_cast("decimal(20,9)"), F.lit(0)) for t in times]
+        of_clock = F.when(times[0] == "", F.lit(0)).otherwise(hour * 3_600_000_000 + minute * 60_000_000 + second * 1_000_000)
+        sign = F.when(lead == "-", -1).otherwise(1)
+        clock_sign = F.when(own == "", sign).otherwise(F.when(own == "-", -1).otherwise(1))
+        seconds = ((sign * of_units + clock_sign * of_clock) / 1_000_000).try_cast("decimal(18,6)")
+        return F.when(F.size(found) > 1, F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), seconds))
+    # A function of an element: the fields are found once, however often they are named.
+    return F.transform(F.array(fields), interval)[0]
 
 
 def micros_of(interval) -> Column:
     """A day-time interval as whole microseconds."""
-    c = _c(interval)
-    day, hour, minute = (F.extract(F.lit(u), c).cast("bigint") for u in ("DAY", "HOUR", "MINUTE"))
-    seconds = (F.extract(F.lit("SECOND"), c) * 1_000_000).cast("bigint")
-    return ((day * 24 + hour) * 60 + minute) * 60_000_000 + seconds
+    return (_c(interval).cast("decimal(18,6)") * 1_000_000).cast("bigint")
 
 
 def add_offset(ts, months: int = 0, days: int = 0) -> Column:

@@ -28,6 +28,14 @@ def test_what_is_no_duration_is_null(spark):
     assert one == dt.timedelta(hours=1, minutes=30)
 
 
+def test_a_duration_is_taken_apart_once(spark):
+    texts = ["3 weeks 250 ms", "-7h 1.5 s", "5 Days\t+1:00", "1s" * 20_000, "1:30\x01", "\x01" * 9, " " * 20_000 + "x"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").select(micros_of(to_timedelta("t")).alias("m"))
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_") <= 3 and plan.count("RLIKE") == 0
+    assert [r["m"] for r in df.collect()] == [1_814_400_250_000, -25_201_500_000, 435_600_000_000, 20_000_000_000, None, None, None]
+
+
 def test_sketches_merge_and_keep_ranks(spark):
     rng = np.random.default_rng(5)
     values = np.concatenate([rng.normal(size=60_000), np.full(20_000, 0.25)])   # a quarter of all rows tie
