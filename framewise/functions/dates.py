@@ -50,7 +50,8 @@ def to_timedelta(text) -> Column:
     """``to_timedelta(errors="coerce")`` of text: numbers with units (``1 day 2.5 hours``, ``3d4h``, ``-2 weeks``), a clock
     (``6:05``, ``30:00:01.5``), or days and a clock (``1 days 06:00:00``), as a day-time interval.
 
-    A sign in front counts for the whole, unless the clock has its own (``-1 days +06:00:00``). Case and white space don't
+    A sign in front counts for all numbers with units, or for a clock alone; a clock behind units has its own sign or none
+    (``-1 days +06:00:00`` and ``-1 days 06:00:00`` are 18 hours back, as in pandas 2.3). Case and white space don't
     matter. NULL for NULL, anything else (a number without a unit too), and durations beyond 10^12 seconds. Below a
     microsecond digits are rounded."""
     names = sorted((n for unit, _ in DURATION_UNITS for n in unit), key=len, reverse=True)
@@ -70,7 +71,7 @@ def to_timedelta(text) -> Column:
         hour, minute, second = [F.coalesce(t.try_cast("decimal(20,9)"), F.lit(0)) for t in times]
         of_clock = F.when(times[0] == "", F.lit(0)).otherwise(hour * 3_600_000_000 + minute * 60_000_000 + second * 1_000_000)
         sign = F.when(lead == "-", -1).otherwise(1)
-        clock_sign = F.when(own == "", sign).otherwise(F.when(own == "-", -1).otherwise(1))
+        clock_sign = F.when((own == "") & (units == ""), sign).otherwise(F.when(own == "-", -1).otherwise(1))
         seconds = ((sign * of_units + clock_sign * of_clock) / 1_000_000).try_cast("decimal(18,6)")
         return F.when(F.size(found) > 1, F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), seconds))
     # A function of an element: the fields are found once, however often they are named.
