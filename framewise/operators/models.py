@@ -3,7 +3,10 @@
 Preparation mirrors ``get_dummies(drop_first)`` + ``fillna(median)``: string columns are
 indexed and one-hot encoded (one level dropped), numeric columns get their median
 (``Imputer``), once for the whole table and outside the folds, like a frame prepared before the
-search; the vectors are written and all fits read them. Every model is trained by Spark on the whole
+search; the columns are written before they are prepared, the vectors after, and all fits read them. In every
+round each task of a fit sends the statistics of every open node, so a fit gets a task for each
+``TASK_ROWS`` rows, and no more tasks than cores: not one for each piece of a wide input. Rows keep the node they
+have reached (``cacheNodeIds``), else each round goes down all trees again. Every model is trained by Spark on the whole
 table; ``CrossValidator`` fits several settings at once (``parallelism``) and keeps none of them: the driver
 holds ``parallelism`` forests at a time. sklearn's ``min_samples_leaf`` maps to
 ``minInstancesPerNode``; ``min_samples_split`` has no counterpart. Spark trees stop at
@@ -12,6 +15,7 @@ depth 30; deeper settings are refused.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
@@ -20,6 +24,7 @@ from pyspark.sql import functions as F
 from framewise.session import cut_lineage
 
 MAX_SPARK_DEPTH = 30
+TASK_ROWS = 32_768
 
 
 def forest_grid_search(df: DataFrame, label: str, categorical: Sequence[str], numeric: Sequence[str],
@@ -34,18 +39,20 @@ def forest_grid_search(df: DataFrame, label: str, categorical: Sequence[str], nu
     from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 
     cat, num = list(categorical), list(numeric)
+    if max(max_depth) > MAX_SPARK_DEPTH:
+        raise ValueError(f"Spark trees stop at depth {MAX_SPARK_DEPTH}")
     data = df.select(F.col(label).cast("double").alias("_label"), *cat, *[F.col(c).cast("double").alias(c) for c in num])
+    data = cut_lineage(data, "forest-columns")
     idx = StringIndexer(inputCols=cat, outputCols=[f"{c}_idx" for c in cat], handleInvalid="keep",
                         stringOrderType="alphabetAsc")
     ohe = OneHotEncoder(inputCols=idx.getOutputCols(), outputCols=[f"{c}_ohe" for c in cat], dropLast=True)
     imp = Imputer(strategy="median", inputCols=num, outputCols=[f"{c}_imp" for c in num])
     vec = VectorAssembler(inputCols=ohe.getOutputCols() + imp.getOutputCols(), outputCol="_features")
-    rf = RandomForestClassifier(labelCol="_label", featuresCol="_features", numTrees=num_trees, seed=seed)
-    if max(max_depth) > MAX_SPARK_DEPTH:
-        raise ValueError(f"Spark trees stop at depth {MAX_SPARK_DEPTH}")
+    rf = RandomForestClassifier(labelCol="_label", featuresCol="_features", numTrees=num_trees, seed=seed, cacheNodeIds=True)
     grid = ParamGridBuilder().addGrid(rf.maxDepth, list(max_depth)).addGrid(rf.minInstancesPerNode, list(min_leaf)).build()
     prepared = Pipeline(stages=[idx, ohe, imp, vec]).fit(data).transform(data)
-    ready = cut_lineage(prepared.select("_label", "_features"), "forest-features")
+    tasks = max(1, min(math.ceil(data.count() / TASK_ROWS), df.sparkSession.sparkContext.defaultParallelism))
+    ready = cut_lineage(prepared.select("_label", "_features").repartition(tasks), "forest-features").coalesce(tasks)
     cv = CrossValidator(estimator=rf, estimatorParamMaps=grid,
                         evaluator=MulticlassClassificationEvaluator(labelCol="_label", metricName="accuracy"),
                         numFolds=folds, seed=seed, parallelism=parallelism)

@@ -4,6 +4,7 @@ import math
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from framewise.operators import forecast as FC
 from framewise.operators import stats as M
@@ -147,6 +148,24 @@ def test_registered_forest_search_runs_the_default_grid(spark, monkeypatch):
     assert folds == [5]
 
 
+def test_forest_fits_get_tasks_by_rows_not_by_pieces_of_the_input(spark, monkeypatch):
+    from types import SimpleNamespace
+
+    from pyspark.ml.tuning import CrossValidator
+
+    from framewise.operators.models import forest_grid_search
+    seen = []
+
+    def fit(self, data):
+        seen.append((data.count(), data.rdd.getNumPartitions(), self.getEstimator().getCacheNodeIds()))
+        return SimpleNamespace(avgMetrics=[0.5], stdMetrics=[0.0])
+
+    monkeypatch.setattr(CrossValidator, "fit", fit)
+    df = spark.range(400).select((F.col("id") % 2).alias("y"), F.lit("a").alias("g"), F.col("id").alias("x")).repartition(24)
+    forest_grid_search(df, "y", ["g"], ["x"], max_depth=[1], min_leaf=[1], folds=2, num_trees=5)
+    assert seen == [(400, 1, True)]
+
+
 def test_one_step_ar2_matches_brute_force(spark):
     y = _series(70, 0.4, 9, season=2.0)
     s = 12
